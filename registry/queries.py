@@ -8,7 +8,6 @@ results of two engines can be compared.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,12 +49,31 @@ def lower_names(df: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- shared inputs
 
+_raw_paths: dict[tuple[str, str], str] = {}
 
-def _trips(spark: SparkSession, folder: str, vendor: bool = False) -> DataFrame:
+
+def raw_trips(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw trip layer: a written table, as in production, made once per session and folder.
+
+    Files start at the usual chunk size and grow with the table. Queries then read single
+    columns of it, and skip the other service's files.
+    """
+    key = (spark.sparkContext.applicationId, folder)
     bronze = bronze_trips(spark, folder)
+    if key not in _raw_paths:
+        path = new_path(spark, "raw-trips")
+        rows = read_table(spark, folder, "lineitem").count()
+        chunk = min(max(sinks.CHUNK_ROWS, rows // 10_000), 50 * sinks.CHUNK_ROWS)
+        sinks.write_chunked(bronze, path, chunk, ["load_service_type"])
+        _raw_paths[key] = path
+    return spark.read.schema(bronze.schema).parquet(_raw_paths[key])
+
+
+def _trips(spark: SparkSession, folder: str, *extras: str) -> DataFrame:
+    bronze = raw_trips(spark, folder)
     return silver.all_trips(
         *[
-            silver.stage_trips(service_bronze(bronze, service), service, vendor=vendor)
+            silver.stage_trips(service_bronze(bronze, service), service, extras=extras)
             for service in ("yellow", "green")
         ]
     )
@@ -65,7 +83,7 @@ def _fact_and_star(
     spark: SparkSession, folder: str, *keys: str, roles: tuple[str, ...] = ("date",)
 ) -> tuple[DataFrame, gold.Star]:
     """The part of the fact that a mart reads (no trip id), and its dimensions."""
-    trips = _trips(spark, folder)
+    trips = _trips(spark, folder, silver.DURATION, *silver.MINUTES)
     star = gold.build_star(trips, bronze_zones(spark, folder), roles)
     return gold.fct_trips(trips, star, keys), star
 
@@ -74,7 +92,8 @@ def _full_fact(
     spark: SparkSession, folder: str, **options
 ) -> tuple[DataFrame, gold.Star, DataFrame]:
     """The whole fact with trip ids, its dimensions and the staged trips."""
-    trips = silver.with_trip_id(_trips(spark, folder, vendor=True))
+    extras = (silver.VENDOR, silver.DURATION, *silver.MINUTES)
+    trips = silver.with_trip_id(_trips(spark, folder, *extras))
     roles = options.pop("roles", ALL_ROLES)
     star = gold.build_star(trips, bronze_zones(spark, folder), roles)
     return gold.fct_trips(trips, star, **options), star, trips
@@ -84,12 +103,12 @@ def _full_fact(
 
 
 def stage_trips(spark: SparkSession, folder: str) -> DataFrame:
-    yellow = service_bronze(bronze_trips(spark, folder), "yellow")
+    yellow = service_bronze(raw_trips(spark, folder), "yellow")
     return plain(silver.with_trip_id(silver.stage_trips(yellow, "yellow")))
 
 
 def stage_green_trips(spark: SparkSession, folder: str) -> DataFrame:
-    green = service_bronze(bronze_trips(spark, folder), "green")
+    green = service_bronze(raw_trips(spark, folder), "green")
     return plain(silver.with_trip_id(silver.stage_trips(green, "green")))
 
 
@@ -109,15 +128,16 @@ def stage_zones_dim_zone(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def clean_trips(spark: SparkSession, folder: str) -> DataFrame:
-    return plain(silver.clean_trips(_trips(spark, folder)))
+    cleaned = silver.clean_trips(_trips(spark, folder, silver.DURATION))
+    return plain(cleaned.drop(silver.DURATION))
 
 
 def clean_report(spark: SparkSession, folder: str) -> DataFrame:
-    return silver.clean_report(_trips(spark, folder))
+    return silver.clean_report(_trips(spark, folder, silver.DURATION))
 
 
 def dedupe_trips(spark: SparkSession, folder: str) -> DataFrame:
-    return plain(silver.dedupe_trips(_trips(spark, folder, vendor=True)))
+    return plain(silver.dedupe_trips(_trips(spark, folder, silver.VENDOR)))
 
 
 def _zone_dimension(spark: SparkSession, folder: str) -> Kept:
@@ -141,7 +161,8 @@ def zone_conformance_rejects(spark: SparkSession, folder: str) -> DataFrame:
 
 def _dimension(make: Callable[[DataFrame], DataFrame], role: str, source: str = "yellow") -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        return plain(make(gold.observed_members(_trips(spark, folder), [role], source)))
+        trips = _trips(spark, folder, *silver.MINUTES)
+        return plain(make(gold.observed_members(trips, [role], source)))
 
     return query
 
@@ -164,9 +185,14 @@ def fct_trips_documented(spark: SparkSession, folder: str) -> DataFrame:
     )[0]
 
 
+def gold_tables(spark: SparkSession, folder: str) -> tuple[DataFrame, gold.Star]:
+    """The clustered fact and the dimensions, written and read back."""
+    fact, star, _ = _full_fact(spark, folder)
+    return gold.cluster_fact(fact, new_path(spark, "fct_trips")), star
+
+
 def cluster_fact(spark: SparkSession, folder: str) -> DataFrame:
-    fact = _full_fact(spark, folder)[0]
-    return gold.cluster_fact(fact, new_path(spark, "fct_trips"))
+    return gold_tables(spark, folder)[0]
 
 
 # ---------------------------------------------------------------- marts
@@ -189,7 +215,7 @@ def q2_revenue_tips(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def q2_revenue_tips_vendor_fanout(spark: SparkSession, folder: str) -> DataFrame:
-    trips = _trips(spark, folder, vendor=True)
+    trips = _trips(spark, folder, silver.VENDOR, silver.DURATION)
     star = gold.build_star(trips, bronze_zones(spark, folder), ["date"])
     keys = ("pickup_date", "pickup_zone", "vendor")
     fact = gold.fct_trips(trips, star, keys, vendor_fanout=True)
@@ -313,14 +339,14 @@ NUMERIC_SAMPLE = (
 
 
 def impute_medians(spark: SparkSession, folder: str) -> DataFrame:
-    sample = bronze_trips(spark, folder).select(*NUMERIC_SAMPLE)
+    sample = raw_trips(spark, folder).select(*NUMERIC_SAMPLE)
     return impute_upper_median(sample, NUMERIC_SAMPLE)
 
 
 def impute_sample_csv(spark: SparkSession, folder: str) -> DataFrame:
     """CSV in, numeric columns imputed, CSV out; the file is read back."""
     raw, clean = new_path(spark, "sample-csv"), new_path(spark, "sample-clean-csv")
-    sinks.export_csv(bronze_trips(spark, folder).drop("pickup_ns", "dropoff_ns"), raw)
+    sinks.export_csv(raw_trips(spark, folder).drop("pickup_ns", "dropoff_ns"), raw)
     reader = spark.read.option("header", True)
     sample = reader.option("inferSchema", True).csv(raw).select(*NUMERIC_SAMPLE)
     sinks.export_csv(impute_upper_median(sample, NUMERIC_SAMPLE), clean)
@@ -414,7 +440,7 @@ FOLDER_PER_MONTH = "file=" + ingest.MONTH_FILE
 def _month_files(spark: SparkSession, folder: str) -> str:
     """Monthly files of both services, as their publisher names and shapes them."""
     source = new_path(spark, "source")
-    bronze = bronze_trips(spark, folder)
+    bronze = raw_trips(spark, folder)
     for service in ("yellow", "green"):
         raw = service_bronze(bronze, service)
         times = [c for c in raw.columns if c.endswith("_datetime")]
@@ -435,11 +461,6 @@ def _month_files(spark: SparkSession, folder: str) -> str:
     return source
 
 
-def _months_present(spark: SparkSession, folder: str) -> list[ingest.Month]:
-    months = bronze_trips(spark, folder).select("load_service_type", "load_year", "load_month")
-    return [ingest.Month(*row) for row in months.distinct().collect()]  # calendar months
-
-
 def _schema(*columns: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in columns])
 
@@ -479,20 +500,18 @@ RAW_LAYER_SCHEMA = T.StructType(
 
 
 def ingest_months(spark: SparkSession, folder: str) -> DataFrame:
-    """Each month's conformed batch, before any write."""
+    """Both services' conformed batches, before any write."""
     source = _month_files(spark, folder)
-    shapes: dict[str, T.StructType] = {}
     batches = []
-    for month in _months_present(spark, folder):
-        if month.service not in shapes:
-            path = ingest.month_path(source, month, FOLDER_PER_MONTH)
-            shapes[month.service] = spark.read.parquet(path).schema
-        batch = ingest.ingest_month(
-            spark, source, month, template=FOLDER_PER_MONTH, schema=shapes[month.service]
+    for service in ("yellow", "green"):
+        months = [m for m in ingest.months_present(spark, source) if m.service == service]
+        path = ingest.month_path(source, months[0], FOLDER_PER_MONTH)
+        batch = ingest.ingest_months(
+            spark, source, months, spark.read.parquet(path).schema, template=FOLDER_PER_MONTH
         )
         batches.append(batch)
-    whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), batches)
-    return lower_names(whole)
+    yellow, green = batches
+    return lower_names(yellow.unionByName(green, allowMissingColumns=True))
 
 
 def _backfilled(
@@ -500,7 +519,7 @@ def _backfilled(
 ) -> tuple[DataFrame, list[ingest.Outcome]]:
     target = new_path(spark, "bronze")
     outcomes = ingest.backfill_months(
-        spark, source, months, target, BRONZE_SCHEMA, at_once=8, template=FOLDER_PER_MONTH
+        spark, source, months, target, BRONZE_SCHEMA, template=FOLDER_PER_MONTH
     )
     return spark.read.schema(RAW_LAYER_SCHEMA).parquet(target), outcomes
 
@@ -544,7 +563,7 @@ def stream_months(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def load_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return marts.load_counts(bronze_trips(spark, folder))
+    return marts.load_counts(raw_trips(spark, folder))
 
 
 def ingest_zones(spark: SparkSession, folder: str) -> DataFrame:
@@ -636,7 +655,7 @@ def run_sql_zone_year(spark: SparkSession, folder: str) -> DataFrame:
 
 def append_existing(spark: SparkSession, folder: str) -> DataFrame:
     """Yellow trips make the table; green ones are cut to its columns and appended."""
-    bronze = bronze_trips(spark, folder)
+    bronze = raw_trips(spark, folder)
     path = new_path(spark, "raw")
     database = "raw_" + path.rsplit("-", 1)[1]
     yellow = service_bronze(bronze, "yellow").drop("tpep_pickup_datetime", "tpep_dropoff_datetime")
@@ -647,7 +666,7 @@ def append_existing(spark: SparkSession, folder: str) -> DataFrame:
 
 def write_chunked(spark: SparkSession, folder: str) -> DataFrame:
     path = new_path(spark, "chunks")
-    sinks.write_chunked(service_bronze(bronze_trips(spark, folder), "yellow"), path)
+    sinks.write_chunked(service_bronze(raw_trips(spark, folder), "yellow"), path)
     return spark.read.parquet(path)
 
 

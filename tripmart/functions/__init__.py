@@ -1,5 +1,8 @@
 from tripmart.functions.expressions import (
+    as_date,
+    as_epoch_minute,
     as_ntz,
+    epoch_minute,
     initcap_words,
     iso_weekday,
     minute_diff,
@@ -12,7 +15,10 @@ from tripmart.functions.expressions import (
 )
 
 __all__ = [
+    "as_date",
+    "as_epoch_minute",
     "as_ntz",
+    "epoch_minute",
     "initcap_words",
     "iso_weekday",
     "minute_diff",

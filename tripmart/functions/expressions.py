@@ -5,7 +5,7 @@ All of them are built-in functions only, and none depends on the session time zo
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,12 +23,11 @@ def ns_to_ntz(ns: Column) -> Column:
     return F.timestamp_add("MICROSECOND", micros, _epoch())
 
 
-def as_ntz(df: DataFrame, name: str) -> Column:
-    """Column ``name`` as zone-less timestamp, whichever way the raw layer holds it.
+def as_ntz(name: str, kind: T.DataType) -> Column:
+    """Column ``name`` as zone-less timestamp, whichever way (``kind``) the raw layer holds it.
 
     Numbers are epoch nanoseconds; zoned timestamps are taken as their UTC reading.
     """
-    kind = df.schema[name].dataType
     if isinstance(kind, T.NumericType):
         return ns_to_ntz(F.col(name))
     if isinstance(kind, T.TimestampType):
@@ -36,28 +35,60 @@ def as_ntz(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("timestamp_ntz")
 
 
-def round_to_int(df: DataFrame, name: str) -> Column:
-    """Cast to int by rounding half away from zero; Spark's own cast truncates."""
-    if isinstance(df.schema[name].dataType, T.IntegralType):
-        return F.col(name).cast("int")
-    return F.round(F.col(name).cast("double")).cast("int")
+def _epoch_units(name: str, kind: T.DataType, seconds: int) -> str:
+    """Whole units of ``seconds`` since the epoch, rounded down, in integer arithmetic.
+
+    ``div`` truncates, so four centuries are added before it and taken off after it. The
+    column is named once only: a filter on the result copies the expression.
+    """
+    micros = f"cast({name} AS bigint) div 1000"
+    if isinstance(kind, T.TimestampType):
+        micros = f"unix_micros({name})"
+    unit = seconds * 1_000_000
+    shift = 400 * 366 * 86_400 // seconds
+    return f"(({micros}) + {shift * unit}L) div {unit}L - {shift}L"
+
+
+def as_date(name: str, kind: T.DataType) -> Column:
+    """Date of a raw time column; far cheaper on numbers than by way of a timestamp."""
+    if isinstance(kind, T.TimestampNTZType | T.DateType | T.StringType):
+        return F.to_date(F.col(name).cast("timestamp_ntz"))
+    return F.expr(f"date_from_unix_date(cast({_epoch_units(name, kind, 86400)} AS int))")
+
+
+def as_epoch_minute(name: str, kind: T.DataType) -> Column:
+    """Minutes since the epoch of a raw time column, as BIGINT."""
+    if isinstance(kind, T.TimestampNTZType | T.DateType | T.StringType):
+        return epoch_minute(F.col(name).cast("timestamp_ntz"))
+    return F.expr(_epoch_units(name, kind, 60))
+
+
+def round_to_int(name: str, kind: T.DataType) -> Column:
+    """Column ``name`` cast to int, rounded half away from zero; Spark's own cast truncates."""
+    if isinstance(kind, T.IntegralType):
+        return F.expr(f"cast({name} AS int)")
+    return F.expr(f"cast(round(cast({name} AS double)) AS int)")
 
 
 def minute_of_day(ts: Column) -> Column:
     return F.hour(ts) * 60 + F.minute(ts)
 
 
+def epoch_minute(ts: Column) -> Column:
+    """Minutes since the epoch of a zone-less timestamp, as BIGINT."""
+    return F.unix_date(F.to_date(ts)).cast("bigint") * 1440 + minute_of_day(ts)
+
+
 def minute_diff(start: Column, end: Column) -> Column:
     """Number of minute boundaries between two timestamps, as BIGINT.
 
     10:00:59 to 10:01:01 is 1 here, and 0 under ``timestampdiff``.
     """
-    days = F.datediff(F.to_date(end), F.to_date(start)).cast("bigint")
-    return days * 1440 + minute_of_day(end) - minute_of_day(start)
+    return epoch_minute(end) - epoch_minute(start)
 
 
 def iso_weekday(ts: Column) -> Column:
-    """1 = Monday … 7 = Sunday."""
+    """1 = Monday … 7 = Sunday, of a date or timestamp."""
     return F.weekday(ts) + 1
 
 
@@ -73,9 +104,9 @@ def initcap_words(text: Column) -> Column:
 
 def speed_mph(distance: Column, minutes: Column) -> Column:
     """Miles per hour in double precision; NULL unless the duration is positive."""
-    return F.when(minutes > 0, distance * F.lit(60.0) / F.nullif(minutes, F.lit(0)))
+    return F.try_divide(distance * F.lit(60.0), F.when(minutes > 0, minutes))
 
 
 def percent_of(part: Column, whole: Column) -> Column:
     """``part / whole * 100``; NULL unless ``whole`` is positive."""
-    return F.when(whole > 0, part / F.nullif(whole, F.lit(0.0)) * 100)
+    return F.try_divide(part, F.when(whole > 0, whole)) * 100

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripmart.functions import minute_diff, minute_of_day
-from tripmart.plans.silver import stage_zones
-from tripmart.session import Kept, keep, small_side
+from tripmart.functions import minute_of_day
+from tripmart.plans.silver import stage_zones, trip_minutes
+from tripmart.session import BROADCAST_ROWS, Kept, keep, small_side
 
 # First and last calendar day, labels of codes, vendors.
 FIRST_DAY, LAST_DAY = "2015-01-01", "2025-12-31"
@@ -70,6 +71,12 @@ DOCUMENTED_MEASURES = (
 # ---------------------------------------------------------------- dimensions
 
 
+def _minute(trips: DataFrame, end: str) -> Column:
+    """Minute of the day of a trip's pickup or dropoff."""
+    staged = f"{end}_minute"
+    return F.col(staged) if staged in trips.columns else minute_of_day(F.col(f"{end}_datetime"))
+
+
 def observed_members(
     trips: DataFrame, roles: Sequence[str] = ("date", "payment_type", "ratecode"),
     source: str = "yellow",
@@ -92,10 +99,7 @@ def observed_members(
         "date": [day("pickup_date"), day("dropoff_date")],
         "payment_type": [F.when(counted, F.col("payment_type"))],
         "ratecode": [F.when(counted, F.col("ratecode_id"))],
-        "time": [
-            minute_of_day(F.col("pickup_datetime")),
-            minute_of_day(F.col("dropoff_datetime")),
-        ],
+        "time": [_minute(trips, "pickup"), _minute(trips, "dropoff")],
     }
     pairs = [
         F.struct(F.lit(role).alias("role"), member.cast("int").alias("member"))
@@ -181,7 +185,7 @@ def dim_vendor(spark: SparkSession) -> DataFrame:
 
 
 class Star(NamedTuple):
-    """The dimensions, each with its row count."""
+    """The dimensions, each with (a bound of) its row count."""
 
     dim_date: Kept
     dim_zone: Kept
@@ -198,11 +202,17 @@ def build_star(
 ) -> Star:
     """The dimensions named in ``roles``, and the zones; the trips are scanned once.
 
-    The members found are written and counted per role; the dimensions are views on them.
+    The members found and the zones are written, by two jobs at once; the other dimensions
+    are views on the members.
     """
-    members = keep(observed_members(trips, roles, source), "members")
-    counted = members.df.groupBy("role").agg(F.count(F.lit(1)).alias("n"))
-    rows = {row["role"]: row["n"] for row in counted.collect()}  # one row per role
+    with ThreadPoolExecutor(2) as pool:
+        zones = pool.submit(lambda: keep(dim_zone(stage_zones(bronze_zones)), "dim_zone"))
+        members = keep(observed_members(trips, roles, source), "members")
+    # All members together bound each dimension; only if they are many is each role counted.
+    rows = dict.fromkeys(roles, members.rows)
+    if members.rows > BROADCAST_ROWS:
+        counted = members.df.groupBy("role").agg(F.count(F.lit(1)).alias("n"))
+        rows |= {row["role"]: row["n"] for row in counted.collect()}  # one row per role
     makers = {
         "date": dim_date,
         "payment_type": dim_payment_type,
@@ -210,19 +220,19 @@ def build_star(
         "time": dim_time,
     }
     made = {
-        f"dim_{role}": Kept(makers[role](members.df), rows.get(role, 0), members.path)
+        f"dim_{role}": Kept(makers[role](members.df), rows[role], members.path)
         for role in roles
     }
-    return Star(dim_zone=keep(dim_zone(stage_zones(bronze_zones)), "dim_zone"), **made)
+    return Star(dim_zone=zones.result(), **made)
 
 
 # ---------------------------------------------------------------- fact
 
 
-def _attach(trips: DataFrame, dim: Kept, natural: str, sk: str, on: str, name: str) -> DataFrame:
-    """Left join one dimension's surrogate key under ``name``."""
-    side = small_side(dim).select(F.col(natural).alias("__natural"), F.col(sk).alias(name))
-    return trips.join(side, F.col(on) == F.col("__natural"), "left").drop("__natural")
+def _attach(trips: DataFrame, dim: Kept, natural: str, sk: str, on: str, key: str) -> DataFrame:
+    """Left join one dimension's surrogate key as ``<key>_sk``."""
+    side = small_side(dim).select(F.col(natural).alias(f"__{key}"), F.col(sk).alias(f"{key}_sk"))
+    return trips.join(side, F.col(on) == F.col(f"__{key}"), "left")
 
 
 def fct_trips(
@@ -238,13 +248,10 @@ def fct_trips(
     vendor; ``vendor_fanout`` pairs each trip with every vendor, which triples all counts
     and sums.
     """
-    fact = trips.withColumn(
-        "trip_duration_min", minute_diff(F.col("pickup_datetime"), F.col("dropoff_datetime"))
-    )
-    if "pickup_time" in keys:
-        fact = fact.withColumn("pickup_minute", minute_of_day(F.col("pickup_datetime")))
-    if "dropoff_time" in keys:
-        fact = fact.withColumn("dropoff_minute", minute_of_day(F.col("dropoff_datetime")))
+    computed = {"trip_duration_min": trip_minutes(trips)}
+    if set(TIME_KEYS) & set(keys):
+        computed |= {f"{end}_minute": _minute(trips, end) for end in ("pickup", "dropoff")}
+    fact = trips.withColumns(computed)
     lookups = {
         "pickup_date": (star.dim_date, "date_value", "date_sk", "pickup_date"),
         "dropoff_date": (star.dim_date, "date_value", "date_sk", "dropoff_date"),
@@ -258,7 +265,7 @@ def fct_trips(
     for key in keys:
         if key in lookups:
             dim, natural, sk, on = lookups[key]
-            fact = _attach(fact, dim, natural, sk, on, f"{key}_sk")
+            fact = _attach(fact, dim, natural, sk, on, key)
     if "vendor" in keys:
         if vendor_fanout:
             every = F.array(*[F.lit(v) for v in VENDORS])

@@ -199,8 +199,8 @@ def temporal_demand(
     return (
         trips.where(at.between(*bounds))
         .groupBy(
-            F.to_date(at).alias("pickup_date"),
-            iso_weekday(at).alias("day_number"),
+            "pickup_date",
+            iso_weekday(F.col("pickup_date")).alias("day_number"),
             F.hour(at).alias("pickup_hour"),
             "service_type",
         )

@@ -7,7 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.functions import as_ntz, initcap_words, minute_diff, round_to_int, speed_mph
+from tripmart.functions import (
+    as_date,
+    as_epoch_minute,
+    as_ntz,
+    initcap_words,
+    minute_diff,
+    round_to_int,
+    speed_mph,
+)
 from tripmart.operators.dedupe import keep_first_per_key
 from tripmart.operators.row_id import assign_row_id
 from tripmart.session import Kept, small_side
@@ -66,37 +74,54 @@ STAGED_COLUMNS = (
 )
 
 
+# Further staged columns, on demand. Durations and minutes are plain integer arithmetic here,
+# and so stay cheap where a filter on them is pushed down and evaluated again.
+VENDOR, DURATION = "vendor_id", "trip_duration_min"
+MINUTES = ("pickup_minute", "dropoff_minute")
+
+
 def stage_trips(
-    bronze: DataFrame, service: str, money: str = "double", vendor: bool = False
+    bronze: DataFrame, service: str, money: str = "double", extras: Sequence[str] = ()
 ) -> DataFrame:
     """One service's typed trips, without id; rows lacking a pickup or dropoff time go.
 
     Columns the raw table lacks (a green airport fee) are typed NULLs. ``money="decimal"``
-    gives NUMERIC(10,2) amounts; ``vendor`` adds the vendor id.
+    gives NUMERIC(10,2) amounts. ``extras`` may name the vendor id, the duration in minute
+    boundaries, and the pickup and dropoff minute of the day.
     """
-    prefix = TIME_PREFIX[service]
-    present = {c.lower() for c in bronze.columns}
+    types = {f.name.lower(): f.dataType for f in bronze.schema}
     money_type = "decimal(10,2)" if money == "decimal" else "double"
+    prefix = TIME_PREFIX[service]
+    times = {end: f"{prefix}_{end}_datetime" for end in ("pickup", "dropoff")}
 
     def measure(name: str) -> Column:
-        value = F.col(name) if name in present else F.lit(None)
-        return value.cast(money_type if name in MONEY else "double")
-
-    pickup, dropoff = f"{prefix}_pickup_datetime", f"{prefix}_dropoff_datetime"
-    known = bronze.dropna(subset=[pickup, dropoff])
-    staged = known.select(
-        as_ntz(known, pickup).alias("pickup_datetime"),
-        as_ntz(known, dropoff).alias("dropoff_datetime"),
-        *[round_to_int(known, raw).alias(name) for name, raw in WHOLE_NUMBERS.items()],
-        *[measure(name).alias(name) for name in MEASURES],
-        "store_and_fwd_flag",
-        "load_service_type",
-        F.lit(service).alias("service_type"),
-        *([round_to_int(known, "vendorid").alias("vendor_id")] if vendor else []),
-    ).withColumns(
-        {"pickup_date": F.to_date("pickup_datetime"), "dropoff_date": F.to_date("dropoff_datetime")}
-    )
-    return staged.select(*STAGED_COLUMNS, *(["vendor_id"] if vendor else []))
+        kind = money_type if name in MONEY else "double"
+        return F.expr(f"cast({name if name in types else 'NULL'} AS {kind})")
+
+    staged = {name: round_to_int(raw, types[raw]) for name, raw in WHOLE_NUMBERS.items()}
+    staged |= {name: measure(name) for name in MEASURES}
+    staged["service_type"] = F.lit(service)
+    minute = {}
+    for end, raw in times.items():
+        staged[f"{end}_datetime"] = as_ntz(raw, types[raw])
+        staged[f"{end}_date"] = as_date(raw, types[raw])
+        if extras:
+            minute[end] = as_epoch_minute(raw, types[raw])
+            staged[f"{end}_minute"] = F.pmod(minute[end], F.lit(1440)).cast("int")
+    if VENDOR in extras:
+        staged[VENDOR] = round_to_int("vendorid", types["vendorid"])
+    if DURATION in extras:
+        staged[DURATION] = minute["dropoff"] - minute["pickup"]
+    known = bronze.where(" AND ".join(f"{raw} IS NOT NULL" for raw in times.values()))
+    columns = (*STAGED_COLUMNS, *extras)
+    return known.select(*[staged[c].alias(c) if c in staged else c for c in columns])
+
+
+def trip_minutes(trips: DataFrame) -> Column:
+    """Duration of staged trips in minute boundaries."""
+    if DURATION in trips.columns:
+        return F.col(DURATION)
+    return minute_diff(F.col("pickup_datetime"), F.col("dropoff_datetime"))
 
 
 def all_trips(yellow: DataFrame, green: DataFrame) -> DataFrame:
@@ -109,7 +134,8 @@ def with_trip_id(trips: DataFrame) -> DataFrame:
     The remaining columns break ties, so only rows equal in every column are arbitrary. The
     id is unique together with ``service_type``.
     """
-    order = [c for c in trips.columns if c != "service_type"]
+    implied = {"service_type", "pickup_date", "dropoff_date", DURATION, *MINUTES}
+    order = [c for c in trips.columns if c not in implied]
     numbered = assign_row_id(trips, "trip_id", order, within=["service_type"])
     return numbered.select("trip_id", *trips.columns)
 
@@ -119,7 +145,7 @@ def stage_zones(bronze: DataFrame) -> DataFrame:
     return (
         bronze.where(F.col("locationid").isNotNull())
         .select(
-            round_to_int(bronze, "locationid").alias("location_id"),
+            round_to_int("locationid", bronze.schema["locationid"].dataType).alias("location_id"),
             initcap_words(F.col("borough")).alias("borough"),
             initcap_words(F.col("zone")).alias("zone"),
             initcap_words(F.col("service_zone")).alias("service_zone"),
@@ -128,8 +154,9 @@ def stage_zones(bronze: DataFrame) -> DataFrame:
     )
 
 
-def _violations(max_minutes: int = 180, max_mph: float = 80.0) -> dict[str, Column]:
-    minutes = minute_diff(F.col("pickup_datetime"), F.col("dropoff_datetime"))
+def _violations(
+    minutes: Column, max_minutes: int = 180, max_mph: float = 80.0
+) -> dict[str, Column]:
     broken = {
         "trip_distance": F.col("trip_distance") <= 0,
         "fare_amount": F.col("fare_amount") < 0,
@@ -144,15 +171,15 @@ def clean_trips(trips: DataFrame) -> DataFrame:
 
     A missing value breaks no rule.
     """
-    kept = trips
-    for broken in _violations().values():
-        kept = kept.where(~broken)
-    return kept
+    kept = F.lit(True)
+    for broken in _violations(trip_minutes(trips)).values():
+        kept = kept & ~broken
+    return trips.where(kept)
 
 
 def clean_report(trips: DataFrame) -> DataFrame:
     """Rows each cleaning rule rejects, and rows kept, in one pass."""
-    rules = _violations()
+    rules = _violations(trip_minutes(trips))
     kept = F.lit(True)
     for broken in rules.values():
         kept = kept & ~broken

@@ -38,7 +38,7 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 class Kept(NamedTuple):
-    """A frame on a written table, with its row count and the table's path."""
+    """A frame on a written table, with (a bound of) its row count and the table's path."""
 
     df: DataFrame
     rows: int

@@ -6,8 +6,7 @@ from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +21,9 @@ from tripmart.operators.conform import (
 # Fixed value: name of a month's file below the source folder.
 MONTH_FILE = "{service}_tripdata_{year}-{month:02d}.parquet"
 
+# Fixed value: where a month's file name holds service, year and month.
+MONTH_NAME = r"([a-z]+)_tripdata_(\d{4})-(\d{2})"
+
 MONTH_PARTITIONS = ["LOAD_SERVICE_TYPE", "LOAD_YEAR", "LOAD_MONTH"]
 
 # Texts that mean "missing" in the zone file.
@@ -57,13 +59,12 @@ class Month(NamedTuple):
 
 
 class Outcome(NamedTuple):
-    """One coverage log row, and the number of rows loaded."""
+    """One coverage log row."""
 
     month: Month
     file_exists: bool
     load_status: str
-    rows: int
-    error: str | None
+    error: str | None = None
 
 
 def months_between(service: str, first: tuple[int, int], last: tuple[int, int]) -> list[Month]:
@@ -75,21 +76,58 @@ def month_path(source: str, month: Month, template: str = MONTH_FILE) -> str:
     return f"{source}/" + template.format(**month._asdict())
 
 
-def ingest_month(
+def named_months(files: DataFrame) -> list[Month]:
+    """Months that the files' names (column ``path``) hold: one per calendar month at most."""
+    path = F.col("path")
+    named = files.select(
+        F.regexp_extract(path, MONTH_NAME, 1).alias("service"),
+        F.regexp_extract(path, MONTH_NAME, 2).alias("year"),
+        F.regexp_extract(path, MONTH_NAME, 3).alias("month"),
+    ).distinct()
+    return sorted(Month(s, int(y), int(m)) for s, y, m in named.collect() if s)
+
+
+def months_present(spark: SparkSession, source: str) -> list[Month]:
+    """Months with a file below ``source``; lists the files without reading them."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(source)
+    return named_months(files.select("path"))
+
+
+def ingest_months(
     spark: SparkSession,
     source: str,
-    month: Month,
+    months: Sequence[Month],
+    schema: T.StructType,
     target: Sequence[str] | None = None,
     template: str = MONTH_FILE,
-    schema: T.StructType | None = None,
 ) -> DataFrame:
-    """One month's file, conformed and with its control columns.
+    """Files of one service and one schema, conformed, with control columns from their names.
 
-    ``target`` lists the raw table's columns once that is frozen. ``schema`` spares reading
-    the file's footer first.
+    ``target`` lists the raw table's columns once that is frozen.
     """
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    batch = reader.parquet(month_path(source, month, template))
+    paths = [month_path(source, month, template) for month in months]
+    found = spark.read.schema(schema).parquet(*paths)
+    # Plain string search; a pattern match per row would cost more.
+    stamp = F.substring_index("_metadata.file_path", "_tripdata_", -1)
+    batch = found.withColumns(
+        {
+            "LOAD_YEAR": F.substring(stamp, 1, 4).cast("int"),
+            "LOAD_MONTH": F.substring(stamp, 6, 2).cast("int"),
+            "LOAD_SERVICE_TYPE": F.lit(months[0].service),
+        }
+    )
+    return conform_batch(batch, target)
+
+
+def ingest_month(
+    spark: SparkSession,
+    source: str,
+    month: Month,
+    target: Sequence[str] | None = None,
+    template: str = MONTH_FILE,
+) -> DataFrame:
+    """One month's file, conformed and with its control columns."""
+    batch = spark.read.parquet(month_path(source, month, template))
     return add_control_columns(conform_batch(batch, target), *month)
 
 
@@ -100,47 +138,26 @@ def ingest_zones(spark: SparkSession, path: str) -> DataFrame:
     known = named.select(
         *[F.when(~F.col(c).isin(*MISSING_TEXTS), F.col(c)).alias(c) for c in named.columns]
     )
-    return known.withColumn("LOCATIONID", round_to_int(known, "LOCATIONID"))
-
+    return known.withColumn("LOCATIONID", round_to_int("LOCATIONID", T.StringType()))
+
+
+def _replace_months(batch: DataFrame, target: str, schema: T.StructType | None) -> None:
+    """Write a batch over the months it holds, leaving all other months alone."""
+    if schema is not None:
+        control = [f for f in batch.schema if f.name in MONTH_PARTITIONS]
+        data = [f for f in schema if f.name.upper() not in MONTH_PARTITIONS]
+        batch = align_to_schema(batch, T.StructType([*data, *control]))
+    (
+        batch.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*MONTH_PARTITIONS)
+        .parquet(target)
+    )
 
-def load_month(
-    spark: SparkSession,
-    source: str,
-    month: Month,
-    target: str,
-    schema: T.StructType | None = None,
-    template: str = MONTH_FILE,
-) -> Outcome:
-    """Replace one month of the raw layer by its file; never raises.
 
-    The month is one partition and its control columns are constants, so the write needs
-    neither a shuffle nor a sort. With ``schema`` the raw table is frozen: unknown columns
-    are dropped and absent ones filled with NULL.
-    """
-    exists = False
-    try:
-        found = spark.read.parquet(month_path(source, month, template))
-        exists = True
-        frozen = None if schema is None else schema.names
-        batch = add_control_columns(conform_batch(found, frozen), *month)
-        if schema is not None:
-            fields = {f.name.upper(): f for f in batch.schema if f.name in MONTH_PARTITIONS}
-            data = [f for f in schema if f.name.upper() not in fields]
-            batch = align_to_schema(batch, T.StructType([*data, *fields.values()]))
-        loaded = Observation()
-        (
-            batch.observe(loaded, F.count(F.lit(1)).alias("rows"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*MONTH_PARTITIONS)
-            .parquet(target)
-        )
-        return Outcome(month, True, "OK", loaded.get["rows"], None)
-    except AnalysisException as error:
-        exists = exists or error.getCondition() != "PATH_NOT_FOUND"
-        return Outcome(month, exists, "ERROR", 0, str(error))
-    except Exception as error:  # a broken month is logged and the others go on
-        return Outcome(month, exists, "ERROR", 0, str(error))
+def _needs_own_job(schema: T.StructType) -> bool:
+    """Whether a text date column has to be judged month by month."""
+    return any(isinstance(f.dataType, T.StringType) and "DATE" in f.name.upper() for f in schema)
 
 
 def backfill_months(
@@ -149,18 +166,62 @@ def backfill_months(
     months: Iterable[Month],
     target: str,
     schema: T.StructType | None = None,
+    per_job: int = 24,
     at_once: int = 4,
     template: str = MONTH_FILE,
 ) -> list[Outcome]:
-    """Load many months; a repeated month replaces its earlier rows.
+    """Load months into the raw layer; a repeated month replaces its earlier rows.
 
-    Each month is a Spark job of its own, so a failing one spoils no other. ``at_once`` jobs
-    overlap, which keeps the executors busy while one month's last tasks finish.
+    Months of one service whose files have the same schema share a job, up to ``per_job`` of
+    them. If a job fails, its months are loaded one by one, so that a broken file spoils only
+    its own month. Rows go from the file to their partition without a shuffle. With
+    ``schema`` the raw table is frozen: unknown columns are dropped, absent ones are NULL.
     """
+    months = sorted(set(months))
+    present = set(months_present(spark, source))
+    frozen = None if schema is None else schema.names
+
+    def shape(month: Month) -> tuple[Month, T.StructType | str]:
+        try:
+            return month, spark.read.parquet(month_path(source, month, template)).schema
+        except Exception as error:  # an unreadable file is logged
+            return month, str(error)
+
+    def load_one(month: Month) -> Outcome:
+        try:
+            batch = ingest_month(spark, source, month, frozen, template)
+            _replace_months(batch, target, schema)
+            return Outcome(month, True, "OK")
+        except Exception as error:  # a broken month is logged and the others go on
+            return Outcome(month, True, "ERROR", str(error))
+
+    def load_job(job: tuple[T.StructType, list[Month]]) -> list[Outcome]:
+        kind, members = job
+        if not _needs_own_job(kind):
+            try:
+                batch = ingest_months(spark, source, members, kind, frozen, template)
+                _replace_months(batch, target, schema)
+                return [Outcome(month, True, "OK") for month in members]
+            except Exception:  # found out below which month it was
+                pass
+        return [load_one(month) for month in members]
+
     with ThreadPoolExecutor(at_once) as pool:
-        return list(
-            pool.map(lambda m: load_month(spark, source, m, target, schema, template), months)
-        )
+        outcomes = [Outcome(m, False, "ERROR", "no file") for m in months if m not in present]
+        groups: dict[tuple[str, str], tuple[T.StructType, list[Month]]] = {}
+        for month, kind in pool.map(shape, [m for m in months if m in present]):
+            if isinstance(kind, str):
+                outcomes.append(Outcome(month, True, "ERROR", kind))
+            else:
+                groups.setdefault((month.service, kind.json()), (kind, []))[1].append(month)
+        jobs = [
+            (kind, members[i : i + per_job])
+            for kind, members in groups.values()
+            for i in range(0, len(members), per_job)
+        ]
+        for done in pool.map(load_job, jobs):
+            outcomes.extend(done)
+    return sorted(outcomes, key=lambda o: o.month)
 
 
 # ---------------------------------------------------------------- coverage

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,9 +37,12 @@ def replace_table(df: DataFrame, table: str) -> None:
     df.write.mode("overwrite").saveAsTable(table)
 
 
-def write_chunked(df: DataFrame, path: str, rows: int = CHUNK_ROWS) -> None:
+def write_chunked(
+    df: DataFrame, path: str, rows: int = CHUNK_ROWS, partition_by: Sequence[str] = ()
+) -> None:
     """Replace a dataset by files of at most ``rows`` rows, written in parallel."""
-    df.write.mode("overwrite").option("maxRecordsPerFile", rows).parquet(path)
+    writer = df.write.mode("overwrite").option("maxRecordsPerFile", rows)
+    writer.partitionBy(*partition_by).parquet(path)
 
 
 def export_csv(df: DataFrame, path: str) -> None:

@@ -7,22 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tripmart.sources.ingest import MONTH_FILE, Month, backfill_months, log_coverage
-
-# Fixed value: where a month's file name holds service, year and month.
-MONTH_NAME = r"([a-z]+)_tripdata_(\d{4})-(\d{2})"
-
-
-def touched_months(files: DataFrame) -> list[Month]:
-    """Months named by the files of a batch: a few hundred at most, one per calendar month."""
-    path = F.col("path")
-    named = files.select(
-        F.regexp_extract(path, MONTH_NAME, 1).alias("service"),
-        F.regexp_extract(path, MONTH_NAME, 2).cast("int").alias("year"),
-        F.regexp_extract(path, MONTH_NAME, 3).cast("int").alias("month"),
-    ).distinct()
-    return sorted(Month(*row) for row in named.collect())
-
+from tripmart.sources.ingest import (
+    MONTH_FILE,
+    backfill_months,
+    log_coverage,
+    named_months,
+)
 
 def stream_backfill(
     spark: SparkSession,
@@ -48,7 +38,7 @@ def stream_backfill(
     )
 
     def load(batch: DataFrame, _: int) -> None:
-        months = touched_months(batch.distinct())
+        months = named_months(batch)
         outcomes = backfill_months(spark, source, months, target, schema, template=template)
         log_coverage(spark, outcomes, log)
 
