@@ -55,7 +55,7 @@ def publish(tables: Mapping[str, DataFrame], database: str, path: str) -> None:
     Afterwards ``spark.sql`` can query them by name.
     """
     spark = next(iter(tables.values())).sparkSession
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{path}'")
     for name, df in tables.items():
         df.write.mode("overwrite").option("path", f"{path}/{name}").saveAsTable(
             f"{database}.{name}"
