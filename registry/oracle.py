@@ -563,6 +563,16 @@ WHERE rn <= 3""",
     ),
     "check_range": f"WITH {FACT} "
     + _results([("range", "fct_trips", "trip", f"SELECT count(*) FROM fact WHERE {RANGE}")]),
+    "check_not_empty": f"WITH {SILVER} "
+    + _results(
+        [
+            ("not_empty", name, "*", f"SELECT count(*) = 0 FROM silver WHERE {kept}")
+            for name, kept in {
+                "stg_all_trips": "true",
+                "trips_before_2000": "load_year < 2000",
+            }.items()
+        ]
+    ),
     "check_suite": f"WITH {FACT}, {VENDORS} " + _results(SUITE),
     "store_failures": f"""WITH {FACT} SELECT pickup_date_sk, pickup_zone_sk, passenger_count,
   trip_distance, fare_amount, tip_amount, total_amount, service_type, trip_duration_min
@@ -602,6 +612,10 @@ FROM events""",
   round(percentile_cont(0.5) WITHIN GROUP (ORDER BY trip_duration_min), 6)
     AS median_minutes
 FROM fact GROUP BY 1, 2""",
+    "run_sql_weekday": f"""WITH {SILVER} SELECT CAST(isodow(pickup_datetime) AS INT) AS day_number,
+  CAST(hour(pickup_datetime) AS INT) AS pickup_hour,
+  count(*) FILTER (WHERE service_type = 'yellow') AS yellow_trips, count(*) AS num_trips
+FROM silver GROUP BY 1, 2""",
     "append_existing": f"""WITH {BASE} SELECT * EXCLUDE (pickup_ns, dropoff_ns)
   REPLACE (CASE WHEN load_service_type = 'yellow' THEN airport_fee END AS airport_fee)
 FROM bronze""",

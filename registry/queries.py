@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart.functions import minute_of_day, ns_to_ntz
+from tripmart.functions.sql import register_sql_functions
 from tripmart.operators import conform, quality
 from tripmart.operators.impute import impute_upper_median
 from tripmart.operators.row_id import assign_row_id
@@ -92,10 +93,10 @@ def _full_fact(
     spark: SparkSession, folder: str, **options
 ) -> tuple[DataFrame, gold.Star, DataFrame]:
     """The whole fact with trip ids, its dimensions and the staged trips."""
-    extras = (silver.VENDOR, silver.DURATION, *silver.MINUTES)
-    trips = silver.with_trip_id(_trips(spark, folder, *extras))
+    unnumbered = _trips(spark, folder, silver.VENDOR, silver.DURATION, *silver.MINUTES)
     roles = options.pop("roles", ALL_ROLES)
-    star = gold.build_star(trips, bronze_zones(spark, folder), roles)
+    star = gold.build_star(unnumbered, bronze_zones(spark, folder), roles)
+    trips = silver.with_trip_id(unnumbered)
     return gold.fct_trips(trips, star, **options), star, trips
 
 
@@ -418,6 +419,16 @@ def check_range(spark: SparkSession, folder: str) -> DataFrame:
     return quality.check_range(fact, "fct_trips", "trip", range_violation())
 
 
+def check_not_empty(spark: SparkSession, folder: str) -> DataFrame:
+    trips = _trips(spark, folder)
+    return quality.union_results(
+        [
+            quality.check_not_empty(trips, "stg_all_trips"),
+            quality.check_not_empty(trips.where("load_year < 2000"), "trips_before_2000"),
+        ]
+    )
+
+
 def check_suite(spark: SparkSession, folder: str) -> DataFrame:
     fact, star, _ = _full_fact(spark, folder)
     return declared_checks(fact, star)
@@ -437,7 +448,7 @@ def store_failures(spark: SparkSession, folder: str) -> DataFrame:
 FOLDER_PER_MONTH = "file=" + ingest.MONTH_FILE
 
 
-def _month_files(spark: SparkSession, folder: str) -> str:
+def month_files(spark: SparkSession, folder: str) -> str:
     """Monthly files of both services, as their publisher names and shapes them."""
     source = new_path(spark, "source")
     bronze = raw_trips(spark, folder)
@@ -501,7 +512,7 @@ RAW_LAYER_SCHEMA = T.StructType(
 
 def ingest_months(spark: SparkSession, folder: str) -> DataFrame:
     """Both services' conformed batches, before any write."""
-    source = _month_files(spark, folder)
+    source = month_files(spark, folder)
     batches = []
     for service in ("yellow", "green"):
         months = [m for m in ingest.months_present(spark, source) if m.service == service]
@@ -514,7 +525,7 @@ def ingest_months(spark: SparkSession, folder: str) -> DataFrame:
     return lower_names(yellow.unionByName(green, allowMissingColumns=True))
 
 
-def _backfilled(
+def backfilled(
     spark: SparkSession, source: str, months: list[ingest.Month]
 ) -> tuple[DataFrame, list[ingest.Outcome]]:
     target = new_path(spark, "bronze")
@@ -524,7 +535,7 @@ def _backfilled(
     return spark.read.schema(RAW_LAYER_SCHEMA).parquet(target), outcomes
 
 
-def _all_months() -> list[ingest.Month]:
+def all_months() -> list[ingest.Month]:
     """A range of months wider than the data, so that some have no file."""
     return [
         month
@@ -534,12 +545,12 @@ def _all_months() -> list[ingest.Month]:
 
 
 def backfill_months(spark: SparkSession, folder: str) -> DataFrame:
-    loaded, _ = _backfilled(spark, _month_files(spark, folder), _all_months())
+    loaded, _ = backfilled(spark, month_files(spark, folder), all_months())
     return lower_names(loaded)
 
 
 def coverage_matrix(spark: SparkSession, folder: str) -> DataFrame:
-    _, outcomes = _backfilled(spark, _month_files(spark, folder), _all_months())
+    _, outcomes = backfilled(spark, month_files(spark, folder), all_months())
     log = new_path(spark, "coverage")
     ingest.log_coverage(spark, outcomes, log)
     return lower_names(ingest.coverage_matrix(spark.read.parquet(log)))
@@ -550,7 +561,7 @@ def stream_months(spark: SparkSession, folder: str) -> DataFrame:
     target, log = new_path(spark, "bronze"), new_path(spark, "coverage")
     query = stream_backfill(
         spark,
-        _month_files(spark, folder),
+        month_files(spark, folder),
         target,
         log,
         new_path(spark, "stream"),
@@ -653,6 +664,24 @@ def run_sql_zone_year(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def run_sql_weekday(spark: SparkSession, folder: str) -> DataFrame:
+    """SQL text over the published staging table, with the ISO weekday function."""
+    path = new_path(spark, "silver")
+    database = "silver_" + path.rsplit("-", 1)[1]
+    trips = _trips(spark, folder).select("pickup_datetime", "service_type")
+    sinks.publish({"stg_all_trips": trips}, database, path)
+    register_sql_functions(spark)
+    return spark.sql(
+        f"""
+        SELECT dayofweekiso(pickup_datetime) AS day_number,
+               extract(HOUR FROM pickup_datetime) AS pickup_hour,
+               count_if(service_type = 'yellow') AS yellow_trips, count(*) AS num_trips
+        FROM {database}.stg_all_trips
+        GROUP BY 1, 2
+        """
+    )
+
+
 def append_existing(spark: SparkSession, folder: str) -> DataFrame:
     """Yellow trips make the table; green ones are cut to its columns and appended."""
     bronze = raw_trips(spark, folder)
@@ -719,6 +748,7 @@ QUERIES: dict[str, Query] = {
     "check_relationships": check_relationships,
     "check_accepted_values": check_accepted_values,
     "check_range": check_range,
+    "check_not_empty": check_not_empty,
     "check_suite": check_suite,
     "store_failures": store_failures,
     "ingest_month": ingest_months,
@@ -731,6 +761,7 @@ QUERIES: dict[str, Query] = {
     "coerce_datetime_columns": coerce_datetime_columns,
     "backfill_control_columns": backfill_control_columns,
     "run_sql": run_sql_zone_year,
+    "run_sql_weekday": run_sql_weekday,
     "append_existing": append_existing,
     "write_chunked": write_chunked,
 }

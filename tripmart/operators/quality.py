@@ -130,6 +130,12 @@ def check_range(df: DataFrame, table: str, label: str, violation: Column) -> Dat
     return _result(counts.select(F.lit(label).alias("column"), "n_failing"), "range", table)
 
 
+def check_not_empty(df: DataFrame, table: str) -> DataFrame:
+    """Fails, with one missing row, if the table has none; reads one row only."""
+    counts = df.limit(1).agg((1 - F.count(F.lit(1))).alias("n_failing"))
+    return _result(counts.select(F.lit("*").alias("column"), "n_failing"), "not_empty", table)
+
+
 def union_results(results: Sequence[DataFrame]) -> DataFrame:
     out = results[0]
     for result in results[1:]:
