@@ -579,6 +579,7 @@ WHERE rn <= 3""",
 FROM fact WHERE {RANGE}""",
     "ingest_month": LOADED,
     "backfill_months": LOADED,
+    "stage_loaded_trips": f"WITH {SILVER} SELECT {STAGED_LIST} FROM silver",
     "stream_backfill": LOADED,
     "coverage_matrix": f"""WITH {BASE}, present AS (
   SELECT DISTINCT load_service_type, load_year, load_month FROM bronze),

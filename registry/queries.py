@@ -50,7 +50,9 @@ def lower_names(df: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- shared inputs
 
+# Paths of prepared inputs by (session, folder).
 _raw_paths: dict[tuple[str, str], str] = {}
+_source_paths: dict[tuple[str, str], str] = {}
 
 
 def raw_trips(spark: SparkSession, folder: str) -> DataFrame:
@@ -449,7 +451,13 @@ FOLDER_PER_MONTH = "file=" + ingest.MONTH_FILE
 
 
 def month_files(spark: SparkSession, folder: str) -> str:
-    """Monthly files of both services, as their publisher names and shapes them."""
+    """Monthly files of both services, as their publisher names and shapes them.
+
+    Like the raw layer, they are made once per session and folder.
+    """
+    key = (spark.sparkContext.applicationId, folder)
+    if key in _source_paths:
+        return _source_paths[key]
     source = new_path(spark, "source")
     bronze = raw_trips(spark, folder)
     for service in ("yellow", "green"):
@@ -469,6 +477,7 @@ def month_files(spark: SparkSession, folder: str) -> str:
             shaped = shaped.withColumns({"ehail_fee": F.lit(0.0), "trip_type": F.lit(1)})
         # Rebalancing gathers a month's rows, and still splits a month that is too large.
         shaped.hint("rebalance", "file").write.mode("append").partitionBy("file").parquet(source)
+    _source_paths[key] = source
     return source
 
 
@@ -549,6 +558,16 @@ def backfill_months(spark: SparkSession, folder: str) -> DataFrame:
     return lower_names(loaded)
 
 
+def stage_loaded_trips(spark: SparkSession, folder: str) -> DataFrame:
+    """From monthly files to staged trips: load, then stage what was loaded."""
+    loaded, _ = backfilled(spark, month_files(spark, folder), all_months())
+    staged = [
+        silver.stage_trips(loaded.where(F.col("LOAD_SERVICE_TYPE") == service), service)
+        for service in ("yellow", "green")
+    ]
+    return plain(silver.all_trips(*staged))
+
+
 def coverage_matrix(spark: SparkSession, folder: str) -> DataFrame:
     _, outcomes = backfilled(spark, month_files(spark, folder), all_months())
     log = new_path(spark, "coverage")
@@ -753,6 +772,7 @@ QUERIES: dict[str, Query] = {
     "store_failures": store_failures,
     "ingest_month": ingest_months,
     "backfill_months": backfill_months,
+    "stage_loaded_trips": stage_loaded_trips,
     "coverage_matrix": coverage_matrix,
     "stream_backfill": stream_months,
     "load_counts": load_counts,

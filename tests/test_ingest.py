@@ -76,6 +76,12 @@ def test_a_broken_month_spoils_no_other(spark, loaded):
     ]
 
 
+def test_a_missing_source_is_logged(spark):
+    source, target = new_path(spark, "test-source"), new_path(spark, "test-bronze")
+    [outcome] = ingest.backfill_months(spark, source, [JAN], target)
+    assert (outcome.file_exists, outcome.load_status) == (False, "ERROR")
+
+
 def test_loading_again_replaces_a_month(spark, loaded):
     source, target, _ = loaded
     put_month(spark, source, FEB, [(9, 9.0)])

@@ -6,6 +6,7 @@ from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -89,7 +90,13 @@ def named_months(files: DataFrame) -> list[Month]:
 
 def months_present(spark: SparkSession, source: str) -> list[Month]:
     """Months with a file below ``source``; lists the files without reading them."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(source)
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    try:
+        files = listing.load(source)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
     return named_months(files.select("path"))
 
 
