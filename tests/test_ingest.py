@@ -148,12 +148,12 @@ def test_coverage_shows_the_latest_attempt(spark, loaded):
 def test_zone_file_missing_texts(spark):
     path = new_path(spark, "test-zones")
     lines = ["LocationID,Borough,Zone,service_zone", "1,EWR,Newark Airport,EWR",
-             "264,Unknown,N/A,N/A", "265,,Outside of NYC,None"]
+             "264,Unknown,N/A,N/A", "265,,Out of Town,None"]
     spark.createDataFrame([("\n".join(lines),)], "v string").coalesce(1).write.text(path)
     assert rows(ingest.ingest_zones(spark, path)) == [
         (1, "EWR", "Newark Airport", "EWR"),
         (264, "Unknown", None, None),
-        (265, None, "Outside of NYC", None),
+        (265, None, "Out of Town", None),
     ]
 
 
