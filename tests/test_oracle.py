@@ -7,8 +7,10 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from compare import compare, duck
+from registry.oracle import ORACLE
+from registry.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -41,7 +43,7 @@ def connection():
     return duck(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_its_twin(spark, connection, name):
     if name in VARIANTS and not os.environ.get("ALL_QUERIES"):
         pytest.skip("variant; set ALL_QUERIES=1")
@@ -49,7 +51,7 @@ def test_query_equals_its_twin(spark, connection, name):
 
 
 def test_every_query_has_a_twin():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry(spark):
