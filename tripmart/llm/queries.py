@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm import binary, packing
+from tripmart.llm import binary, jaccard, packing
 from tripmart.session import new_path
 
 
@@ -20,6 +20,11 @@ def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(docs, "byte_bpe_50k.json", spaces=True, end_id=0)
 
 
+def op7_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """Links between all documents whose five-word shingles are similar by 0.8 or more."""
+    return jaccard.similar_documents(_table(spark, folder, "documents"))
+
+
 def op8_token_binary(spark: SparkSession, folder: str) -> DataFrame:
     """All documents written as bit-packed ids, and what the files say of each."""
     docs = _table(spark, folder, "documents")
@@ -30,6 +35,7 @@ def op8_token_binary(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_token_binary": op8_token_binary,
 }
 
