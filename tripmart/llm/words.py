@@ -21,6 +21,9 @@ SHINGLE = 5
 
 WHITE = np.zeros(256, dtype=bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
+#: Everything in ASCII that is neither a letter nor a digit.
+PUNCTUATION = np.zeros(256, dtype=bool)
+PUNCTUATION[[*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
@@ -122,9 +125,11 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
         at = end
 
 
-def spans(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def spans(
+    data: np.ndarray, begins: np.ndarray, between: np.ndarray = WHITE
+) -> tuple[np.ndarray, np.ndarray]:
     """Start and end of each word; ``begins`` marks bytes at which a text begins."""
-    inside = ~WHITE[data]
+    inside = ~between[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1] | begins[1:]
     last = inside.copy()
@@ -157,12 +162,15 @@ class Words(NamedTuple):
     first: np.ndarray
 
 
-def words_of(texts: Texts, lower: bool = True) -> Words:
-    """Places and hashes of all words; with ``lower`` the hashes ignore the case of A-Z."""
+def words_of(texts: Texts, lower: bool = True, between: np.ndarray = WHITE) -> Words:
+    """Places and hashes of all words; with ``lower`` the hashes ignore the case of A-Z.
+
+    ``between`` marks the bytes between words; it includes white space.
+    """
     parts = []
     for at, end in cuts(texts.data, texts.offsets):
         data = texts.data[at:end]
-        starts, ends = spans(data, begin_marks(texts.offsets, at, end))
+        starts, ends = spans(data, begin_marks(texts.offsets, at, end), between)
         hashes = span_hashes(LOWER[data] if lower else data, starts, ends)
         parts.append((starts + at, ends + at, hashes))
     if not parts:
@@ -190,3 +198,23 @@ def shingles(hashes: np.ndarray, length: int = SHINGLE) -> np.ndarray:
     if not len(hashes):
         return hashes
     return windows(hashes, min(length, len(hashes)))
+
+
+def segment_hashes(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """A hash of the bytes between each two neighbouring ``bounds`` (ascending), however long."""
+    bounds = np.asarray(bounds, dtype=np.int64)
+    total = np.zeros(len(bounds), dtype=np.uint64)  # prefix sums at the bounds
+    down = np.ones(len(bounds), dtype=np.uint64)
+    carry, done = 0, 0
+    for at in range(0, len(data) + 1, BLOCK):
+        block = data[at : at + BLOCK]
+        sums = np.zeros(len(block) + 1, dtype=np.uint64)
+        np.cumsum((block.astype(np.uint64) + np.uint64(1)) * _UP[: len(block)], out=sums[1:])
+        upto = int(np.searchsorted(bounds, at + len(block), "right"))
+        here = bounds[done:upto] - at
+        scale = pow(_BASE, at, 1 << 64)
+        total[done:upto] = np.uint64(carry) + sums[here] * np.uint64(scale)
+        down[done:upto] = _DOWN[here] * np.uint64(pow(_INVERSE, at, 1 << 64))
+        carry = (carry + int(sums[-1]) * scale) % (1 << 64)
+        done = upto
+    return mix((total[1:] - total[:-1]) * down[:-1] + np.diff(bounds).astype(np.uint64))
