@@ -71,7 +71,7 @@ class Tokens(NamedTuple):
 
 def tokens_of(texts: words.Texts) -> Tokens:
     found = words.words_of(texts)
-    data, ends = texts.data, found.ends
+    data, ends = words.LOWER[texts.data], found.ends
     last = ends - 1
     point = words.PUNCTUATION[data[last]] & (last > found.starts)
     last = last - point

@@ -2,8 +2,8 @@
 
 Each task packs the pieces it meets into at most ``OPEN`` open bins. The free spaces of the open
 bins are bits of one integer, so the tightest bin that fits is the lowest set bit at or above a
-piece's length. When one bin too many is open, the fullest closes. Pieces of a batch come longest
-first.
+piece's length. When one bin too many is open, the fullest closes. Of each ``OPEN`` pieces that
+arrive, the longest come first.
 
 The bins still open at the end of a task are packed again, as items of their own, by a sixteenth
 of the tasks, and so on until one task is left; it meets at most 16 * ``OPEN`` bins, whatever the
@@ -31,7 +31,7 @@ from tripmart.llm.tokens import encoder
 from tripmart.session import keep
 
 CAPACITY = 2048
-OPEN = 1024
+OPEN = 4096
 FAN_IN = 16
 
 PIECE_SCHEMA = "doc_id bigint, piece int, start long, length long, ids_crc32 long"
@@ -130,7 +130,8 @@ def _packed(capacity: int, most: int, fields: list[str], round_no: int):
         base = (round_no << 56) + (TaskContext.get().partitionId() << 32)
         for batch in batches:
             lengths = batch.column("length").to_numpy()
-            order = np.argsort(-lengths, kind="stable")
+            # Longest first among ``most`` rows: so many open bins can take, none closes early.
+            order = np.lexsort((-lengths, np.arange(len(lengths)) // most))
             placed = np.empty((2, len(lengths)), dtype=np.int64)
             for k in order.tolist():
                 placed[:, k] = packer.add(int(lengths[k]))
