@@ -243,7 +243,7 @@ speed AS (
     )
 
 
-PERCENTILES = (
+_PERCENTILES = (
     FACT
     + """,
 every AS (
@@ -257,7 +257,7 @@ first50 AS (
   SELECT * FROM every
   ORDER BY trip_year ASC NULLS LAST, trip_month ASC NULLS LAST,
     p90_duration DESC NULLS FIRST, pickup_zone ASC NULLS LAST, service_type ASC NULLS LAST
-  LIMIT 50
+  {limit}
 ),
 summary AS (
   SELECT pickup_zone, service_type, avg(p50_duration) AS p50_duration,
@@ -275,6 +275,9 @@ long AS (
 )"""
 )
 
+PERCENTILES = _PERCENTILES.replace("{limit}", "LIMIT 50")
+ALL_PERCENTILES = _PERCENTILES.replace("{limit}", "")
+
 ROUND_PERCENTILES = "round(p50_duration, 6) AS p50_duration, round(p90_duration, 6) AS p90_duration"
 
 
@@ -452,8 +455,11 @@ UNION ALL SELECT 'speed', count(*) FILTER (WHERE s) FROM flagged
 UNION ALL SELECT 'kept', count(*) FILTER (WHERE NOT (d OR f OR m OR s)) FROM flagged""",
     "dedupe_trips": f"""WITH {SILVER}
 SELECT {STAGED_LIST}, vendor_id FROM (
-  SELECT *, row_number() OVER (PARTITION BY pickup_datetime, dropoff_datetime, vendor_id
-    ORDER BY {_ORDER}, service_type) AS rn FROM silver) s
+  SELECT *, row_number() OVER (
+      PARTITION BY service_type, pickup_datetime, dropoff_datetime, vendor_id
+      ORDER BY {_ORDER}) AS rn
+  FROM (SELECT * FROM silver
+        UNION ALL SELECT * REPLACE (total_amount + 1 AS total_amount) FROM silver) t) s
 WHERE rn = 1""",
     "zone_conformance": f"""WITH {SILVER}, {ZONES} SELECT {STAGED_LIST} FROM silver
 WHERE dropoff_location_id IN (SELECT zone_sk FROM zones)""",
@@ -498,6 +504,10 @@ FROM revenue""",
     "duration_zone_summary": f"""WITH {PERCENTILES} SELECT pickup_zone, service_type,
   {ROUND_PERCENTILES} FROM summary""",
     "duration_long": f"""WITH {PERCENTILES} SELECT pickup_zone, service_type, percentile,
+  round(duration_min, 6) AS duration_min FROM long""",
+    "duration_zone_summary_all": f"""WITH {ALL_PERCENTILES} SELECT pickup_zone, service_type,
+  {ROUND_PERCENTILES} FROM summary""",
+    "duration_long_all": f"""WITH {ALL_PERCENTILES} SELECT pickup_zone, service_type, percentile,
   round(duration_min, 6) AS duration_min FROM long""",
     "q5_temporal_demand": f"WITH {JANUARY} SELECT * FROM demand",
     "q5_temporal_demand_all": f"WITH {_demand('2014-01-01', '2026-01-01')} SELECT * FROM demand",
@@ -520,6 +530,8 @@ FROM revenue GROUP BY 1, 2""",
   round(avg(avg_mph), 6) AS avg_mph
 FROM speed WHERE trip_year IS NOT NULL GROUP BY 1, 2, 3""",
     "chart_q4": f"""WITH {PERCENTILES} SELECT pickup_zone, percentile,
+  round(avg(duration_min), 6) AS duration_min FROM long GROUP BY 1, 2""",
+    "chart_q4_all": f"""WITH {ALL_PERCENTILES} SELECT pickup_zone, percentile,
   round(avg(duration_min), 6) AS duration_min FROM long GROUP BY 1, 2""",
     "top_n_per_group": f"""WITH {SILVER}
 SELECT service_type, pickup_location_id, total_amount, pickup_datetime, dropoff_datetime
@@ -579,6 +591,22 @@ WHERE rn <= 3""",
 FROM fact WHERE {RANGE}""",
     "ingest_month": LOADED,
     "backfill_months": LOADED,
+    "backfill_drift": f"""WITH {BASE} SELECT * REPLACE (
+  CASE WHEN load_month % 2 = 0 THEN congestion_surcharge END AS congestion_surcharge)
+FROM ({LOADED[len(f"WITH {BASE} ") :]}) b""",
+    "reload_empty_month": f"""WITH {BASE}, loaded AS ({LOADED[len(f"WITH {BASE} ") :]})
+SELECT * FROM loaded l WHERE (load_year, load_month) <> (
+  SELECT (load_year, load_month) FROM loaded f WHERE f.load_service_type = l.load_service_type
+  ORDER BY load_year, load_month LIMIT 1)""",
+    "loaded_rows": f"""WITH {BASE}, asked AS (
+  SELECT s.load_service_type, CAST(m // 12 AS INT) AS load_year,
+    CAST(m % 12 + 1 AS INT) AS load_month
+  FROM (VALUES ('yellow'), ('green')) s(load_service_type),
+    generate_series((SELECT min(load_year * 12 + load_month) - 2 FROM bronze),
+                    (SELECT max(load_year * 12 + load_month) FROM bronze)) g(m)),
+found AS (SELECT load_service_type, load_year, load_month, count(*) AS n FROM bronze GROUP BY ALL)
+SELECT a.load_service_type, a.load_year, a.load_month, n AS loaded_rows
+FROM asked a LEFT JOIN found USING (load_service_type, load_year, load_month)""",
     "stage_loaded_trips": f"WITH {SILVER} SELECT {STAGED_LIST} FROM silver",
     "stream_backfill": LOADED,
     "coverage_matrix": f"""WITH {BASE}, present AS (
@@ -587,7 +615,8 @@ asked AS (
   SELECT s.load_service_type, CAST(m // 12 AS INT) AS load_year,
     CAST(m % 12 + 1 AS INT) AS load_month
   FROM (VALUES ('yellow'), ('green')) s(load_service_type),
-    generate_series(2014 * 12 + 10, 2021 * 12 + 11) g(m))
+    generate_series((SELECT min(load_year * 12 + load_month) - 2 FROM bronze),
+                    (SELECT max(load_year * 12 + load_month) FROM bronze)) g(m))
 SELECT a.load_service_type, a.load_year, a.load_month, p.load_year IS NOT NULL AS file_exists,
   CASE WHEN p.load_year IS NULL THEN 'ERROR' ELSE 'OK' END AS load_status
 FROM asked a LEFT JOIN present p USING (load_service_type, load_year, load_month)""",
@@ -620,7 +649,5 @@ FROM silver GROUP BY 1, 2""",
     "append_existing": f"""WITH {BASE} SELECT * EXCLUDE (pickup_ns, dropoff_ns)
   REPLACE (CASE WHEN load_service_type = 'yellow' THEN airport_fee END AS airport_fee)
 FROM bronze""",
-    "write_chunked": f"""WITH {BASE} SELECT * EXCLUDE (pickup_ns, dropoff_ns),
-  pickup_ns AS tpep_pickup_datetime, dropoff_ns AS tpep_dropoff_datetime
-FROM bronze WHERE load_service_type = 'yellow'""",
+    "write_chunked": f"WITH {BASE} SELECT * FROM bronze",
 }

@@ -7,6 +7,7 @@ results of two engines can be compared.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,24 +51,36 @@ def lower_names(df: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- shared inputs
 
-# Paths of prepared inputs by (session, folder).
-_raw_paths: dict[tuple[str, str], str] = {}
-_source_paths: dict[tuple[str, str], str] = {}
+# Rows of a raw file at most.
+RAW_FILE_ROWS = 1_000_000
+
+# Paths of prepared inputs by session, folder and the state of its files.
+_raw_paths: dict[tuple, str] = {}
+_source_paths: dict[tuple, str] = {}
+_gold_paths: dict[tuple, tuple[DataFrame, gold.Star]] = {}
+
+
+def _input_key(spark: SparkSession, folder: str) -> tuple:
+    """Changes when a table that the trips come from does; lists files, reads none."""
+    files = []
+    for table in ("lineitem", "supplier", "nation", "region"):
+        listing = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+        rows = listing.load(f"{folder}/{table}.parquet").select("path", "modificationTime", "length")
+        files += sorted(tuple(r) for r in rows.collect())
+    return (spark.sparkContext.applicationId, folder, *files)
 
 
 def raw_trips(spark: SparkSession, folder: str) -> DataFrame:
-    """The raw trip layer: a written table, as in production, made once per session and folder.
+    """The raw trip layer: a written table, as in production, made once per session and input.
 
-    Files start at the usual chunk size and grow with the table. Queries then read single
-    columns of it, and skip the other service's files.
+    Files hold at most ``RAW_FILE_ROWS`` rows. Queries then read single columns of it, and skip
+    the other service's files.
     """
-    key = (spark.sparkContext.applicationId, folder)
+    key = _input_key(spark, folder)
     bronze = bronze_trips(spark, folder)
     if key not in _raw_paths:
         path = new_path(spark, "raw-trips")
-        rows = read_table(spark, folder, "lineitem").count()
-        chunk = min(max(sinks.CHUNK_ROWS, rows // 10_000), 50 * sinks.CHUNK_ROWS)
-        sinks.write_chunked(bronze, path, chunk, ["load_service_type"])
+        sinks.write_chunked(bronze, path, RAW_FILE_ROWS, ["load_service_type"])
         _raw_paths[key] = path
     return spark.read.schema(bronze.schema).parquet(_raw_paths[key])
 
@@ -140,7 +153,10 @@ def clean_report(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dedupe_trips(spark: SparkSession, folder: str) -> DataFrame:
-    return plain(silver.dedupe_trips(_trips(spark, folder, silver.VENDOR)))
+    """Every trip stands twice in the input, the second time with another total."""
+    trips = _trips(spark, folder, silver.VENDOR)
+    copies = trips.withColumn("total_amount", F.col("total_amount") + 1)
+    return plain(silver.dedupe_trips(trips.unionByName(copies)))
 
 
 def _zone_dimension(spark: SparkSession, folder: str) -> Kept:
@@ -189,9 +205,14 @@ def fct_trips_documented(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def gold_tables(spark: SparkSession, folder: str) -> tuple[DataFrame, gold.Star]:
-    """The clustered fact and the dimensions, written and read back."""
-    fact, star, _ = _full_fact(spark, folder)
-    return gold.cluster_fact(fact, new_path(spark, "fct_trips")), star
+    """The gold layer as written tables, made once per session and input."""
+    key = _input_key(spark, folder)
+    if key not in _gold_paths:
+        trips = _trips(spark, folder, silver.VENDOR, silver.DURATION, *silver.MINUTES)
+        _gold_paths[key] = gold.build_gold(
+            trips, bronze_zones(spark, folder), new_path(spark, "gold")
+        )
+    return _gold_paths[key]
 
 
 def cluster_fact(spark: SparkSession, folder: str) -> DataFrame:
@@ -263,6 +284,17 @@ def duration_long(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(marts.duration_long(summary), {"duration_min": 6})
 
 
+def duration_zone_summary_all(spark: SparkSession, folder: str) -> DataFrame:
+    """The same over all rows of the percentiles."""
+    every = _percentiles(spark, folder, None)
+    return rounded(marts.duration_zone_summary(every), PERCENTILE_DIGITS)
+
+
+def duration_long_all(spark: SparkSession, folder: str) -> DataFrame:
+    summary = marts.duration_zone_summary(_percentiles(spark, folder, None))
+    return rounded(marts.duration_long(summary), {"duration_min": 6})
+
+
 def q5_temporal_demand(spark: SparkSession, folder: str) -> DataFrame:
     return plain(marts.temporal_demand(_trips(spark, folder)))
 
@@ -308,11 +340,14 @@ def chart_q3(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(means, {"avg_mph": 6})
 
 
-def chart_q4(spark: SparkSession, folder: str) -> DataFrame:
-    summary = marts.duration_zone_summary(_percentiles(spark, folder))
-    long = marts.duration_long(summary)
-    means = marts.chart_means(long, ["pickup_zone", "percentile"], ["duration_min"])
-    return rounded(means, {"duration_min": 6})
+def _chart_q4(limit: int | None) -> Query:
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        summary = marts.duration_zone_summary(_percentiles(spark, folder, limit))
+        long = marts.duration_long(summary)
+        means = marts.chart_means(long, ["pickup_zone", "percentile"], ["duration_min"])
+        return rounded(means, {"duration_min": 6})
+
+    return query
 
 
 # ---------------------------------------------------------------- generic operators
@@ -360,21 +395,22 @@ def impute_sample_csv(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def check_not_null(spark: SparkSession, folder: str) -> DataFrame:
-    fact, _, _ = _full_fact(spark, folder)
+    fact, _ = gold_tables(spark, folder)
     return quality.check_not_null(
         fact, "fct_trips", ["trip_id", "pickup_date_sk", "passenger_count", "ratecode_sk"]
     )
 
 
 def check_unique(spark: SparkSession, folder: str) -> DataFrame:
-    fact, _, _ = _full_fact(spark, folder)
+    fact, _ = gold_tables(spark, folder)
     keys = (["trip_id"], ["service_type", "trip_id"], ["pickup_zone_sk"])
     return quality.union_results([quality.check_unique(fact, "fct_trips", key) for key in keys])
 
 
 def check_relationships(spark: SparkSession, folder: str) -> DataFrame:
     """Foreign keys of the fact, and the staged ids they were taken from."""
-    fact, star, trips = _full_fact(spark, folder)
+    fact, star = gold_tables(spark, folder)
+    trips = _trips(spark, folder)
     zones = (star.dim_zone.df, "zone_sk")
     payments = (star.dim_payment_type.df, "payment_type_sk")
     rates = (star.dim_ratecode.df, "ratecode_sk")
@@ -408,12 +444,7 @@ def check_accepted_values(spark: SparkSession, folder: str) -> DataFrame:
         "payment_type": list(gold.PAYMENT_LABELS),
         "ratecode_id": list(gold.RATECODE_LABELS),
     }
-    return quality.union_results(
-        [
-            quality.check_accepted_values(trips, "stg_all_trips", column, values)
-            for column, values in accepted.items()
-        ]
-    )
+    return quality.check_accepted_values(trips, "stg_all_trips", accepted)
 
 
 def check_range(spark: SparkSession, folder: str) -> DataFrame:
@@ -432,7 +463,7 @@ def check_not_empty(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def check_suite(spark: SparkSession, folder: str) -> DataFrame:
-    fact, star, _ = _full_fact(spark, folder)
+    fact, star = gold_tables(spark, folder)
     return declared_checks(fact, star)
 
 
@@ -455,7 +486,7 @@ def month_files(spark: SparkSession, folder: str) -> str:
 
     Like the raw layer, they are made once per session and folder.
     """
-    key = (spark.sparkContext.applicationId, folder)
+    key = _input_key(spark, folder)
     if key in _source_paths:
         return _source_paths[key]
     source = new_path(spark, "source")
@@ -522,16 +553,16 @@ RAW_LAYER_SCHEMA = T.StructType(
 def ingest_months(spark: SparkSession, folder: str) -> DataFrame:
     """Both services' conformed batches, before any write."""
     source = month_files(spark, folder)
-    batches = []
-    for service in ("yellow", "green"):
-        months = [m for m in ingest.months_present(spark, source) if m.service == service]
-        path = ingest.month_path(source, months[0], FOLDER_PER_MONTH)
-        batch = ingest.ingest_months(
-            spark, source, months, spark.read.parquet(path).schema, template=FOLDER_PER_MONTH
-        )
-        batches.append(batch)
-    yellow, green = batches
-    return lower_names(yellow.unionByName(green, allowMissingColumns=True))
+    groups: dict[tuple[str, str], list[ingest.Month]] = {}
+    for month in ingest.months_present(spark, source):
+        kind = spark.read.parquet(ingest.month_path(source, month, FOLDER_PER_MONTH)).schema
+        groups.setdefault((month.service, kind.json()), []).append(month)
+    out = None
+    for (_, kind), months in groups.items():
+        schema = T.StructType.fromJson(json.loads(kind))
+        batch = ingest.ingest_months(spark, source, months, schema, template=FOLDER_PER_MONTH)
+        out = batch if out is None else out.unionByName(batch, allowMissingColumns=True)
+    return lower_names(out)
 
 
 def backfilled(
@@ -544,23 +575,72 @@ def backfilled(
     return spark.read.schema(RAW_LAYER_SCHEMA).parquet(target), outcomes
 
 
-def all_months() -> list[ingest.Month]:
-    """A range of months wider than the data, so that some have no file."""
+def all_months(spark: SparkSession, source: str) -> list[ingest.Month]:
+    """All months of the files found and one more on each side, which have none, per service."""
+    found = ingest.months_present(spark, source)
+    number = [m.year * 12 + m.month - 1 for m in found]
+    low, high = min(number) - 1, max(number) + 1
     return [
         month
-        for service in ("yellow", "green")
-        for month in ingest.months_between(service, (2014, 11), (2021, 12))
+        for service in sorted({m.service for m in found})
+        for month in ingest.months_between(
+            service, (low // 12, low % 12 + 1), (high // 12, high % 12 + 1)
+        )
     ]
 
 
 def backfill_months(spark: SparkSession, folder: str) -> DataFrame:
-    loaded, _ = backfilled(spark, month_files(spark, folder), all_months())
+    source = month_files(spark, folder)
+    loaded, _ = backfilled(spark, source, all_months(spark, source))
     return lower_names(loaded)
 
 
+def drifting_files(spark: SparkSession, folder: str) -> str:
+    """Monthly files whose columns and types differ between even and odd months."""
+    source, files = month_files(spark, folder), new_path(spark, "drifting")
+    for parity in (0, 1):
+        months = [m for m in ingest.months_present(spark, source) if m.month % 2 == parity]
+        for service in sorted({m.service for m in months}):
+            own = [m for m in months if m.service == service]
+            paths = [ingest.month_path(source, m, FOLDER_PER_MONTH) for m in own]
+            raw = spark.read.parquet(*paths).withColumn(
+                "file", F.regexp_extract("_metadata.file_path", "file=([^/]+)", 1)
+            )
+            raw = (
+                raw.drop("congestion_surcharge")
+                if parity
+                else raw.withColumn("passenger_count", F.col("passenger_count").cast("bigint"))
+            )
+            raw.hint("rebalance", "file").write.mode("append").partitionBy("file").parquet(files)
+    return files
+
+
+def backfill_drift(spark: SparkSession, folder: str) -> DataFrame:
+    """Months that differ in columns and types, into a raw table whose schema nobody gave."""
+    source, target = drifting_files(spark, folder), new_path(spark, "bronze")
+    months = ingest.months_present(spark, source)
+    ingest.backfill_months(spark, source, months, target, template=FOLDER_PER_MONTH)
+    return lower_names(ingest.read_raw(spark, target))
+
+
+def reload_empty_month(spark: SparkSession, folder: str) -> DataFrame:
+    """Each service's first month comes again without rows, and so goes from the raw table."""
+    source, target = month_files(spark, folder), new_path(spark, "bronze")
+    months = ingest.months_present(spark, source)
+    ingest.backfill_months(spark, source, months, target, BRONZE_SCHEMA, template=FOLDER_PER_MONTH)
+    again = new_path(spark, "empty-months")
+    firsts = [min(m for m in months if m.service == s) for s in {m.service for m in months}]
+    for month in firsts:
+        old = spark.read.parquet(ingest.month_path(source, month, FOLDER_PER_MONTH))
+        old.limit(0).write.parquet(ingest.month_path(again, month, FOLDER_PER_MONTH))
+    ingest.backfill_months(spark, again, firsts, target, template=FOLDER_PER_MONTH)
+    return lower_names(ingest.read_raw(spark, target))
+
+
 def stage_loaded_trips(spark: SparkSession, folder: str) -> DataFrame:
     """From monthly files to staged trips: load, then stage what was loaded."""
-    loaded, _ = backfilled(spark, month_files(spark, folder), all_months())
+    source = month_files(spark, folder)
+    loaded, _ = backfilled(spark, source, all_months(spark, source))
     staged = [
         silver.stage_trips(loaded.where(F.col("LOAD_SERVICE_TYPE") == service), service)
         for service in ("yellow", "green")
@@ -568,11 +648,22 @@ def stage_loaded_trips(spark: SparkSession, folder: str) -> DataFrame:
     return plain(silver.all_trips(*staged))
 
 
-def coverage_matrix(spark: SparkSession, folder: str) -> DataFrame:
-    _, outcomes = backfilled(spark, month_files(spark, folder), all_months())
+def _coverage_log(spark: SparkSession, folder: str) -> DataFrame:
+    source = month_files(spark, folder)
+    _, outcomes = backfilled(spark, source, all_months(spark, source))
     log = new_path(spark, "coverage")
     ingest.log_coverage(spark, outcomes, log)
-    return lower_names(ingest.coverage_matrix(spark.read.parquet(log)))
+    return spark.read.parquet(log)
+
+
+def coverage_matrix(spark: SparkSession, folder: str) -> DataFrame:
+    return lower_names(ingest.coverage_matrix(_coverage_log(spark, folder)))
+
+
+def loaded_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of each month's latest load, as logged."""
+    latest = ingest.latest_outcomes(_coverage_log(spark, folder))
+    return lower_names(latest.drop("FILE_EXISTS", "LOAD_STATUS"))
 
 
 def stream_months(spark: SparkSession, folder: str) -> DataFrame:
@@ -670,15 +761,16 @@ def run_sql_zone_year(spark: SparkSession, folder: str) -> DataFrame:
     database = _published(spark, folder)
     return spark.sql(
         f"""
-        SELECT extract(YEAR FROM d.date_value) AS trip_year, z.borough,
-               count(*) AS num_trips,
-               round(percentile_cont(0.5) WITHIN GROUP (ORDER BY f.trip_duration_min), 6)
+        WITH days AS (SELECT date_sk AS pickup_date_sk, year(date_value) AS trip_year
+                      FROM {database}.dim_date),
+             zones AS (SELECT zone_sk AS pickup_zone_sk, borough FROM {database}.dim_zone)
+        SELECT trip_year, borough, count(*) AS num_trips,
+               round(percentile_cont(0.5) WITHIN GROUP (ORDER BY trip_duration_min), 6)
                  AS median_minutes
-        FROM {database}.fct_trips f
-        LEFT JOIN {database}.dim_date d ON f.pickup_date_sk = d.date_sk
-        LEFT JOIN {database}.dim_zone z ON f.pickup_zone_sk = z.zone_sk
-        GROUP BY 1, 2
-        ORDER BY 1, 2
+        FROM {database}.fct_trips
+        LEFT JOIN days USING (pickup_date_sk)
+        LEFT JOIN zones USING (pickup_zone_sk)
+        GROUP BY trip_year, borough
         """
     )
 
@@ -714,7 +806,7 @@ def append_existing(spark: SparkSession, folder: str) -> DataFrame:
 
 def write_chunked(spark: SparkSession, folder: str) -> DataFrame:
     path = new_path(spark, "chunks")
-    sinks.write_chunked(service_bronze(raw_trips(spark, folder), "yellow"), path)
+    sinks.write_chunked(raw_trips(spark, folder), path)
     return spark.read.parquet(path)
 
 
@@ -750,6 +842,8 @@ QUERIES: dict[str, Query] = {
     "q4_duration_percentiles_all": q4_duration_percentiles_all,
     "duration_zone_summary": duration_zone_summary,
     "duration_long": duration_long,
+    "duration_zone_summary_all": duration_zone_summary_all,
+    "duration_long_all": duration_long_all,
     "q5_temporal_demand": q5_temporal_demand,
     "q5_temporal_demand_all": q5_temporal_demand_all,
     "weekday_hour_heatmap": weekday_hour_heatmap,
@@ -758,7 +852,8 @@ QUERIES: dict[str, Query] = {
     "chart_q1_dropoff": _chart_q1("dropoff"),
     "chart_q2": chart_q2,
     "chart_q3": chart_q3,
-    "chart_q4": chart_q4,
+    "chart_q4": _chart_q4(50),
+    "chart_q4_all": _chart_q4(None),
     "top_n_per_group": top_trips_per_zone,
     "impute_upper_median": impute_medians,
     "impute_sample_csv": impute_sample_csv,
@@ -772,6 +867,9 @@ QUERIES: dict[str, Query] = {
     "store_failures": store_failures,
     "ingest_month": ingest_months,
     "backfill_months": backfill_months,
+    "backfill_drift": backfill_drift,
+    "reload_empty_month": reload_empty_month,
+    "loaded_rows": loaded_rows,
     "stage_loaded_trips": stage_loaded_trips,
     "coverage_matrix": coverage_matrix,
     "stream_backfill": stream_months,

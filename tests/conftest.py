@@ -1,4 +1,6 @@
+import shutil
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -7,18 +9,25 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 
+from tripmart.session import release  # noqa: E402
+
+
 @pytest.fixture(scope="session")
 def spark():
+    shared = tempfile.mkdtemp(prefix="tripmart-tests-")  # stands for the cluster's shared folder
     session = (
         SparkSession.builder.master("local[8]")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "6g")
+        .config("spark.checkpoint.dir", f"file://{shared}")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    release(session)
     session.stop()
+    shutil.rmtree(shared)
 
 
 @pytest.fixture(params=["UTC", "America/New_York"])

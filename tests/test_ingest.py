@@ -198,3 +198,110 @@ def test_stream_loads_new_months_only_and_whole(spark):
     assert rows(spark.read.parquet(target).select("VENDORID", "LOAD_MONTH")) == [
         (1, 1), (2, 2), (3, 1)
     ]
+
+
+def test_months_that_differ_make_one_readable_table(spark):
+    source, target = new_path(spark, "test-source"), new_path(spark, "test-bronze")
+    put_month(spark, source, JAN, [(1, 2)], "VendorID int, passenger_count bigint")
+    put_month(spark, source, FEB, [(2, 2.7, 1.5)],
+              "VendorID bigint, passenger_count double, airport_fee double")
+    outcomes = ingest.backfill_months(spark, source, [JAN, FEB], target)
+    assert [(o.load_status, o.rows) for o in outcomes] == [("OK", 1), ("OK", 1)]
+    back = ingest.read_raw(spark, target)
+    assert back.columns[:3] == ["VENDORID", "PASSENGER_COUNT", "AIRPORT_FEE"]
+    assert rows(back.select(*back.columns[:3], "LOAD_MONTH")) == [
+        (1, 2.0, None, 1), (2, 2.7, 1.5, 2)
+    ]
+    # The table is there now: later months are fitted to it.
+    put_month(spark, source, MAR, [(3.5, "x")], "VendorID double, later string")
+    [outcome] = ingest.backfill_months(spark, source, [MAR], target)
+    assert outcome.load_status == "OK"
+    again = ingest.read_raw(spark, target)
+    assert again.columns == back.columns
+    assert rows(again.where("LOAD_MONTH = 3").select("VENDORID", "PASSENGER_COUNT")) == [(4, None)]
+
+
+def test_a_month_reloaded_empty_loses_its_rows(spark, loaded):
+    source, target, _ = loaded
+    put_month(spark, source, FEB, [(9, 9.0)])
+    ingest.backfill_months(spark, source, [FEB], target)
+    put_month(spark, source, JAN, [])
+    outcomes = ingest.backfill_months(spark, source, [JAN, FEB], target)
+    assert [(o.load_status, o.rows) for o in outcomes] == [("OK", 0), ("OK", 1)]
+    assert rows(ingest.read_raw(spark, target).select("VENDORID", "LOAD_MONTH")) == [(9, 2)]
+
+
+def test_the_log_holds_row_counts(spark, loaded):
+    _, _, outcomes = loaded
+    log = new_path(spark, "test-log")
+    ingest.log_coverage(spark, outcomes, log)
+    assert rows(spark.read.parquet(log).select("LOAD_MONTH", "LOADED_ROWS")) == [
+        (1, 2), (2, None), (3, None)
+    ]
+
+
+def test_fractions_round_into_whole_columns(spark):
+    df = spark.createDataFrame([(2.7, "2.5", "9007199254740993"), (-2.5, "x", None)],
+                               "a double, b string, c string")
+    kind = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType()),
+                         T.StructField("c", T.LongType()), T.StructField("d", T.DateType())])
+    assert rows(conform.align_to_schema(df, kind)) == [
+        (-3, None, None, None), (3, 3, 9007199254740993, None)
+    ]
+
+
+def test_dates_of_other_shapes(spark, zone):
+    texts = ["01/15/2019 10:00:00 AM", "12/31/2019 12:05:09 PM", "03/10/2019 02:30:00",
+             "02/29/2020 23:59", "07/04/2021", "2019-01-01 00:00:00", None]
+    good = spark.createDataFrame([(t,) for t in texts], "pickup_date string")
+    assert [str(r[0]) for r in conform.coerce_datetime_columns(good).collect()] == [
+        "2019-01-15 10:00:00", "2019-12-31 12:05:09", "2019-03-10 02:30:00",
+        "2020-02-29 23:59:00", "2021-07-04 00:00:00", "2019-01-01 00:00:00", "None",
+    ]
+    for odd in ("02/30/2020", "02/29/2019", "13/01/2020", "04/31/2020", "01/15/2019 13:00:00 AM"):
+        bad = spark.createDataFrame([(odd,)], "pickup_date string")
+        assert conform.coerce_datetime_columns(bad).first()[0] == odd
+
+
+def test_stream_tries_failed_months_again_and_sees_empty_files(spark):
+    source, target, log, state = (new_path(spark, f"test-{x}") for x in ("s", "t", "l", "c"))
+
+    def run():
+        stream_backfill(spark, source, target, log, state).awaitTermination()
+
+    put_month(spark, source, JAN, [(1, 0.5)])
+    path = ingest.month_path(source, FEB)
+    spark.createDataFrame([("not parquet",)], "v string").coalesce(1).write.text(path)
+    put_month(spark, source, MAR, [])
+    run()
+    latest = ingest.latest_outcomes(spark.read.parquet(log))
+    assert rows(latest.select("LOAD_MONTH", "LOAD_STATUS", "LOADED_ROWS")) == [
+        (1, "OK", 1), (2, "ERROR", None), (3, "OK", 0)
+    ]
+    put_month(spark, source, FEB, [(2, 1.0)])
+    run()
+    assert ingest.failed_months(spark, log) == []
+    assert rows(ingest.read_raw(spark, target).select("VENDORID", "LOAD_MONTH")) == [(1, 1), (2, 2)]
+
+
+def test_the_stream_tries_again_without_new_files(spark, monkeypatch):
+    source, target, log, state = (new_path(spark, f"test-{x}") for x in ("s", "t", "l", "c"))
+    put_month(spark, source, JAN, [(1, 0.5)])
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest, "_replace_months", lambda *a: 1 / 0)
+        stream_backfill(spark, source, target, log, state).awaitTermination()
+    assert ingest.failed_months(spark, log) == [JAN]
+    stream_backfill(spark, source, target, log, state).awaitTermination()
+    assert ingest.failed_months(spark, log) == []
+    assert rows(ingest.read_raw(spark, target).select("VENDORID")) == [(1,)]
+
+
+def test_tables_are_made_extended_and_replaced(spark):
+    name = "test_sink_" + new_path(spark, "x").rsplit("-", 1)[1]
+    df = spark.createDataFrame([(1, "a")], "id int, t string")
+    sinks.append_table(df, name)
+    sinks.append_table(df, name)
+    assert rows(spark.table(name)) == [(1, "a"), (1, "a")]
+    sinks.replace_table(df, name)
+    assert rows(spark.table(name)) == [(1, "a")]
+    spark.sql(f"DROP TABLE {name}")

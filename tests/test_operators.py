@@ -126,3 +126,21 @@ def test_broadcast_depends_on_the_counted_size(spark):
         for side in (small_side(kept), small_side(big))
     )
     assert "strategy=broadcast" in hinted and "strategy=broadcast" not in plain
+
+
+def test_medians_of_large_whole_numbers_and_decimals(spark):
+    big = 9_007_199_254_740_993
+    df = spark.createDataFrame(
+        [(big, "0.10"), (None, None), (big, "12345678901234567890.12")], "n bigint, d string"
+    ).withColumn("d", F.col("d").cast("decimal(24,2)"))
+    filled = impute_upper_median(df, ["n", "d"])
+    assert filled.dtypes == df.dtypes
+    assert rows(filled.where("n = 9007199254740993 AND d > 1")) and filled.where("n IS NULL").isEmpty()
+    assert {r.n for r in filled.collect()} == {big}
+    assert str(max(r.d for r in filled.collect())) == "12345678901234567890.12"
+
+
+def test_repeated_keys_only_are_compared(skewed):
+    df, _ = skewed
+    plan = keep_first_per_key(df, ["g", "v"])._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan

@@ -1,9 +1,4 @@
-"""Queries against their DuckDB twins, on the smallest tables.
-
-Queries that vary another one of the list are left to ``compare.py``, or to ALL_QUERIES=1.
-"""
-
-import os
+"""Queries against their DuckDB twins, on the smallest tables."""
 
 import pytest
 
@@ -14,30 +9,6 @@ from registry.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
-VARIANTS = {
-    "stage_green_trips",
-    "zone_conformance_rejects",
-    "dim_date_all_services",
-    "fct_trips",
-    "fct_trips_vendor_fanout",
-    "q1_dropoff_top_zones",
-    "q4_duration_percentiles_all",
-    "duration_zone_summary",
-    "duration_long",
-    "q5_temporal_demand_all",
-    "chart_q1_pickup",
-    "chart_q1_dropoff",
-    "chart_q2",
-    "chart_q3",
-    "check_not_null",
-    "check_unique",
-    "check_relationships",
-    "ingest_month",
-    "backfill_months",
-    "stream_backfill",
-}
-
-
 @pytest.fixture(scope="module")
 def connection():
     return duck(FOLDER)
@@ -45,8 +16,6 @@ def connection():
 
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_its_twin(spark, connection, name):
-    if name in VARIANTS and not os.environ.get("ALL_QUERIES"):
-        pytest.skip("variant; set ALL_QUERIES=1")
     assert compare(spark, connection, FOLDER, name) == ""
 
 

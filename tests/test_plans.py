@@ -8,7 +8,8 @@ from registry import queries as q
 from tripmart.operators import quality
 from tripmart.plans import gold, marts, silver
 from tripmart.plans.suite import declared_checks
-from tripmart.session import Kept, keep
+from tripmart.plans import suite
+from tripmart.session import Kept, keep, new_path
 from tripmart.sources.tables import service_bronze
 
 FOLDER = "/root/testdata/sf0.001"
@@ -212,11 +213,28 @@ def test_marts_never_gather_trips_in_one_task(spark):
         assert "SinglePartition" not in plan_of(mart)
 
 
-def test_clustered_fact_skips_files(spark):
-    table = q.cluster_fact(spark, FOLDER)
-    plan = plan_of(table.where("service_type = 'green' AND pickup_date_sk = 700"))
-    assert "PartitionFilters: [isnotnull(service_type" in plan
-    assert "EqualTo(pickup_date_sk,700)" in plan
+def files_with(df, condition):
+    """Files of a table that hold rows of a condition."""
+    return df.where(condition).select(F.col("_metadata.file_path")).distinct().count()
+
+
+def test_clustering_gathers_a_day_in_few_files(spark):
+    """Fails on a table in the order of arrival, as the second half shows."""
+    fact, _, _ = q._full_fact(spark, "/root/testdata/sf0.01")
+    fact = keep(fact, "test-fact").df.where("service_type = 'green'")
+    dated = fact.where("pickup_date_sk IS NOT NULL")
+    day = dated.groupBy("pickup_date_sk").count().orderBy(F.desc("count")).first()[0]
+    path = new_path(spark, "test-clustered")
+    gold.cluster_fact(fact, path, 8)
+    clustered = spark.read.parquet(path)
+    plain = new_path(spark, "test-unclustered")
+    fact.repartition(8).write.parquet(plain)
+    arrival = spark.read.parquet(plain)
+    where = F.col("pickup_date_sk") == day
+    assert clustered.count() == arrival.count()
+    assert files_with(clustered, where) <= 2 < files_with(arrival, where)
+    plan = plan_of(clustered.where(where))
+    assert "EqualTo(pickup_date_sk," in plan
 
 
 # ---------------------------------------------------------------- marts
@@ -290,8 +308,8 @@ def test_checks_find_what_is_wrong(spark):
             quality.check_unique(df, "t", ["id"]),
             quality.check_unique(df, "t", ["id", "fk"]),
             quality.check_relationships(df, "t", {"fk": (parent, "k")}),
-            quality.check_accepted_values(df, "t", "fk", [5]),
-            quality.check_accepted_values(df, "t", "fk", [5, 6]),
+            quality.check_accepted_values(df, "t", {"fk": [5]}),
+            quality.check_accepted_values(df, "t", {"fk": [5, 6]}),
             quality.check_range(df, "t", "fk", F.col("fk") > 5),
         ]
     )
@@ -328,6 +346,49 @@ def test_declared_suite_has_nineteen_checks(spark):
     assert dict(rows(by_kind)) == {"not_null": 7, "unique": 6, "relationships": 6}
 
 
+def test_gold_tables_and_checks_on_them(spark):
+    fact, star = q.gold_tables(spark, FOLDER)
+    assert q.gold_tables(spark, FOLDER)[0] is fact
+    folder = fact.inputFiles()[0].split("/fct_trips/")[0]
+    tables = gold.read_gold(spark, folder)
+    assert tables["fct_trips"].count() == fact.count() > 0
+    assert rows(tables["dim_vendor"]) == rows(gold.dim_vendor(spark))
+    for name in ("dim_date", "dim_zone", "dim_payment_type", "dim_ratecode"):
+        assert tables[name].count() == getattr(star, name).df.count() > 0
+    plan = plan_of(quality.check_unique(fact, "fct_trips", ["trip_id"]))
+    assert "Join" not in plan
+    plan = plan_of(q.check_accepted_values(spark, FOLDER))
+    assert plan.count("FileScan parquet") <= 2  # one for each service
+
+
+def test_failing_rows_of_every_check_are_stored(spark):
+    fact, star = q.gold_tables(spark, FOLDER)
+    paths = suite.store_failures(fact, star, new_path(spark, "failures"))
+    assert len(paths) == 20
+    stored = {name: spark.read.parquet(path).count() for name, path in paths.items()}
+    wanted = {
+        f"{r['check']}_{r['table']}_{r['column']}": r.n_failing
+        for r in declared_checks(fact, star).collect()
+    }
+    assert wanted == {k: v for k, v in stored.items() if k != "range_fct_trips"}
+    assert stored["range_fct_trips"] == fact.where(suite.range_violation()).count() > 0
+
+
+def test_release_removes_what_was_kept(spark):
+    from tripmart.session import release, remove_path
+
+    path = keep(spark.range(3).toDF("id"), "test-release").path
+    assert spark.read.parquet(path).count() == 3
+    assert remove_path(spark, path) and not remove_path(spark, path)
+    assert callable(release)
+
+
+def test_trips_of_two_services_are_no_copies(spark):
+    yellow = staged(spark, {}, {}, extras=["vendor_id"])
+    green = yellow.withColumn("service_type", F.lit("green"))
+    assert silver.dedupe_trips(yellow.unionByName(green)).count() == 2
+
+
 def test_starter_rows_fail_not_null_by_design(spark):
     rows_ = spark.createDataFrame([(1,), (None,)], "id int")
     assert quality.check_not_null(rows_, "starter", ["id"]).first().status == "fail"

@@ -7,21 +7,39 @@ from typing import Any
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripmart.operators.row_id import PART, range_sorted
 from tripmart.session import keep
 
 
+def _common(kind: T.DataType) -> str:
+    """The type in which a column's values are compared, without loss."""
+    if isinstance(kind, T.IntegralType):
+        return "bigint"
+    return kind.simpleString() if isinstance(kind, T.DecimalType) else "double"
+
+
 def upper_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, Any]:
     """``sorted(non-null values)[floor(n / 2)]`` of each numeric column.
 
     Exact, and no task sees a whole column: equal values are counted first, the counts are
     range-sorted, and a running sum is taken only in the one partition per column that holds
-    the middle row. A column without values is left out.
+    the middle row. Integral, decimal and floating columns go apart, so that no value passes
+    through a type that cannot hold it. A column without values is left out.
     """
-    columns = list(columns)
+    kinds: dict[str, list[str]] = {}
+    for column in columns:
+        kinds.setdefault(_common(df.schema[column].dataType), []).append(column)
+    found: dict[str, Any] = {}
+    for kind, members in kinds.items():
+        found |= _medians(df, members, kind)
+    return found
+
+
+def _medians(df: DataFrame, columns: list[str], kind: str) -> dict[str, Any]:
     counts = (
-        df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+        df.select(*[F.col(c).cast(kind).alias(c) for c in columns])
         .unpivot([], columns, "column", "value")
         .where(F.col("value").isNotNull())
         .groupBy("column", "value")

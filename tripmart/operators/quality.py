@@ -116,13 +116,27 @@ def check_relationships(
 
 
 def check_accepted_values(
-    df: DataFrame, table: str, column: str, accepted: Sequence[Any]
+    df: DataFrame, table: str, accepted: Mapping[str, Sequence[Any]]
 ) -> DataFrame:
-    counts = failing_accepted_values(df, column, accepted).agg(
-        F.count(F.lit(1)).alias("n_failing")
+    """All listed columns of a table in one pass: ``{column: accepted values}``.
+
+    Counts the unexpected values, not their rows; values are compared as texts.
+    """
+    columns = list(accepted)
+    fine = F.lit(False)
+    for column, values in accepted.items():
+        known = [str(v) for v in values]
+        fine = fine | ((F.col("column") == column) & F.col("value").isin(*known))
+    counts = (
+        df.select(*[F.col(c).cast("string").alias(c) for c in columns])
+        .unpivot([], columns, "column", "value")
+        .where(F.col("value").isNotNull() & ~fine)
+        .distinct()
+        .select("column", F.lit(1).cast("bigint").alias("n"))
     )
-    label = F.lit(column).alias("column")
-    return _result(counts.select(label, "n_failing"), "accepted_values", table)
+    zeros = df.sparkSession.createDataFrame([(c, 0) for c in columns], "column string, n bigint")
+    found = counts.unionByName(zeros).groupBy("column").agg(F.sum("n").alias("n_failing"))
+    return _result(found, "accepted_values", table)
 
 
 def check_range(df: DataFrame, table: str, label: str, violation: Column) -> DataFrame:

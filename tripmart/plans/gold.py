@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripmart.functions import minute_of_day
-from tripmart.plans.silver import stage_zones, trip_minutes
+from tripmart.plans.silver import stage_zones, trip_minutes, with_trip_id
 from tripmart.session import BROADCAST_ROWS, Kept, keep, small_side
 
 # First and last calendar day, labels of codes, vendors.
@@ -301,3 +301,29 @@ def cluster_fact(fact: DataFrame, path: str, partitions: int | None = None) -> D
     )
     # Partition columns come last on disk.
     return fact.sparkSession.read.schema(fact.schema).parquet(path).select(*fact.columns)
+
+
+def build_gold(
+    trips: DataFrame, bronze_zones: DataFrame, folder: str, source: str = "yellow"
+) -> tuple[DataFrame, Star]:
+    """Write the whole gold layer below ``folder``: the clustered fact and all five dimensions.
+
+    ``trips`` are the staged trips of all services, without ids. The fact is joined with the
+    written dimensions. Returns the tables read back; ``read_gold`` opens them later.
+    """
+    star = build_star(trips, bronze_zones, source=source)
+    made = {
+        name: keep(dim.df, name, f"{folder}/{name}")
+        for name, dim in star._asdict().items()
+        if dim is not None
+    }
+    keep(dim_vendor(trips.sparkSession), "dim_vendor", f"{folder}/dim_vendor")
+    written = Star(**made)
+    fact = fct_trips(with_trip_id(trips), written)
+    return cluster_fact(fact, f"{folder}/fct_trips"), written
+
+
+def read_gold(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The tables that ``build_gold`` has written, by name."""
+    names = ("fct_trips", "dim_date", "dim_zone", "dim_payment_type", "dim_ratecode", "dim_vendor")
+    return {name: spark.read.parquet(f"{folder}/{name}") for name in names}

@@ -191,8 +191,9 @@ def clean_report(trips: DataFrame) -> DataFrame:
 
 
 def dedupe_trips(trips: DataFrame, key: Sequence[str] = ()) -> DataFrame:
-    """One trip per (pickup, dropoff, vendor): the least by all other columns."""
-    return keep_first_per_key(trips, key or ["pickup_datetime", "dropoff_datetime", "vendor_id"])
+    """One trip per service, pickup, dropoff and vendor: the least by all other columns."""
+    key = key or ["service_type", "pickup_datetime", "dropoff_datetime", "vendor_id"]
+    return keep_first_per_key(trips, key)
 
 
 def zone_conformance(

@@ -18,16 +18,21 @@ def range_violation() -> Column:
     )
 
 
-def declared_checks(fact: DataFrame, star: Star) -> DataFrame:
-    """Seven not-null, six unique and six relationship checks, one result row each."""
-    keyed = {
+FACT_NOT_NULL = ("trip_id", "pickup_date_sk", "passenger_count")
+
+
+def _keyed(star: Star) -> dict[str, tuple[DataFrame, str]]:
+    return {
         "dim_date": (star.dim_date.df, "date_sk"),
         "dim_zone": (star.dim_zone.df, "zone_sk"),
         "dim_payment_type": (star.dim_payment_type.df, "payment_type_sk"),
         "dim_ratecode": (star.dim_ratecode.df, "ratecode_sk"),
     }
-    vendors = dim_vendor(fact.sparkSession)
-    parents = {
+
+
+def _parents(star: Star) -> dict[str, tuple[DataFrame, str]]:
+    keyed = _keyed(star)
+    return {
         "pickup_date_sk": keyed["dim_date"],
         "dropoff_date_sk": keyed["dim_date"],
         "pickup_zone_sk": keyed["dim_zone"],
@@ -35,15 +40,51 @@ def declared_checks(fact: DataFrame, star: Star) -> DataFrame:
         "payment_type_sk": keyed["dim_payment_type"],
         "ratecode_sk": keyed["dim_ratecode"],
     }
+
+
+def declared_checks(fact: DataFrame, star: Star) -> DataFrame:
+    """Seven not-null, six unique and six relationship checks, one result row each.
+
+    Meant for the written tables: each kind of check scans the fact once.
+    """
+    keyed = _keyed(star)
+    vendors = dim_vendor(fact.sparkSession)
     return quality.union_results(
         [
-            quality.check_not_null(
-                fact, "fct_trips", ["trip_id", "pickup_date_sk", "passenger_count"]
-            ),
+            quality.check_not_null(fact, "fct_trips", FACT_NOT_NULL),
             *[quality.check_not_null(df, name, [key]) for name, (df, key) in keyed.items()],
             quality.check_unique(fact, "fct_trips", ["trip_id"]),
             *[quality.check_unique(df, name, [key]) for name, (df, key) in keyed.items()],
             quality.check_unique(vendors, "dim_vendor", ["vendor_sk"]),
-            quality.check_relationships(fact, "fct_trips", parents),
+            quality.check_relationships(fact, "fct_trips", _parents(star)),
         ]
     )
+
+
+def failing_rows(fact: DataFrame, star: Star) -> dict[str, DataFrame]:
+    """The rows that each declared check, and the range check, holds against the tables."""
+    keyed = _keyed(star)
+    tables = {name: (df, [key]) for name, (df, key) in keyed.items()}
+    tables["dim_vendor"] = (dim_vendor(fact.sparkSession), ["vendor_sk"])
+    out = {f"not_null_fct_trips_{c}": quality.failing_not_null(fact, c) for c in FACT_NOT_NULL}
+    out |= {
+        f"not_null_{name}_{key}": quality.failing_not_null(df, key)
+        for name, (df, key) in keyed.items()
+    }
+    out |= {
+        f"unique_{name}_{key[0]}": quality.failing_unique(df, key)
+        for name, (df, key) in {"fct_trips": (fact, ["trip_id"]), **tables}.items()
+    }
+    out |= {
+        f"relationships_fct_trips_{c}": quality.failing_relationships(fact, c, parent, key)
+        for c, (parent, key) in _parents(star).items()
+    }
+    return out | {"range_fct_trips": quality.failing_range(fact, range_violation())}
+
+
+def store_failures(fact: DataFrame, star: Star, folder: str) -> dict[str, str]:
+    """Write the failing rows of every check; path by check."""
+    return {
+        name: quality.store_failures(rows, folder, name)
+        for name, rows in failing_rows(fact, star).items()
+    }

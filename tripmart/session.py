@@ -68,3 +68,19 @@ def small_side(kept: Kept, limit: int = BROADCAST_ROWS) -> DataFrame:
     Unhinted, Spark joins it by shuffle and AQE splits skewed keys.
     """
     return F.broadcast(kept.df) if kept.rows <= limit else kept.df
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder of any store that Spark reaches; whether there was one."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return store.delete(place, True)
+
+
+def release(spark: SparkSession) -> bool:
+    """Delete all that this session's jobs have kept below the shared folder.
+
+    For the end of a run that has a shared folder of its own: frames that read kept tables cannot
+    be used afterwards.
+    """
+    return remove_path(spark, f"{shared_dir(spark)}/tripmart")

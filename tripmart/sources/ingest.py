@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
@@ -17,7 +18,9 @@ from tripmart.operators.conform import (
     align_to_schema,
     conform_batch,
     normalise_columns,
+    united_schema,
 )
+from tripmart.session import remove_path
 
 # Fixed value: name of a month's file below the source folder.
 MONTH_FILE = "{service}_tripdata_{year}-{month:02d}.parquet"
@@ -60,12 +63,13 @@ class Month(NamedTuple):
 
 
 class Outcome(NamedTuple):
-    """One coverage log row."""
+    """One coverage log row; ``rows`` are those loaded."""
 
     month: Month
     file_exists: bool
     load_status: str
     error: str | None = None
+    rows: int | None = None
 
 
 def months_between(service: str, first: tuple[int, int], last: tuple[int, int]) -> list[Month]:
@@ -148,18 +152,70 @@ def ingest_zones(spark: SparkSession, path: str) -> DataFrame:
     return known.withColumn("LOCATIONID", round_to_int("LOCATIONID", T.StringType()))
 
 
-def _replace_months(batch: DataFrame, target: str, schema: T.StructType | None) -> None:
-    """Write a batch over the months it holds, leaving all other months alone."""
-    if schema is not None:
-        control = [f for f in batch.schema if f.name in MONTH_PARTITIONS]
-        data = [f for f in schema if f.name.upper() not in MONTH_PARTITIONS]
-        batch = align_to_schema(batch, T.StructType([*data, *control]))
+# The raw table's schema lies in this folder below it; Spark passes over such names.
+SCHEMA_FOLDER = "_schema"
+
+
+def _data_fields(schema: T.StructType) -> list[T.StructField]:
+    return [f for f in schema if f.name.upper() not in MONTH_PARTITIONS]
+
+
+def stored_schema(spark: SparkSession, target: str) -> T.StructType | None:
+    """Columns of the raw table without its partition columns; None if there is no table."""
+    try:
+        rows = spark.read.text(f"{target}/{SCHEMA_FOLDER}", wholetext=True).collect()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return T.StructType.fromJson(json.loads(rows[0].value)) if rows else None
+
+
+def store_schema(spark: SparkSession, target: str, schema: T.StructType) -> None:
+    text = T.StructType(_data_fields(schema)).json()
+    rows = spark.createDataFrame([(text,)], "value string").coalesce(1)
+    rows.write.mode("overwrite").text(f"{target}/{SCHEMA_FOLDER}")
+
+
+def read_raw(spark: SparkSession, target: str) -> DataFrame:
+    """The raw table with all columns it was created with, whatever each month's files hold."""
+    schema = stored_schema(spark, target)
+    if schema is None:
+        raise ValueError(f"no raw table at {target}")
+    control = "LOAD_SERVICE_TYPE string, LOAD_YEAR int, LOAD_MONTH int"
+    fields = [*_data_fields(schema), *T._parse_datatype_string(control)]
+    return spark.read.schema(T.StructType(fields)).parquet(target)
+
+
+def _partition_path(target: str, month: Month) -> str:
+    values = (month.service, month.year, month.month)
+    return "/".join([target, *[f"{c}={v}" for c, v in zip(MONTH_PARTITIONS, values, strict=True)]])
+
+
+def _replace_months(
+    batch: DataFrame, target: str, schema: T.StructType, months: Sequence[Month]
+) -> dict[Month, int]:
+    """Write a batch over its months, leaving all other months alone; rows of each month.
+
+    Rows are counted from the files' footers. A month without rows loses its old ones, which the
+    write alone would leave.
+    """
+    spark = batch.sparkSession
+    found = batch.groupBy("LOAD_YEAR", "LOAD_MONTH").count().collect()
+    rows = {(r["LOAD_YEAR"], r["LOAD_MONTH"]): r["count"] for r in found}
+    control = [f for f in batch.schema if f.name in MONTH_PARTITIONS]
+    fitted = align_to_schema(batch, T.StructType([*_data_fields(schema), *control]))
     (
-        batch.write.mode("overwrite")
+        fitted.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*MONTH_PARTITIONS)
         .parquet(target)
     )
+    counted = {m: rows.get((m.year, m.month), 0) for m in months}
+    for month, n in counted.items():
+        if not n:
+            remove_path(spark, _partition_path(target, month))
+    return counted
 
 
 def _needs_own_job(schema: T.StructType) -> bool:
@@ -179,14 +235,16 @@ def backfill_months(
 ) -> list[Outcome]:
     """Load months into the raw layer; a repeated month replaces its earlier rows.
 
+    The raw table has one schema, kept beside it: that of the table if there is one, else
+    ``schema``, else the columns of all these months, each wide enough for all of them. Batches are
+    fitted to it: unknown columns are dropped, absent ones are NULL. Read it with ``read_raw``.
+
     Months of one service whose files have the same schema share a job, up to ``per_job`` of
-    them. If a job fails, its months are loaded one by one, so that a broken file spoils only
-    its own month. Rows go from the file to their partition without a shuffle. With
-    ``schema`` the raw table is frozen: unknown columns are dropped, absent ones are NULL.
+    them. If a job fails, each half of its months is loaded again, down to the broken file, which
+    spoils only its own month. Rows go from the file to their partition without a shuffle.
     """
     months = sorted(set(months))
     present = set(months_present(spark, source))
-    frozen = None if schema is None else schema.names
 
     def shape(month: Month) -> tuple[Month, T.StructType | str]:
         try:
@@ -194,24 +252,28 @@ def backfill_months(
         except Exception as error:  # an unreadable file is logged
             return month, str(error)
 
-    def load_one(month: Month) -> Outcome:
+    def batch_of(kind: T.StructType, members: list[Month], known: list[str] | None) -> DataFrame:
+        if len(members) == 1:
+            return ingest_month(spark, source, members[0], known, template)
+        return ingest_months(spark, source, members, kind, known, template)
+
+    def conformed(job: tuple[T.StructType, list[Month]]) -> T.StructType | None:
         try:
-            batch = ingest_month(spark, source, month, frozen, template)
-            _replace_months(batch, target, schema)
-            return Outcome(month, True, "OK")
-        except Exception as error:  # a broken month is logged and the others go on
-            return Outcome(month, True, "ERROR", str(error))
+            return batch_of(*job, None).schema
+        except Exception:  # a broken file; its load will say so
+            return None
 
     def load_job(job: tuple[T.StructType, list[Month]]) -> list[Outcome]:
         kind, members = job
-        if not _needs_own_job(kind):
-            try:
-                batch = ingest_months(spark, source, members, kind, frozen, template)
-                _replace_months(batch, target, schema)
-                return [Outcome(month, True, "OK") for month in members]
-            except Exception:  # found out below which month it was
-                pass
-        return [load_one(month) for month in members]
+        try:
+            batch = batch_of(kind, members, frozen.names)
+            rows = _replace_months(batch, target, frozen, members)
+            return [Outcome(month, True, "OK", rows=rows[month]) for month in members]
+        except Exception as error:  # the others go on
+            if len(members) == 1:
+                return [Outcome(members[0], True, "ERROR", str(error))]
+            half = len(members) // 2
+            return load_job((kind, members[:half])) + load_job((kind, members[half:]))
 
     with ThreadPoolExecutor(at_once) as pool:
         outcomes = [Outcome(m, False, "ERROR", "no file") for m in months if m not in present]
@@ -222,12 +284,21 @@ def backfill_months(
             else:
                 groups.setdefault((month.service, kind.json()), (kind, []))[1].append(month)
         jobs = [
-            (kind, members[i : i + per_job])
+            (kind, members[i : i + step])
             for kind, members in groups.values()
-            for i in range(0, len(members), per_job)
+            for step in [1 if _needs_own_job(kind) else per_job]
+            for i in range(0, len(members), step)
         ]
-        for done in pool.map(load_job, jobs):
-            outcomes.extend(done)
+        frozen = stored_schema(spark, target) or schema
+        if frozen is None and jobs:
+            found = [s for s in pool.map(conformed, jobs) if s is not None]
+            frozen = T.StructType(_data_fields(united_schema(found))) if found else None
+        if frozen is not None:
+            store_schema(spark, target, frozen)
+            for done in pool.map(load_job, jobs):
+                outcomes.extend(done)
+        else:
+            outcomes.extend(Outcome(m, True, "ERROR", "unreadable") for _, ms in jobs for m in ms)
     return sorted(outcomes, key=lambda o: o.month)
 
 
@@ -235,13 +306,13 @@ def backfill_months(
 
 COVERAGE_SCHEMA = (
     "LOAD_SERVICE_TYPE string, LOAD_YEAR int, LOAD_MONTH int, FILE_EXISTS boolean, "
-    "LOAD_STATUS string"
+    "LOAD_STATUS string, LOADED_ROWS bigint"
 )
 
 
 def coverage_rows(spark: SparkSession, outcomes: Sequence[Outcome]) -> DataFrame:
     """Log rows of one batch, stamped with the time of logging."""
-    rows = [(*o.month, o.file_exists, o.load_status) for o in outcomes]
+    rows = [(*o.month, o.file_exists, o.load_status, o.rows) for o in outcomes]
     return spark.createDataFrame(rows, COVERAGE_SCHEMA).withColumn(
         "LOGGED_AT", F.current_timestamp()
     )
@@ -252,12 +323,31 @@ def log_coverage(spark: SparkSession, outcomes: Sequence[Outcome], path: str) ->
     coverage_rows(spark, outcomes).coalesce(1).write.mode("append").parquet(path)
 
 
-def coverage_matrix(log: DataFrame) -> DataFrame:
-    """Latest outcome per service, year and month."""
-    latest = F.max_by(F.struct("FILE_EXISTS", "LOAD_STATUS"), "LOGGED_AT").alias("latest")
+def latest_outcomes(log: DataFrame) -> DataFrame:
+    """Latest log row per service, year and month."""
+    kept = ["FILE_EXISTS", "LOAD_STATUS", "LOADED_ROWS"]
+    latest = F.max_by(F.struct(*kept), "LOGGED_AT").alias("latest")
     return (
         log.groupBy("LOAD_SERVICE_TYPE", "LOAD_YEAR", "LOAD_MONTH")
         .agg(latest)
         .select("LOAD_SERVICE_TYPE", "LOAD_YEAR", "LOAD_MONTH", "latest.*")
-        .orderBy("LOAD_SERVICE_TYPE", "LOAD_YEAR", "LOAD_MONTH")
     )
+
+
+def coverage_matrix(log: DataFrame) -> DataFrame:
+    """Latest outcome per service, year and month."""
+    months = ["LOAD_SERVICE_TYPE", "LOAD_YEAR", "LOAD_MONTH"]
+    return latest_outcomes(log).select(*months, "FILE_EXISTS", "LOAD_STATUS").orderBy(*months)
+
+
+def failed_months(spark: SparkSession, log: str) -> list[Month]:
+    """Months with a file whose latest load failed; none without a log."""
+    try:
+        rows = spark.read.parquet(log)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return []
+        raise
+    failed = latest_outcomes(rows).where("FILE_EXISTS AND LOAD_STATUS = 'ERROR'")
+    months = failed.select("LOAD_SERVICE_TYPE", "LOAD_YEAR", "LOAD_MONTH").collect()
+    return sorted(Month(*r) for r in months)
