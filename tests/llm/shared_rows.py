@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+import pytest
+
 TEXT = "doc_id bigint, text string"
 
 
@@ -32,3 +34,20 @@ ODD = [
     (9, "tail\n\n\n"),
     (10, "lorem ipsum dolor sit amet " * 4000),
 ]
+
+
+@pytest.fixture
+def odd(spark):
+    """The odd rows with extra columns named like the operators' own."""
+    schema = TEXT + ", node int, length string, bin int, place int, normal string, kept string"
+    return spark.createDataFrame([(*r, 1, None, 2, 3, "n", "k") for r in ODD], schema)
+
+
+@pytest.fixture
+def none(spark):
+    return spark.createDataFrame([], TEXT)
+
+
+@pytest.fixture(scope="session")
+def folder():
+    return "/root/testdata/sf0.001"

@@ -13,7 +13,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest_llm import ODD, lower, split
+from shared_rows import ODD, folder, lower, none, odd, split  # noqa: F401
 
 from tripmart.llm import (
     decontaminate,
@@ -388,8 +388,11 @@ def test_language_model(spark, folder):
         (repr(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4))
         for r in got
     )
-    out = [r for r in got if r.held_out]
-    assert sum(r.score for r in out) > sum(r.base_score for r in out)  # better on unseen texts
+    # Better on unseen texts of the corpus. (Not on the odd row of 20,000 unknown words.)
+    given = {d for d, _ in documents[: -len(ODD)]} - {d for d, _ in ODD}
+    out = [r for r in got if r.held_out and r.doc_id in given]
+    assert sum(r.score for r in out) > sum(r.base_score for r in out)
+    assert sum(r.score > r.base_score for r in out) > 0.75 * len(out) > 0
     assert all(r.score < 0 for r in got)
 
 

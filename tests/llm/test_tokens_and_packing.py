@@ -8,7 +8,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest_llm import ODD, lower, split
+from shared_rows import ODD, folder, lower, none, odd, split  # noqa: F401
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
