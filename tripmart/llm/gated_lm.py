@@ -2,7 +2,8 @@
 
 Tokens are words in lower case for A-Z, and one end per document. The commonest words have symbols
 of their own; the others share ``BUCKETS`` symbols by their last letters, and within a bucket a
-word has its smoothed share of the training counts. Symbols, by frequency, fall into classes: the
+word has its smoothed share of the training counts. A tenth of every probability is the word's
+share among all tokens. Symbols, by frequency, fall into classes: the
 network predicts the class, then the symbol within it.
 
 Training covers all training documents. A start is fitted to a bounded sample; then every task
@@ -28,7 +29,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.llm import words
-from tripmart.llm.binary import TEXT_BYTES
 from tripmart.session import keep
 
 CLASSES, PER_CLASS = 64, 64
@@ -36,12 +36,18 @@ BUCKETS = 96
 SYMBOLS = CLASSES * PER_CLASS
 #: Words whose counts are sent to every task.
 KNOWN = 1 << 19
-HIDDEN = 24
+HIDDEN = 16
 #: Steps of a window, after which gradients are cut, and lanes side by side.
-STEPS, LANES = 32, 256
+STEPS, LANES = 32, 1024
+#: Rows of the output layer worked on at once.
+CACHED = 1 << 10
+#: Bytes of text in the lanes at once.
+LANE_BYTES = 16 << 20
 RATE = 0.1
-#: Documents of the start, and how often it sees them.
-START_DOCS, START_ROUNDS = 2000, 2
+#: Weight of plain word shares in the model's probability, for texts unlike all in training.
+SHARES = 0.1
+#: Documents of the start, how often it sees them, and its lanes: fewer, for more updates.
+START_DOCS, START_ROUNDS, START_LANES = 1000, 3, 128
 #: Numbers in one row of a replica on its way to the average, and replicas averaged at once.
 CHUNK, FAN_IN = 1 << 14, 64
 
@@ -104,7 +110,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of each training word of a batch."""
     for batch in batches:
         held = _held(batch)
-        for row, texts in words.slices(words.texts_of(batch.column("text")), 4 * TEXT_BYTES):
+        for row, texts in words.slices(words.texts_of(batch.column("text")), LANE_BYTES):
             found = tokens_of(texts)
             learn = np.repeat(~held[row : row + len(texts)], np.diff(found.first))
             hashes, which, count = np.unique(
@@ -220,21 +226,25 @@ class Network:
     def outputs(self, h: np.ndarray, target: np.ndarray, grads: Network | None = None):
         """Log-probability of each target; with ``grads``, also the gradient of their negative
         sum by the states, while those of the weights are added to ``grads``."""
-        rows = np.arange(len(h))
         cls, place = target // PER_CLASS, target % PER_CLASS
-        p = h @ self.wc + self.bc
-        p -= p.max(axis=1, keepdims=True)
-        out = p[rows, cls].copy()
-        np.exp(p, out=p)
-        total = p.sum(axis=1)
-        out -= np.log(total)
-        dh = None
-        if grads is not None:
-            p /= total[:, None]
-            p[rows, cls] -= 1
-            grads.wc += h.T @ p
-            grads.bc += p.sum(axis=0)
-            dh = p @ self.wc.T
+        out = np.empty(len(h), dtype=np.float32)
+        dh = None if grads is None else np.empty_like(h)
+        for k in range(0, len(h), CACHED):  # so many rows as stay in the cache
+            some, goal = h[k : k + CACHED], cls[k : k + CACHED]
+            rows = np.arange(len(some))
+            p = some @ self.wc
+            p += self.bc
+            p -= p.max(axis=1, keepdims=True)
+            value = p[rows, goal]
+            np.exp(p, out=p)
+            total = p.sum(axis=1)
+            out[k : k + CACHED] = value - np.log(total)
+            if grads is not None:
+                p *= (1 / total)[:, None]
+                p[rows, goal] -= 1
+                grads.wc += some.T @ p
+                grads.bc += p.sum(axis=0)
+                dh[k : k + CACHED] = p @ self.wc.T
         order = np.argsort(cls, kind="stable")
         ends = np.searchsorted(cls[order], np.arange(CLASSES + 1))
         for c in range(CLASSES):
@@ -242,14 +252,15 @@ class Network:
             if not len(own):
                 continue
             here, k = h[own], np.arange(len(own))
-            q = here @ self.ww[c] + self.bw[c]
+            q = here @ self.ww[c]
+            q += self.bw[c]
             q -= q.max(axis=1, keepdims=True)
             value = q[k, place[own]].copy()
             np.exp(q, out=q)
             total = q.sum(axis=1)
             out[own] += value - np.log(total)
             if grads is not None:
-                q /= total[:, None]
+                q *= (1 / total)[:, None]
                 q[k, place[own]] -= 1
                 grads.ww[c] += here.T @ q
                 grads.bw[c] += q.sum(axis=0)
@@ -321,13 +332,25 @@ def score_tokens(net: Network, symbols: np.ndarray, first: np.ndarray, end: int)
     return out
 
 
+def _add_rows(out: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
+    """Add each of ``values`` to its row of ``out``; rows may repeat."""
+    order = np.argsort(rows, kind="stable")
+    starts = np.flatnonzero(np.append(True, np.diff(rows[order]) > 0))
+    out[rows[order][starts]] += np.add.reduceat(values[order], starts, axis=0)
+
+
 def train_tokens(
-    net: Network, sums: np.ndarray, symbols: np.ndarray, first: np.ndarray, end: int
+    net: Network,
+    sums: np.ndarray,
+    symbols: np.ndarray,
+    first: np.ndarray,
+    end: int,
+    most: int = LANES,
 ) -> None:
     """One pass of truncated backpropagation; ``sums`` are the squared gradients of Adagrad."""
     if not len(symbols):
         return
-    lanes = lanes_of(first)
+    lanes = lanes_of(first, most)
     before = np.append(end, symbols[:-1])
     before[lanes.begins] = end
     h = np.zeros((len(lanes.place), HIDDEN), dtype=np.float32)
@@ -340,22 +363,25 @@ def train_tokens(
             reset = lanes.begins[at][:, None]
             h = np.where(reset, np.float32(0), h)
             new, z, r, n, un = net.step(before[at], h)
-            kept.append((before[at], reset, h, z, r, n, un))
+            kept.append((reset, h, z, r, n, un))
             states[t] = h = new
         _, dh = net.outputs(states[real], symbols[window[real]], grads)
         by_state = np.zeros_like(states)
         by_state[real] = dh
+        by_input = np.empty((*window.shape, 3 * HIDDEN), dtype=np.float32)
         back = np.zeros_like(h)
         for t in range(len(window) - 1, -1, -1):
-            symbol, reset, old, z, r, n, un = kept[t]
+            reset, old, z, r, n, un = kept[t]
             d = (back + by_state[t]) * real[t][:, None]
             dn = d * (1 - z) * (1 - n * n)
             dz = d * (old - n) * z * (1 - z)
             dr = dn * un * r * (1 - r)
             by_u = np.concatenate([dz, dr, dn * r], axis=1)
             grads.u += old.T @ by_u
-            np.add.at(grads.x, symbol, np.concatenate([dz, dr, dn], axis=1))
+            by_input[t, :, : 2 * HIDDEN] = by_u[:, : 2 * HIDDEN]
+            by_input[t, :, 2 * HIDDEN :] = dn
             back = np.where(reset, np.float32(0), d * z + by_u @ net.u.T)
+        _add_rows(grads.x, before[window[real]], by_input[real])
         grad = grads.flat / np.float32(real.sum() ** 0.5)
         sums += grad * grad
         net.flat -= np.float32(RATE) * grad / np.sqrt(sums + np.float32(1e-6))
@@ -382,7 +408,7 @@ def _parts(task: int, tokens: int, flat: np.ndarray) -> pa.RecordBatch:
 def _training(batch: pa.RecordBatch, known: Vocabulary) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Symbols and document bounds of the training documents of a batch, some at a time."""
     batch = batch.filter(pa.array(~_held(batch)))
-    for _, texts in words.slices(words.texts_of(batch.column("text")), TEXT_BYTES):
+    for _, texts in words.slices(words.texts_of(batch.column("text")), LANE_BYTES):
         found = tokens_of(texts)
         yield look_up(known, found)[0], found.first
 
@@ -392,7 +418,7 @@ def _end_symbol(known: Vocabulary) -> int:
     return int(look_up(known, end)[0][0])
 
 
-def _trainer(shared, rounds: int):
+def _trainer(shared, rounds: int, lanes: int):
     """Trains a replica on all training documents of a task; nothing comes from a task without."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -403,7 +429,7 @@ def _trainer(shared, rounds: int):
         for k in range(rounds):
             for batch in held:
                 for symbols, first in _training(batch, known):
-                    train_tokens(net, sums, symbols, first, end)
+                    train_tokens(net, sums, symbols, first, end, lanes)
                     tokens += len(symbols) * (k == 0)
         if tokens:
             both = np.concatenate([net.flat, sums]) if rounds > 1 else net.flat
@@ -438,15 +464,18 @@ def fit(docs: DataFrame, known: Vocabulary) -> np.ndarray:
     context = docs.sparkSession.sparkContext
     net = Network.fresh(known.share)
     zeros = np.zeros(Network.SIZE, dtype=np.float32)
-    some = docs.orderBy(F.xxhash64("doc_id"), "doc_id").limit(START_DOCS)
+    # About twice as many documents as wanted, by the hash of their ids, of which some are taken.
+    share = int(2 * START_DOCS / max(docs.count(), 1) * 2**30) + 1
+    some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(2**30)) < share).limit(START_DOCS)
     start = some.mapInArrow(
-        _trainer(context.broadcast((known, net.flat, zeros)), START_ROUNDS), PART_SCHEMA
+        _trainer(context.broadcast((known, net.flat, zeros)), START_ROUNDS, START_LANES), PART_SCHEMA
     )
     both = _collected(start)
     if both is None:
         return net.flat
     flat, sums = both[: Network.SIZE].copy(), both[Network.SIZE :].copy()
-    replicas = docs.mapInArrow(_trainer(context.broadcast((known, flat, sums)), 1), PART_SCHEMA)
+    shared = context.broadcast((known, flat, sums))
+    replicas = docs.mapInArrow(_trainer(shared, 1, LANES), PART_SCHEMA)
     for _ in range(2):  # teams of teams; a few thousand tasks leave one replica
         team = F.floor(F.col("task") / FAN_IN).alias("team")
         replicas = replicas.groupBy("part", team).applyInArrow(_average, PART_SCHEMA)
@@ -455,7 +484,7 @@ def fit(docs: DataFrame, known: Vocabulary) -> np.ndarray:
 
 SCORE_SCHEMA = (
     "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, "
-    "base double, model double, hash bigint, bucket bigint, times bigint"
+    "base double, model double, hash bigint, times bigint"
 )
 
 
@@ -470,17 +499,19 @@ def _scorer(shared):
         names = [x.split()[0] for x in SCORE_SCHEMA.split(", ")]
         for batch in batches:
             held = _held(batch)
-            for start, texts in words.slices(words.texts_of(batch.column("text")), TEXT_BYTES):
+            for start, texts in words.slices(words.texts_of(batch.column("text")), LANE_BYTES):
                 found = tokens_of(texts)
                 symbol, count = look_up(known, found)
                 sure = count >= 0
-                model = score_tokens(net, symbol, found.first, end) / np.log(10)
-                own = known.of_bucket[np.maximum(found.buckets, 0)] == symbol
-                own &= found.buckets >= 0
-                shares = np.log10((count + 0.5) / known.bucket_total[np.maximum(found.buckets, 0)],
-                                  where=sure, out=np.zeros(len(count)))
-                model += np.where(own & sure, shares, 0)
-                base = np.log10((count + 0.5) / whole, where=sure, out=np.zeros(len(count)))
+                likely = np.exp(score_tokens(net, symbol, found.first, end))
+                own = (known.of_bucket[np.maximum(found.buckets, 0)] == symbol) & (found.buckets >= 0)
+                # In a bucket, and by shares alone, a word weighs its count and a half.
+                weight = np.log10(count + 0.5, where=sure, out=np.zeros(len(count)))
+                likely /= np.where(own, known.bucket_total[np.maximum(found.buckets, 0)], 1)
+                by_share = np.where(own, 1, count + 0.5) / whole
+                model = np.log10((1 - SHARES) * likely + SHARES * by_share)
+                model += np.where(own & sure, weight, 0)
+                base = np.where(sure, weight - np.log10(whole), 0)
                 doc = np.repeat(np.arange(len(texts)), np.diff(found.first))
                 size = len(texts)
                 ids = row + np.arange(size)
@@ -495,7 +526,7 @@ def _scorer(shared):
                         pa.array(np.bincount(doc, count > 0, size).astype(np.int64)),
                         pa.array(np.bincount(doc, base, size)),
                         pa.array(np.bincount(doc, model, size)),
-                        *[none] * 3,
+                        *[none] * 2,
                     ],
                     names=names,
                 )
@@ -512,7 +543,6 @@ def _scorer(shared):
                             pa.array(ids[doc[at]]),
                             *blank,
                             pa.array(found.hashes[at].view(np.int64)),
-                            pa.array(found.buckets[at]),
                             pa.array(times),
                         ],
                         names=names,
@@ -537,7 +567,6 @@ def score_documents(docs: DataFrame) -> DataFrame:
     shared = spark.sparkContext.broadcast((known, weights))
     scored = keep(docs.mapInArrow(_scorer(shared), SCORE_SCHEMA), "scored").df
     whole = known.total + 0.5 * (known.distinct + 1)
-    totals = F.get(F.lit([float(x) for x in known.bucket_total]), F.col("w.bucket").cast("int"))
     n = F.coalesce(F.col("c.n"), F.lit(0))
     times = F.col("w.times")
     rare = (
@@ -548,7 +577,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
         .agg(
             F.sum(F.when(n > 0, times).otherwise(0)).alias("more_known"),
             F.sum(times * F.log10((n + 0.5) / F.lit(whole))).alias("more_base"),
-            F.sum(times * F.log10((n + 0.5) / totals)).alias("more_model"),
+            F.sum(times * F.log10(n + 0.5)).alias("more_model"),
         )
     )
     return (
