@@ -396,6 +396,27 @@ def test_language_model(spark, folder):
     assert all(r.score < 0 for r in got)
 
 
+def test_language_model_on_all_unseen_rows(spark, folder):
+    """Of all held-out rows, the odd one of 20,000 unknown words included."""
+    documents = table(folder, "documents", "doc_id, text") + ODD
+    got = gated_lm.score_documents(spark.createDataFrame(documents, "doc_id bigint, text string"))
+    out = [r for r in got.collect() if r.held_out]
+    assert sum(r.score for r in out) > sum(r.base_score for r in out)
+
+
+def test_size_of_the_model_and_its_start(spark):
+    assert gated_lm.HIDDEN >= 24 and gated_lm.LANES <= 256
+    rows = [(k % 4000 if k % 5 else None, f"text {k}") for k in range(6000)]
+    got = [
+        [tuple(r) for r in gated_lm.start_sample(df).collect()]
+        for df in (
+            spark.createDataFrame(some, "doc_id bigint, text string").repartition(parts)
+            for some, parts in ((rows, 3), (rows[::-1], 11))
+        )
+    ]
+    assert got[0] == got[1] and len(got[0]) == 2000
+
+
 def test_state_is_carried_over_windows():
     """A document's score is that of one pass without windows or lanes."""
     rng = np.random.default_rng(1)

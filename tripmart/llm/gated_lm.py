@@ -36,9 +36,9 @@ BUCKETS = 96
 SYMBOLS = CLASSES * PER_CLASS
 #: Words whose counts are sent to every task.
 KNOWN = 1 << 19
-HIDDEN = 16
+HIDDEN = 24
 #: Steps of a window, after which gradients are cut, and lanes side by side.
-STEPS, LANES = 32, 1024
+STEPS, LANES = 32, 256
 #: Rows of the output layer worked on at once.
 CACHED = 1 << 10
 #: Bytes of text in the lanes at once.
@@ -47,7 +47,7 @@ RATE = 0.1
 #: Weight of plain word shares in the model's probability, for texts unlike all in training.
 SHARES = 0.1
 #: Documents of the start, how often it sees them, and its lanes: fewer, for more updates.
-START_DOCS, START_ROUNDS, START_LANES = 1000, 3, 128
+START_DOCS, START_ROUNDS, START_LANES = 2000, 3, 128
 #: Numbers in one row of a replica on its way to the average, and replicas averaged at once.
 CHUNK, FAN_IN = 1 << 14, 64
 
@@ -459,15 +459,23 @@ def _collected(parts: DataFrame) -> np.ndarray | None:
     return np.concatenate([np.frombuffer(r.numbers, "<f4") for r in rows]) if rows else None
 
 
+def start_sample(docs: DataFrame) -> DataFrame:
+    """The ``START_DOCS`` rows of ``docs`` that come first by a hash, however the rows are dealt.
+
+    The hash takes in the text, or repeated and null ids would come together. Only about twice as
+    many rows as wanted are put in order.
+    """
+    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(2**30))
+    share = int(2 * START_DOCS / max(docs.count(), 1) * 2**30) + 1
+    return docs.where(place < share).orderBy(place, "doc_id", "text").limit(START_DOCS)
+
+
 def fit(docs: DataFrame, known: Vocabulary) -> np.ndarray:
     """Weights learnt from all training documents of ``docs`` (doc_id, text)."""
     context = docs.sparkSession.sparkContext
     net = Network.fresh(known.share)
     zeros = np.zeros(Network.SIZE, dtype=np.float32)
-    # About twice as many documents as wanted, by the hash of their ids, of which some are taken.
-    share = int(2 * START_DOCS / max(docs.count(), 1) * 2**30) + 1
-    some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(2**30)) < share).limit(START_DOCS)
-    start = some.mapInArrow(
+    start = start_sample(docs).mapInArrow(
         _trainer(context.broadcast((known, net.flat, zeros)), START_ROUNDS, START_LANES), PART_SCHEMA
     )
     both = _collected(start)
