@@ -68,6 +68,26 @@ def test_markup(page, text):
         assert html_text.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<div>{LONG}</div><article class='comment'>no</article>", LONG.strip()),
+        (f"<div>{LONG}</div><section class=related><article>no</article></section>", LONG.strip()),
+        (f"<div>{LONG}</div><article><!-- nothing --></article>", LONG.strip()),
+        ("<div class='content has-sidebar'><article>in</article></div>", "in"),
+        ("<main class='with-sidebar'>in</main>", "in"),
+        ("<article class='post no-comments'>in</article>", "in"),
+        ("<article><h1 class='banner-title'>T</h1><p>in</article>", "T in"),
+        ("<div class='sidebar'><main>in</main></div><p>x</p>", "in"),
+        ("<form><article>in</article></form><p>x</p>", "in"),
+        ("<div class='banner'><article>in</article></div>", "in"),
+        ("<article><p>in<div class='ad-box'>no</div><div class='site_nav'>no</div></article>", "in"),
+    ],
+)
+def test_only_a_kept_article_marks(page, text):
+    assert html_text.main_text(page) == text
+
+
 def test_pages_of_odd_rows(spark):
     rows = [(1, "u", None), (None, None, "<article>x</article>"), (2, "", ""), (2, "", ""),
             (3, "u", "<article>" + "<b>y</b> " * 100_000 + "</article>"), (4, "u", "<" * 50_000),

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -34,7 +35,7 @@ INLINE = set(
     "samp small span strike strong sub sup time tt u var wbr".split()
 )
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-# Words in class, id and role that name what is no part of an article.
+# Names in class, id and role of what is no part of an article.
 BOILERPLATE = set(
     "ad ads adv advert adverts advertisement advertising banner banners sponsor sponsored promo "
     "promotion cookie cookies consent gdpr notice notices nav navbar navigation menu menus "
@@ -44,6 +45,13 @@ BOILERPLATE = set(
     "pagination pager skip".split()
 )
 PAGE_TOP = {"header", "masthead", "topbar"}
+# Words that beside those make a name of the same thing, such as comment-list.
+CONTAINERS = set(
+    "list box bar block section area wrap wrapper container inner outer site top bottom primary "
+    "secondary global form item items link links button buttons slot unit".split()
+)
+# Elements that a page's author may put around the article all the same.
+AROUND = {"header", "footer", "aside", "nav", "form"}
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -56,7 +64,7 @@ _TAG = re.compile(
 _ATTRIBUTE = re.compile(
     r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.IGNORECASE
 )
-_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_PARTS = re.compile(r"[^\W\d_]+")
 
 
 class Tag(NamedTuple):
@@ -83,15 +91,24 @@ def _tags(page: str) -> list[Tag]:
 
 
 def _names(rest: str) -> set[str]:
-    """Words in class, id and role."""
+    """Tokens of class, id and role."""
     if "=" not in rest:
         return set()
     found = set()
     for m in _ATTRIBUTE.finditer(rest):
-        found.update(w.lower() for w in _PARTS.findall(m[2] or m[3] or m[4] or ""))
+        found.update((m[2] or m[3] or m[4] or "").lower().split())
     return found
 
 
+def _name(names: set[str], words: set[str]) -> bool:
+    """Whether a name consists of ``words``: has-sidebar and banner-title name something else."""
+    for name in names:
+        parts = set(_PARTS.findall(name))
+        if parts & words and parts <= words | CONTAINERS:
+            return True
+    return False
+
+
 def _end_of(tags: list[Tag], at: int) -> int | None:
     """The tag that closes the element opened by tag ``at``."""
     depth, name = 0, tags[at].name
@@ -106,9 +123,24 @@ def _end_of(tags: list[Tag], at: int) -> int | None:
 
 
 def lines_of(page: str) -> tuple[list[Line], bool]:
-    """Lines of text of a page, and whether it marks its article."""
+    """Lines of text of a page, and whether it marks its article.
+
+    A dropped article marks nothing. No element around ``main`` is dropped, and no form around an
+    article; if no text is left at all, no element around an article is either.
+    """
     tags = _tags(page)
-    marked = any(t.name in ("article", "main") and not t.close for t in tags)
+    out = _lines(page, tags, ("main",))
+    if not any(x.text for x in out) and any(t.name == "article" for t in tags):
+        out = _lines(page, tags, ("main", "article"))
+    return out, any(x.inside for x in out)
+
+
+def _lines(page: str, tags: list[Tag], spared: tuple[str, ...]) -> list[Line]:
+    """Lines of text; elements that are or hold one of ``spared`` are not dropped for their name."""
+    opened = {
+        x: [k for k, t in enumerate(tags) if t.name == x and not t.close]
+        for x in ("main", "article")
+    }
     out: list[Line] = []
     held: list[str] = []
     linked, links, article, at, k = 0, 0, 0, 0, 0
@@ -131,15 +163,21 @@ def lines_of(page: str) -> tuple[list[Line], bool]:
                 linked += len(piece)
         at = tag.end
         k += 1
-        if not tag.name or tag.name in INLINE and not _names(tag.rest) & BOILERPLATE:
+        if not tag.name or tag.name in INLINE and not _name(_names(tag.rest), BOILERPLATE):
             links = max(0, links + (-1 if tag.close else 1)) if tag.name == "a" else links
             continue
         if not tag.close and tag.name not in VOID:
             names = _names(tag.rest)
-            top = tag.name == "header" or names & PAGE_TOP
-            drop = tag.name in DROPPED and tag.name != "header" or names & BOILERPLATE
+            top = tag.name == "header" or _name(names, PAGE_TOP)
+            drop = tag.name in DROPPED and tag.name != "header" or _name(names, BOILERPLATE)
             if drop and tag.name not in ("html", "body") or top and not article:
                 stop = _end_of(tags, k - 1)
+                hold = ("main", "article") if tag.name == "form" else spared
+                around = tag.name in AROUND or tag.name not in DROPPED
+                if around and stop is not None and any(
+                    bisect_left(opened[x], k - 1) < bisect_left(opened[x], stop) for x in hold
+                ):
+                    stop = None
                 if stop is not None:
                     flush(GAP)
                     k, at = stop + 1, tags[stop].end
@@ -148,7 +186,7 @@ def lines_of(page: str) -> tuple[list[Line], bool]:
         if tag.name in ("article", "main"):
             article = max(0, article + (-1 if tag.close else 1))
     flush()
-    return out, marked
+    return out
 
 
 def main_text(page: str) -> str:
