@@ -88,6 +88,28 @@ def test_only_a_kept_article_marks(page, text):
     assert html_text.main_text(page) == text
 
 
+POEM = [f"line {k} of a short poem" for k in range(40)]
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<br>".join(POEM), " ".join(POEM)),
+        ("<h1>A title</h1><aside>no</aside><p>" + LONG + "<form>no</form><p>The end.",
+         f"A title {LONG.strip()} The end."),
+        (f"<p>{LONG}<p>Source: <a>a long name of the source</a><p>{LONG}",
+         f"{LONG.strip()} Source: a long name of the source {LONG.strip()}"),
+        ("<p>A short article.", "A short article."),
+        ("<p><a>One</a><p><a>Two</a>", "One Two"),
+        (f"<ul><li><a>Home</a></ul><p>{LONG}" + "<br>".join(POEM) + f"<p>{LONG}"
+         + "<p><a>More</a>" * 3 + "<p>x",
+         f"{LONG}{' '.join(POEM)} {LONG.strip()}"),
+    ],
+)
+def test_nothing_between_surge_and_dive_is_dropped(page, text):
+    assert html_text.main_text(page) == text
+
+
 def test_pages_of_odd_rows(spark):
     rows = [(1, "u", None), (None, None, "<article>x</article>"), (2, "", ""), (2, "", ""),
             (3, "u", "<article>" + "<b>y</b> " * 100_000 + "</article>"), (4, "u", "<" * 50_000),

@@ -2,12 +2,14 @@
 
 Markup is stripped to lines: one for each block of text, and ``GAP`` empty ones for each element
 that is no content (menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles,
-comments). The text lengths of ``GAP`` neighbouring lines are summed; text surges where the sum
-rises over a threshold and dives where it falls to nothing, and what lies between is kept.
-
-If the page marks its article (``article``, ``main``), lines outside have no length and any length
-inside is a surge. Otherwise a line counts unless most of it is links, and a surge needs
-``SURGE`` characters.
+comments). If the page marks its article (``article``, ``main``), all lines in it are kept, and no
+others.
+
+Otherwise the text lengths of ``GAP`` neighbouring lines are summed, where a line that is mostly
+links has none; text surges where the sum reaches ``SURGE`` characters, or half the page's largest
+sum if that is less, and dives where it falls to nothing. Kept is every line from the first surge to
+the last dive, with links or short ones included, and on both sides what follows up to a line of
+links. A page of nothing but links is kept whole.
 """
 
 from __future__ import annotations
@@ -193,23 +195,24 @@ def main_text(page: str) -> str:
     """Text between the surges and dives, blocks joined by a space."""
     lines, marked = lines_of(page)
     if marked:
-        size = [len(x.text) if x.inside else 0 for x in lines]
-    else:
-        size = [len(x.text) if 2 * x.linked <= len(x.text) else 0 for x in lines]
-    least = 1 if marked else SURGE
+        return " ".join(x.text for x in lines if x.inside and x.text)
+    size = [len(x.text) if 2 * x.linked <= len(x.text) else 0 for x in lines]
     sums = [sum(size[i : i + GAP]) for i in range(len(size))]
-    kept: list[str] = []
-    i = 0
-    while i < len(lines):
-        if not size[i]:
-            i += 1
-            continue
-        start = i
-        while i < len(lines) and sums[i]:  # until the dive
-            i += 1
-        if max(sums[start:i]) >= least:
-            kept.extend(lines[j].text for j in range(start, i) if size[j])
-    return " ".join(kept)
+    most = max(sums, default=0)
+    if not most:  # nothing but links
+        return " ".join(x.text for x in lines if x.text)
+    least = min(SURGE, most / 2)
+    surges = [i for i, x in enumerate(sums) if size[i] and x >= least]
+    start, stop = surges[0], surges[-1] + 1
+    for i in range(stop, min(surges[-1] + GAP, len(lines))):  # the rest of the last surge
+        if size[i]:
+            stop = i + 1
+    # Outward to the next line of links: a heading, or an end behind a dropped element.
+    while start and (size[start - 1] or not lines[start - 1].text):
+        start -= 1
+    while stop < len(lines) and (size[stop] or not lines[stop].text):
+        stop += 1
+    return " ".join(x.text for x in lines[start:stop] if x.text)
 
 
 SCHEMA = "page_id bigint, url string, text string, n_chars bigint"
