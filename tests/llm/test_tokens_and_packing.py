@@ -55,6 +55,17 @@ def test_long_words_are_not_cut():
     assert found.hashes[0] == found.hashes[2] != found.hashes[1]
 
 
+@pytest.mark.parametrize("run", ["\n\n\n", " \n\t ", "\n" * 3000])
+def test_white_space_is_not_cut(run):
+    """Runs of white space that stand across the end of a block."""
+    code = encoder("byte_bpe_50k.json", True)
+    for ahead in (1, 2, len(run) - 1, len(run)):
+        text = ("word " * words.BLOCK)[: words.BLOCK - ahead - 1] + "a" + run + "b"
+        got = code.encode(words.texts_of(pa.array(["x", text, "y"])))
+        ids = got.ids[got.first[1] : got.first[2]].tolist()
+        assert ids == code.tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_segments_hash_alike_wherever_they_stand():
     random.seed(3)
     lines = [bytes(random.choices(range(256), k=random.choice([0, 1, 50, 200_000]))) for _ in range(9)]

@@ -103,9 +103,9 @@ def slices(texts: Texts, size: int) -> Iterator[tuple[int, Texts]]:
 
 
 def cuts(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Ranges of about BLOCK bytes that end at white space or between two texts.
+    """Ranges of about BLOCK bytes that end where white space begins or between two texts.
 
-    A longer word makes a longer range: no word is cut.
+    A longer word or run of white space makes a longer range: neither is cut.
     """
     at, size = 0, len(data)
     while at < size:
@@ -115,11 +115,12 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
             limit = int(offsets[k]) if k < len(offsets) else size
             look = 1 << 10
             while end < limit:
-                white = WHITE[data[end : min(end + look, limit)]]
-                if white.any():
-                    end += int(white.argmax())
+                white = WHITE[data[end - 1 : min(end + look, limit)]]
+                turn = white[1:] & ~white[:-1]
+                if turn.any():
+                    end += int(turn.argmax())
                     break
-                end += len(white)
+                end += len(turn)
                 look *= 2
         yield at, end
         at = end
