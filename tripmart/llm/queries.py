@@ -15,9 +15,13 @@ from tripmart.llm import (
     jaccard,
     licenses,
     line_dedup,
+    lloyd,
     packing,
     quality,
+    sharding,
     url_filter,
+    vectors,
+    whitening,
 )
 from tripmart.session import new_path
 
@@ -97,6 +101,25 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(_table(spark, folder, "documents"))
 
 
+def op11_bidiagonal_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Every embedding along the four directions of most variance, in unit variance."""
+    return whitening.whitened(vectors.whole_vectors(_table(spark, folder, "embeddings")))
+
+
+def op12_feistel_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """Shard and slot of every document in a reproducible shuffle."""
+    sizes = sharding.document_sizes(_table(spark, folder, "documents"))
+    placed = sharding.sharded(sizes, ["doc_id", "size", "text_crc32"])
+    return placed.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
+
+
+def op13_sharded_lloyd(spark: SparkSession, folder: str) -> DataFrame:
+    """Cluster of every embedding of 64 components, with the inertia and its centroid's hash."""
+    return lloyd.digests(
+        *lloyd.clustered(vectors.whole_vectors(_table(spark, folder, "embeddings")))
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -108,8 +131,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_binary": op8_token_binary,
     "op9_html_extraction": op9_html_extraction,
     "op10_license_scan": op10_license_scan,
+    "op11_bidiagonal_whitening": op11_bidiagonal_whitening,
+    "op12_feistel_sharding": op12_feistel_sharding,
+    "op13_sharded_lloyd": op13_sharded_lloyd,
 }
 
 #: Twins in DuckDB SQL. The other operators need token ids, models or similarity search, which SQL
 #: does not express; tests hold them against brute force.
-ORACLE: dict[str, str] = {"op5_line_dedup": line_dedup.ORACLE_SQL}
+ORACLE: dict[str, str] = {
+    "op5_line_dedup": line_dedup.ORACLE_SQL,
+    "op12_feistel_sharding": sharding.oracle_sql(),
+    "op13_sharded_lloyd": lloyd.oracle_sql(),
+}
