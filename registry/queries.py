@@ -22,7 +22,7 @@ from tripmart.operators.row_id import assign_row_id
 from tripmart.operators.top_n import top_n_per_group
 from tripmart.plans import gold, marts, silver
 from tripmart.plans.suite import declared_checks, range_violation
-from tripmart.session import Kept, keep, new_path
+from tripmart.session import Kept, file_states, keep, new_path
 from tripmart.sources import ingest, sinks
 from tripmart.sources.tables import bronze_trips, bronze_zones, read_table, service_bronze
 from tripmart.streaming.months import stream_backfill
@@ -61,12 +61,9 @@ _gold_paths: dict[tuple, tuple[DataFrame, gold.Star]] = {}
 
 
 def _input_key(spark: SparkSession, folder: str) -> tuple:
-    """Changes when a table that the trips come from does; lists files, reads none."""
-    files = []
-    for table in ("lineitem", "supplier", "nation", "region"):
-        listing = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        rows = listing.load(f"{folder}/{table}.parquet").select("path", "modificationTime", "length")
-        files += sorted(tuple(r) for r in rows.collect())
+    """Changes when a table that the trips come from does."""
+    tables = ("lineitem", "supplier", "nation", "region")
+    files = [f for table in tables for f in file_states(spark, f"{folder}/{table}.parquet")]
     return (spark.sparkContext.applicationId, folder, *files)
 
 

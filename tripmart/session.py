@@ -70,13 +70,37 @@ def small_side(kept: Kept, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(kept.df) if kept.rows <= limit else kept.df
 
 
-def remove_path(spark: SparkSession, path: str) -> bool:
-    """Delete a file or folder of any store that Spark reaches; whether there was one."""
+def _located(spark: SparkSession, path: str):
+    """A path and its store, any that Spark reaches."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder; whether there was one."""
+    place, store = _located(spark, path)
     return store.delete(place, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place, store = _located(spark, path)
+    return store.exists(place)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder, sorted; none if there is no such folder."""
+    place, store = _located(spark, path)
+    return sorted(s.getPath().getName() for s in store.listStatus(place)) if store.exists(place) else []
+
+
+def file_states(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """Path, time and length of a file, or of the files in a folder; asks the store, runs no job."""
+    place, store = _located(spark, path)
+    status = store.getFileStatus(place)
+    found = store.listStatus(place) if status.isDirectory() else [status]
+    return sorted((s.getPath().toString(), s.getModificationTime(), s.getLen()) for s in found)
+
+
 def release(spark: SparkSession) -> bool:
     """Delete all that this session's jobs have kept below the shared folder.
 

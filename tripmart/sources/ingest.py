@@ -20,7 +20,7 @@ from tripmart.operators.conform import (
     normalise_columns,
     united_schema,
 )
-from tripmart.session import remove_path
+from tripmart.session import path_exists, remove_path
 
 # Fixed value: name of a month's file below the source folder.
 MONTH_FILE = "{service}_tripdata_{year}-{month:02d}.parquet"
@@ -162,12 +162,10 @@ def _data_fields(schema: T.StructType) -> list[T.StructField]:
 
 def stored_schema(spark: SparkSession, target: str) -> T.StructType | None:
     """Columns of the raw table without its partition columns; None if there is no table."""
-    try:
-        rows = spark.read.text(f"{target}/{SCHEMA_FOLDER}", wholetext=True).collect()
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    folder = f"{target}/{SCHEMA_FOLDER}"
+    if not path_exists(spark, folder):
+        return None
+    rows = spark.read.text(folder, wholetext=True).collect()
     return T.StructType.fromJson(json.loads(rows[0].value)) if rows else None
 
 
