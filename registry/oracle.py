@@ -190,6 +190,87 @@ FACT_COLUMNS = """trip_id, pickup_date_sk, dropoff_date_sk, pickup_zone_sk, drop
   payment_type_sk, ratecode_sk, vendor_sk, passenger_count, trip_distance, fare_amount,
   tip_amount, total_amount, service_type, trip_duration_min"""
 
+# ---------------------------------------------------------------- month by month
+
+# Months in their order per service; the third one comes again changed, the first one comes late.
+MONTHS = """
+months AS (
+  SELECT *, row_number() OVER (PARTITION BY load_service_type ORDER BY load_year, load_month) AS k
+  FROM (SELECT DISTINCT load_service_type, load_year, load_month FROM bronze) m
+)"""
+
+_BATCHED_DATES = """
+SELECT CAST(row_number() OVER (ORDER BY batch, date_value) AS INT) AS date_sk, date_value,
+  CAST(year(date_value) AS INT) AS year, CAST(month(date_value) AS INT) AS month,
+  CAST(day(date_value) AS INT) AS day,
+  strftime(date_value, '%b') AS month_name, strftime(date_value, '%A') AS day_name
+FROM (SELECT date_value, min(batch) AS batch FROM (
+    SELECT pickup_date AS date_value, batch FROM batched
+    UNION ALL SELECT dropoff_date, batch FROM batched) e
+  WHERE date_value BETWEEN DATE '2015-01-01' AND DATE '2025-12-31' GROUP BY 1) d"""
+
+GROWN_DATES = (
+    SILVER
+    + """,
+ends AS (SELECT min(load_year * 12 + load_month) AS low, max(load_year * 12 + load_month) AS high
+  FROM silver),
+batched AS (
+  SELECT pickup_date, dropoff_date, CASE load_year * 12 + load_month WHEN low THEN 1
+    WHEN high THEN 2 ELSE 0 END AS batch
+  FROM silver, ends WHERE service_type = 'yellow'
+)"""
+)
+
+GROWN_FACT = ",".join(
+    [
+        SILVER,
+        ZONES,
+        CODES,
+        MONTHS,
+        f"""
+counted AS (
+  SELECT service_type, k, count(*) AS n FROM silver s JOIN months m ON
+    s.service_type = m.load_service_type AND s.load_year = m.load_year
+    AND s.load_month = m.load_month
+  GROUP BY ALL),
+offsets AS (
+  SELECT service_type, k, coalesce(sum(CASE WHEN k > 1 THEN n END) OVER (
+      PARTITION BY service_type ORDER BY CASE WHEN k > 1 THEN k ELSE 1000000 END
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS first_id
+  FROM counted),
+batched AS (
+  SELECT pickup_date, dropoff_date, CASE WHEN k = 1 THEN 1 ELSE 0 END AS batch
+  FROM silver s JOIN months m ON s.service_type = m.load_service_type
+    AND s.load_year = m.load_year AND s.load_month = m.load_month
+  WHERE s.service_type = 'yellow'),
+dates AS ({_BATCHED_DATES}),
+latest AS (
+  SELECT s.* REPLACE (CASE WHEN k = 3 THEN total_amount + 1 ELSE total_amount END AS total_amount),
+    k
+  FROM silver s JOIN months m ON s.service_type = m.load_service_type
+    AND s.load_year = m.load_year AND s.load_month = m.load_month
+  WHERE k <> 3 OR passenger_count IS NOT NULL),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY service_type, k
+    ORDER BY {_ORDER}, vendor_id ASC NULLS FIRST) AS place FROM latest),
+grown AS (
+  SELECT CAST(first_id + place AS BIGINT) AS trip_id, d1.date_sk AS pickup_date_sk,
+    d2.date_sk AS dropoff_date_sk, z1.zone_sk AS pickup_zone_sk, z2.zone_sk AS dropoff_zone_sk,
+    p.payment_type_sk, r.ratecode_sk,
+    CASE WHEN t.vendor_id IN (0, 1, 2) THEN t.vendor_id END AS vendor_sk,
+    t.passenger_count, t.trip_distance, t.fare_amount, t.tip_amount, t.total_amount,
+    t.service_type, t.minutes AS trip_duration_min, t.load_year, t.load_month
+  FROM placed t JOIN offsets o ON t.service_type = o.service_type AND t.k = o.k
+  LEFT JOIN dates d1 ON t.pickup_date = d1.date_value
+  LEFT JOIN dates d2 ON t.dropoff_date = d2.date_value
+  LEFT JOIN zones z1 ON t.pickup_location_id = z1.zone_sk
+  LEFT JOIN zones z2 ON t.dropoff_location_id = z2.zone_sk
+  LEFT JOIN payments p ON t.payment_type = p.payment_type_sk
+  LEFT JOIN rates r ON t.ratecode_id = r.ratecode_sk
+)""",
+    ]
+)
+
 # ---------------------------------------------------------------- marts
 
 
@@ -620,6 +701,12 @@ asked AS (
 SELECT a.load_service_type, a.load_year, a.load_month, p.load_year IS NOT NULL AS file_exists,
   CASE WHEN p.load_year IS NULL THEN 'ERROR' ELSE 'OK' END AS load_status
 FROM asked a LEFT JOIN present p USING (load_service_type, load_year, load_month)""",
+    "grow_dim_date": f"WITH {GROWN_DATES} SELECT * REPLACE (CAST(date_value AS VARCHAR) AS date_value)"
+    f" FROM ({_BATCHED_DATES}) b",
+    "changed_months": f"""WITH {BASE}, {MONTHS}
+SELECT load_service_type AS service_type, load_year, load_month,
+  CASE k WHEN 1 THEN 'new' WHEN 3 THEN 'changed' ELSE 'same' END AS change FROM months""",
+    "refresh_gold": f"WITH {GROWN_FACT} SELECT * FROM grown",
     "load_counts": f"""WITH {BASE} SELECT load_service_type, load_year, load_month,
   count(*) AS total_rows FROM bronze GROUP BY 1, 2, 3""",
     "ingest_zones": f"""WITH {ZONES} SELECT locationid, borough, n_name || '/' || s_name AS zone,
@@ -651,3 +738,25 @@ FROM silver GROUP BY 1, 2""",
 FROM bronze""",
     "write_chunked": f"WITH {BASE} SELECT * FROM bronze",
 }
+
+# Sums in whole units of 2**-40, which no order changes, turned into doubles once.
+_UNITS = "CAST(floor({0}) AS HUGEINT) * 1099511627776 + CAST(floor(({0} - floor({0})) * 1099511627776e0 + 0.5e0) AS HUGEINT)"
+_EXACT = "CAST(sum({0}) AS DOUBLE) / 1099511627776e0"
+
+EXACT_REVENUE = f"""WITH {FACT}, shares AS (
+  SELECT *, CASE WHEN fare_amount > 0 THEN tip_amount / fare_amount * 100 END AS tip_pct FROM fact
+  WHERE pickup_day IS NOT NULL AND borough IS NOT NULL AND borough NOT IN ('Unknown', 'None', ''))
+SELECT strftime(pickup_day, '%Y-%m') AS year_month, borough, service_type,
+  {_EXACT.format(_UNITS.format("total_amount"))} AS total_revenue,
+  {_EXACT.format(_UNITS.format("tip_pct"))} / count(tip_pct) AS avg_tip_pct
+FROM shares GROUP BY 1, 2, 3"""
+
+ORACLE |= {
+    "q1_from_states": ORACLE["q1_pickup_top_zones"],
+    "q1_dropoff_from_states": ORACLE["q1_dropoff_top_zones"],
+    "q2_from_states": EXACT_REVENUE,
+    "q2_revenue_tips_exact": EXACT_REVENUE,
+    "q3_from_states": ORACLE["q3_speed"],
+    "q4_from_states": ORACLE["q4_duration_percentiles_all"],
+    "q5_from_states": ORACLE["q5_temporal_demand_all"],
+}

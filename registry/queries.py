@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Mapping
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from tripmart.operators import conform, quality
 from tripmart.operators.impute import impute_upper_median
 from tripmart.operators.row_id import assign_row_id
 from tripmart.operators.top_n import top_n_per_group
-from tripmart.plans import gold, marts, silver
+from tripmart.plans import gold, increments, marts, silver, states
 from tripmart.plans.suite import declared_checks, range_violation
 from tripmart.session import Kept, file_states, keep, new_path
 from tripmart.sources import ingest, sinks
@@ -740,6 +741,132 @@ def backfill_control_columns(spark: SparkSession, folder: str) -> DataFrame:
     return lower_names(conform.backfill_control_columns(events, "green", 2019, 1))
 
 
+# ---------------------------------------------------------------- month by month
+
+
+def grow_dim_date(spark: SparkSession, folder: str) -> DataFrame:
+    """The calendar grown in three batches: the earliest month comes second, the last one third."""
+    trips = _trips(spark, folder)
+    number = F.col("load_year") * 12 + F.col("load_month")
+    ends = trips.agg(F.min(number).alias("low"), F.max(number).alias("high")).first()
+    batches = [
+        trips.where((number > ends["low"]) & (number < ends["high"])),
+        trips.where(number == ends["low"]),
+        trips,
+    ]
+    keys = increments.date_keys(spark, new_path(spark, "gold"))
+    for place, batch in enumerate(batches):
+        members = gold.observed_members(batch, ["date"]).select(
+            F.date_from_unix_date("member").alias("date_value")
+        )
+        keys.grow(members, place)
+    return plain(gold.calendar(keys.read()))
+
+
+class Grown(NamedTuple):
+    """A raw layer, the gold layer built from it, and the files of what changed since."""
+
+    raw: str
+    gold: str
+
+
+def _changing_months(spark: SparkSession, folder: str) -> Grown:
+    """All months but each service's first are loaded and built. Then the firsts are loaded, and
+    the third ones come again, without the trips of unknown passengers and dearer by one."""
+    source, raw, target = (
+        month_files(spark, folder), new_path(spark, "bronze"), new_path(spark, "gold")
+    )
+    months = ingest.months_present(spark, source)
+    own = {s: [m for m in months if m.service == s] for s in ("yellow", "green")}
+    late = [m for ms in own.values() for m in ms[1:]]
+    zones = bronze_zones(spark, folder)
+    load = {"schema": BRONZE_SCHEMA, "template": FOLDER_PER_MONTH}
+    increments.load_months(spark, source, late, raw, **load)
+    increments.refresh_gold(spark, raw, zones, target)
+    again = new_path(spark, "changed-months")
+    thirds = [ms[2] for ms in own.values() if len(ms) > 2]
+    for month in thirds:
+        old = spark.read.parquet(ingest.month_path(source, month, FOLDER_PER_MONTH))
+        changed = old.dropna(subset=["passenger_count"]).withColumn(
+            "total_amount", F.col("total_amount") + 1
+        )
+        changed.write.parquet(ingest.month_path(again, month, FOLDER_PER_MONTH))
+    increments.load_months(spark, again, thirds, raw, **load)
+    increments.load_months(spark, source, [ms[0] for ms in own.values() if ms], raw, **load)
+    return Grown(raw, target)
+
+
+def changed_months(spark: SparkSession, folder: str) -> DataFrame:
+    """Which months differ from the last build."""
+    grown = _changing_months(spark, folder)
+    return increments.changed_months(
+        increments.read_prints(spark, grown.raw), increments.read_ledger(spark, grown.gold)
+    )
+
+
+def refresh_gold(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact after a first build and a refresh of the changed months alone."""
+    grown = _changing_months(spark, folder)
+    increments.refresh_gold(spark, grown.raw, bronze_zones(spark, folder), grown.gold)
+    return increments.read_fact(spark, grown.gold)
+
+
+_state_paths: dict[tuple, str] = {}
+
+
+def month_states(spark: SparkSession, folder: str) -> str:
+    """States of all months, written in two turns; months of the first come again in the second."""
+    key = _input_key(spark, folder)
+    if key not in _state_paths:
+        path = new_path(spark, "states")
+        trips = _trips(spark, folder, silver.DURATION, *silver.MINUTES)
+        star = gold.build_star(trips, bronze_zones(spark, folder), ["date"])
+        keys = ("pickup_date", "dropoff_date", "pickup_zone", "dropoff_zone")
+        measures = (*gold.FACT_MEASURES, "load_year", "load_month")
+        turns = [F.col("load_month") <= 6, F.col("load_month") >= 5]
+        for turn in turns:
+            fact = gold.fct_trips(trips.where(turn), star, keys, measures)
+            states.write_states(fact, star, trips.where(turn), path)
+        _state_paths[key] = path
+    return _state_paths[key]
+
+
+def _state(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return states.read_state(spark, month_states(spark, folder), name)
+
+
+def q1_from_states(spark: SparkSession, folder: str) -> DataFrame:
+    return states.top_zones_by_month(_state(spark, folder, "zone_trips"))
+
+
+def q1_dropoff_from_states(spark: SparkSession, folder: str) -> DataFrame:
+    return states.top_zones_by_month(_state(spark, folder, "zone_trips"), "dropoff")
+
+
+def q2_from_states(spark: SparkSession, folder: str) -> DataFrame:
+    """Not rounded: the sums are exact, so both engines find the same doubles."""
+    return states.revenue_tips_by_borough(_state(spark, folder, "borough_revenue"))
+
+
+def q2_revenue_tips_exact(spark: SparkSession, folder: str) -> DataFrame:
+    fact, star = _fact_and_star(spark, folder, "pickup_date", "pickup_zone")
+    return states.exact_revenue_tips(fact, star)
+
+
+def q3_from_states(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(states.average_speed(_state(spark, folder, "borough_speed")), {"avg_mph": 6})
+
+
+def q4_from_states(spark: SparkSession, folder: str) -> DataFrame:
+    minutes = _state(spark, folder, "zone_minutes")
+    return rounded(states.duration_percentiles(minutes, None), PERCENTILE_DIGITS)
+
+
+def q5_from_states(spark: SparkSession, folder: str) -> DataFrame:
+    demand = states.temporal_demand(_state(spark, folder, "hourly_trips"), "2014-01-01", "2026-01-01")
+    return plain(demand)
+
+
 # ---------------------------------------------------------------- tables by name
 
 
@@ -870,6 +997,16 @@ QUERIES: dict[str, Query] = {
     "stage_loaded_trips": stage_loaded_trips,
     "coverage_matrix": coverage_matrix,
     "stream_backfill": stream_months,
+    "grow_dim_date": grow_dim_date,
+    "changed_months": changed_months,
+    "refresh_gold": refresh_gold,
+    "q1_from_states": q1_from_states,
+    "q1_dropoff_from_states": q1_dropoff_from_states,
+    "q2_from_states": q2_from_states,
+    "q2_revenue_tips_exact": q2_revenue_tips_exact,
+    "q3_from_states": q3_from_states,
+    "q4_from_states": q4_from_states,
+    "q5_from_states": q5_from_states,
     "load_counts": load_counts,
     "ingest_zones": ingest_zones,
     "conform_batch": conform_batch,

@@ -123,19 +123,23 @@ def dim_date(members: DataFrame) -> DataFrame:
 
     The window runs over at most 4,018 dates, the days of the calendar.
     """
+    dates = _members(members, "date").select(F.date_from_unix_date("member").alias("date_value"))
+    return calendar(
+        dates.withColumn("date_sk", F.row_number().over(Window.orderBy("date_value")))
+    )
+
+
+def calendar(numbered: DataFrame) -> DataFrame:
+    """The attributes of numbered dates (date_value, date_sk)."""
     date = F.col("date_value")
-    return (
-        _members(members, "date")
-        .select(F.date_from_unix_date("member").alias("date_value"))
-        .select(
-            F.row_number().over(Window.orderBy("date_value")).alias("date_sk"),
-            "date_value",
-            F.year(date).alias("year"),
-            F.month(date).alias("month"),
-            F.dayofmonth(date).alias("day"),
-            F.date_format(date, "MMM").alias("month_name"),
-            F.date_format(date, "EEEE").alias("day_name"),
-        )
+    return numbered.select(
+        F.col("date_sk").cast("int").alias("date_sk"),
+        "date_value",
+        F.year(date).alias("year"),
+        F.month(date).alias("month"),
+        F.dayofmonth(date).alias("day"),
+        F.date_format(date, "MMM").alias("month_name"),
+        F.date_format(date, "EEEE").alias("day_name"),
     )
 
 

@@ -25,7 +25,7 @@ WEEKDAYS = {
 NO_BOROUGH = ("Unknown", "None", "")
 
 
-def _starred(fact: DataFrame, star: Star, end: str = "pickup") -> DataFrame:
+def starred(fact: DataFrame, star: Star, end: str = "pickup") -> DataFrame:
     """The fact with the calendar and zone attributes of its ``end`` (pickup or dropoff)."""
     dates = small_side(star.dim_date)
     zones = small_side(star.dim_zone)
@@ -34,10 +34,20 @@ def _starred(fact: DataFrame, star: Star, end: str = "pickup") -> DataFrame:
     )
 
 
-def _plausible_minutes() -> Column:
+def plausible_minutes() -> Column:
     return F.col("trip_duration_min").between(1, 180)
 
 
+def known_borough() -> Column:
+    return F.col("borough").isNotNull() & ~F.col("borough").isin(*NO_BOROUGH)
+
+
+def plausible_speed(mph: Column, max_mph: float = 80.0) -> Column:
+    """Trips that count for the mean speed; their borough must be known, but may be empty."""
+    named = F.col("borough").isNotNull() & ~F.col("borough").isin("Unknown", "None")
+    return (F.col("trip_distance") > 0) & plausible_minutes() & (mph < max_mph) & named
+
+
 # ---------------------------------------------------------------- question 1
 
 
@@ -47,11 +57,16 @@ def top_zones_by_month(fact: DataFrame, star: Star, end: str = "pickup", n: int
     A trip id is never NULL, so trips are counted as rows.
     """
     monthly = (
-        _starred(fact, star, end)
+        starred(fact, star, end)
         .where(F.col("date_value").isNotNull())
         .groupBy(month_label(F.col("date_value")).alias("year_month"), "zone_name", "service_type")
         .agg(F.count(F.lit(1)).alias("num_trips"))
     )
+    return top_zones_of(monthly, n)
+
+
+def top_zones_of(monthly: DataFrame, n: int = 10) -> DataFrame:
+    """The first zones of each month and service, from counted trips (``num_trips``)."""
     order = [F.desc("num_trips"), F.asc_nulls_last("zone_name")]
     return top_n_per_group(monthly, ["year_month", "service_type"], order, n).orderBy(
         F.desc("year_month"), F.asc_nulls_last("service_type"), *order
@@ -63,10 +78,9 @@ def top_zones_by_month(fact: DataFrame, star: Star, end: str = "pickup", n: int
 
 def revenue_tips_by_borough(fact: DataFrame, star: Star) -> DataFrame:
     """Revenue and mean tip share by month, known borough and service."""
-    known = F.col("borough").isNotNull() & ~F.col("borough").isin(*NO_BOROUGH)
     return (
-        _starred(fact, star)
-        .where(F.col("date_value").isNotNull() & known)
+        starred(fact, star)
+        .where(F.col("date_value").isNotNull() & known_borough())
         .groupBy(month_label(F.col("date_value")).alias("year_month"), "borough", "service_type")
         .agg(
             F.sum("total_amount").alias("total_revenue"),
@@ -86,16 +100,15 @@ def average_speed(
 
     ``by_day_part`` splits by day and night as well; the fact then needs its pickup time key.
     """
-    trips = _starred(fact, star)
+    trips = starred(fact, star)
     extra = []
     if by_day_part:
         times = small_side(star.dim_time).select("time_sk", "day_part")
         trips = trips.join(times, F.col("pickup_time_sk") == F.col("time_sk"), "left")
         extra = ["day_part"]
     mph = speed_mph(F.col("trip_distance"), F.col("trip_duration_min"))
-    known = F.col("borough").isNotNull() & ~F.col("borough").isin("Unknown", "None")
     return (
-        trips.where((F.col("trip_distance") > 0) & _plausible_minutes() & (mph < max_mph) & known)
+        trips.where(plausible_speed(mph, max_mph))
         .groupBy(
             F.col("year").alias("trip_year"),
             F.col("month").alias("trip_month"),
@@ -123,10 +136,9 @@ def duration_percentiles(fact: DataFrame, star: Star, limit: int | None = 50) ->
     Trips are first counted per minute value, at most 180 rows per group, so a hot group is
     reduced before the shuffle. The first ``limit`` rows by month, longest p90 first.
     """
-    group = ["trip_year", "trip_month", "pickup_zone", "service_type"]
     minutes = (
-        _starred(fact, star)
-        .where(_plausible_minutes())
+        starred(fact, star)
+        .where(plausible_minutes())
         .groupBy(
             F.col("year").alias("trip_year"),
             F.col("month").alias("trip_month"),
@@ -136,6 +148,12 @@ def duration_percentiles(fact: DataFrame, star: Star, limit: int | None = 50) ->
         )
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    return percentiles_of(minutes, limit)
+
+
+def percentiles_of(minutes: DataFrame, limit: int | None = 50) -> DataFrame:
+    """Percentiles from trips counted (``n``) per group and minute value."""
+    group = ["trip_year", "trip_month", "pickup_zone", "service_type"]
     both = F.percentile("trip_duration_min", F.array(F.lit(0.5), F.lit(0.9)), F.col("n"))
     ranked = (
         minutes.groupBy(*group)
