@@ -760,3 +760,76 @@ ORACLE |= {
     "q4_from_states": ORACLE["q4_duration_percentiles_all"],
     "q5_from_states": ORACLE["q5_temporal_demand_all"],
 }
+
+# ---------------------------------------------------------------- whole tables in one pass
+
+_ROW_CHECKS = [
+    *[("not_null", "fct_trips", c, f"{c} IS NULL") for c in ("trip_id", "pickup_date_sk", "passenger_count")],
+    *[
+        ("relationships", "fct_trips", c, f"{c} IS NOT NULL AND {c} NOT IN (SELECT {k} FROM {t})")
+        for c, (t, k) in FOREIGN_KEYS.items()
+    ],
+    ("range", "fct_trips", "trip", RANGE),
+    *[
+        ("relationships", "stg_all_trips", c, f"{c} NOT IN (SELECT zone_sk FROM zones)")
+        for c in ("pickup_location_id", "dropoff_location_id")
+    ],
+    *[
+        ("accepted_values", "stg_all_trips", c, f"{c} NOT IN (1, 2, 3, 4, 5, 6)")
+        for c in ("payment_type", "ratecode_id")
+    ],
+    ("not_null", "stg_all_trips", "passenger_count", "passenger_count IS NULL"),
+]
+_CHECKED = {"fct_trips": ("fact", "trip_id"), "stg_all_trips": ("silver", "CAST(NULL AS BIGINT)")}
+
+_BY_LOAD = ", ".join(
+    f"{c} ASC NULLS FIRST" for c in STAGED_COLUMNS if c not in ("service_type", "pickup_datetime")
+)
+
+ORACLE |= {
+    "check_rows": f"WITH {FACT} "
+    + _results(
+        [
+            (check, table, column, f"SELECT count(*) FROM {_CHECKED[table][0]} WHERE {broken}")
+            for check, table, column, broken in _ROW_CHECKS
+        ]
+    ),
+    "stored_failures": f"WITH {FACT} "
+    + " UNION ALL ".join(
+        f"SELECT service_type, {_CHECKED[table][1]} AS trip_id, '{check}_{column}' AS check_name"
+        f" FROM {_CHECKED[table][0]} WHERE {broken}"
+        for check, table, column, broken in _ROW_CHECKS
+    ),
+    "dedupe_across_loads": f"""WITH {SILVER}
+SELECT {STAGED_LIST}, vendor_id FROM (
+  SELECT *, row_number() OVER (
+      PARTITION BY service_type, pickup_datetime, dropoff_datetime, vendor_id
+      ORDER BY batch, {_BY_LOAD}) AS rn
+  FROM (SELECT *, load_year AS batch FROM silver
+        UNION ALL SELECT * REPLACE (total_amount + 1 AS total_amount), load_year + 1 FROM silver) t) s
+WHERE rn = 1""",
+    "fare_speed_percentiles": f"""WITH {SILVER}, valued AS (
+  SELECT service_type, 'fare_amount' AS measure, fare_amount AS value FROM silver
+  UNION ALL
+  SELECT service_type, 'speed_mph', CASE WHEN minutes > 0 THEN trip_distance * 60e0 / minutes END
+  FROM silver)
+SELECT service_type, measure, share, round(percentile, 6) AS percentile FROM (
+  SELECT service_type, measure, unnest([0.1e0, 0.5e0, 0.9e0, 0.99e0]) AS share,
+    unnest(quantile_cont(value, [0.1, 0.5, 0.9, 0.99])) AS percentile
+  FROM valued GROUP BY service_type, measure) q""",
+    "interleave_fact": ORACLE["cluster_fact"],
+    "coverage_runs": f"""WITH {BASE}, asked AS (
+  SELECT s.load_service_type, m, m IN (SELECT load_year * 12 + load_month - 1 FROM bronze b
+      WHERE b.load_service_type = s.load_service_type) AND (m % 12 + 1) % 5 <> 0 AS loaded
+  FROM (VALUES ('yellow'), ('green')) s(load_service_type),
+    generate_series((SELECT min(load_year * 12 + load_month) - 2 FROM bronze),
+                    (SELECT max(load_year * 12 + load_month) FROM bronze)) g(m)),
+runs AS (
+  SELECT *, m - row_number() OVER (PARTITION BY load_service_type, loaded ORDER BY m) AS run FROM asked)
+SELECT load_service_type, loaded, printf('%04d-%02d', min(m) // 12, min(m) % 12 + 1) AS first_month,
+  printf('%04d-%02d', max(m) // 12, max(m) % 12 + 1) AS last_month, count(*) AS n_months
+FROM runs GROUP BY load_service_type, loaded, run""",
+    "run_sql_view": f"""WITH {SILVER} SELECT service_type, CAST(year(pickup_datetime) AS INT) AS trip_year,
+  payment_type, count(*) AS num_trips, max(total_amount) AS dearest
+FROM silver GROUP BY ALL""",
+}

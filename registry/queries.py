@@ -15,17 +15,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripmart.functions import minute_of_day, ns_to_ntz
+from tripmart.functions import minute_of_day, ns_to_ntz, speed_mph
 from tripmart.functions.sql import register_sql_functions
-from tripmart.operators import conform, quality
+from tripmart.operators import conform, quality, row_checks
 from tripmart.operators.impute import impute_upper_median
 from tripmart.operators.row_id import assign_row_id
+from tripmart.operators.selection import exact_percentiles
 from tripmart.operators.top_n import top_n_per_group
 from tripmart.plans import gold, increments, marts, silver, states
-from tripmart.plans.suite import declared_checks, range_violation
+from tripmart.plans.suite import declared_checks, fact_rules, range_violation, staged_rules
 from tripmart.session import Kept, file_states, keep, new_path
 from tripmart.sources import ingest, sinks
-from tripmart.sources.tables import bronze_trips, bronze_zones, read_table, service_bronze
+from tripmart.sources.tables import (
+    TIME_PREFIX,
+    bronze_trips,
+    bronze_zones,
+    read_table,
+    service_bronze,
+)
 from tripmart.streaming.months import stream_backfill
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -157,6 +164,24 @@ def dedupe_trips(spark: SparkSession, folder: str) -> DataFrame:
     return plain(silver.dedupe_trips(trips.unionByName(copies)))
 
 
+def dedupe_across_loads(spark: SparkSession, folder: str) -> DataFrame:
+    """Each year's load brings the trips of the year before once more, dearer by one."""
+    trips = _trips(spark, folder, silver.VENDOR)
+    years = sorted(r[0] for r in trips.select("load_year").distinct().collect())
+    history = silver.trip_history(spark)
+    kept = None
+    try:
+        for year in [*years, years[-1] + 1]:
+            late = trips.where(F.col("load_year") == year - 1).withColumn(
+                "total_amount", F.col("total_amount") + 1
+            )
+            fresh = history.add(trips.where(F.col("load_year") == year).unionByName(late))
+            kept = fresh if kept is None else kept.unionByName(fresh)
+    finally:
+        history.drop()
+    return plain(kept)
+
+
 def _zone_dimension(spark: SparkSession, folder: str) -> Kept:
     return keep(gold.dim_zone(silver.stage_zones(bronze_zones(spark, folder))), "dim_zone")
 
@@ -217,6 +242,11 @@ def cluster_fact(spark: SparkSession, folder: str) -> DataFrame:
     return gold_tables(spark, folder)[0]
 
 
+def interleave_fact(spark: SparkSession, folder: str) -> DataFrame:
+    fact, _ = gold_tables(spark, folder)
+    return gold.interleave_fact(fact, new_path(spark, "interleaved"))
+
+
 # ---------------------------------------------------------------- marts
 
 
@@ -445,6 +475,21 @@ def check_accepted_values(spark: SparkSession, folder: str) -> DataFrame:
     return quality.check_accepted_values(trips, "stg_all_trips", accepted)
 
 
+def fare_speed_percentiles(spark: SparkSession, folder: str) -> DataFrame:
+    """Percentiles of fare and speed over all trips, per service: few groups, of any size."""
+    trips = _trips(spark, folder, silver.DURATION)
+    measures = F.array(
+        F.struct(F.lit("fare_amount").alias("measure"), F.col("fare_amount").alias("value")),
+        F.struct(
+            F.lit("speed_mph").alias("measure"),
+            speed_mph(F.col("trip_distance"), F.col(silver.DURATION)).alias("value"),
+        ),
+    )
+    values = trips.select("service_type", F.inline(measures))
+    found = exact_percentiles(values, ["service_type", "measure"], "value", (0.1, 0.5, 0.9, 0.99))
+    return rounded(found, {"percentile": 6})
+
+
 def check_range(spark: SparkSession, folder: str) -> DataFrame:
     fact, _ = _fact_and_star(spark, folder, "pickup_date")
     return quality.check_range(fact, "fct_trips", "trip", range_violation())
@@ -473,6 +518,36 @@ def store_failures(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(failing.schema).parquet(path)
 
 
+def _row_checks(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Results of all checks of single rows, and the failing rows of the staged trips."""
+    fact, star = gold_tables(spark, folder)
+    trips = _trips(spark, folder)
+    on_fact, on_staged = new_path(spark, "failures"), new_path(spark, "failures")
+    results = quality.union_results(
+        [
+            row_checks.check_rows(fact, "fct_trips", fact_rules(star), on_fact),
+            row_checks.check_rows(trips, "stg_all_trips", staged_rules(star), on_staged),
+        ]
+    )
+    stored = row_checks.stored_failures(fact, on_fact).select(
+        "service_type", "trip_id", row_checks.CHECK
+    )
+    staged = row_checks.stored_failures(trips, on_staged).select(
+        "service_type", F.lit(None).cast("bigint").alias("trip_id"), row_checks.CHECK
+    )
+    return results, stored.unionByName(staged)
+
+
+def check_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """One scan of the fact and one of the staged trips, one result row per check."""
+    return _row_checks(spark, folder)[0]
+
+
+def stored_failures(spark: SparkSession, folder: str) -> DataFrame:
+    """The failing rows of all those checks, as stored by the same scans."""
+    return _row_checks(spark, folder)[1]
+
+
 # ---------------------------------------------------------------- ingest
 
 # The months are written as partitions of this column, so each is one folder.
@@ -658,6 +733,17 @@ def coverage_matrix(spark: SparkSession, folder: str) -> DataFrame:
     return lower_names(ingest.coverage_matrix(_coverage_log(spark, folder)))
 
 
+def coverage_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of loaded and missing months, where every fifth month's file is not there."""
+    source, nothing = month_files(spark, folder), new_path(spark, "no-files")
+    asked = all_months(spark, source)
+    log = new_path(spark, "coverage")
+    for place, fifth in ((source, False), (nothing, True)):
+        own = [m for m in asked if (m.month % 5 == 0) == fifth]
+        ingest.log_coverage(spark, backfilled(spark, place, own)[1], log)
+    return lower_names(ingest.coverage_runs(ingest.coverage_matrix(spark.read.parquet(log))))
+
+
 def loaded_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Rows of each month's latest load, as logged."""
     latest = ingest.latest_outcomes(_coverage_log(spark, folder))
@@ -917,6 +1003,39 @@ def run_sql_weekday(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Staging as views over the raw tables; only what a query asks for is computed.
+STAGING_VIEWS = {
+    f"stg_{service}_trips": f"""
+        SELECT timestampadd(MICROSECOND, {prefix}_pickup_datetime div 1000,
+                            timestamp_ntz'1970-01-01 00:00:00') AS pickup_datetime,
+               cast(payment_type AS int) AS payment_type, total_amount,
+               '{service}' AS service_type
+        FROM {{db}}.{service}_trips
+        WHERE {prefix}_pickup_datetime IS NOT NULL AND {prefix}_dropoff_datetime IS NOT NULL"""
+    for service, prefix in TIME_PREFIX.items()
+} | {
+    "stg_all_trips": "SELECT * FROM {db}.stg_yellow_trips UNION ALL SELECT * FROM {db}.stg_green_trips"
+}
+
+
+def run_sql_view(spark: SparkSession, folder: str) -> DataFrame:
+    """A question through views: staging is defined, not stored."""
+    path = new_path(spark, "bronze-tables")
+    database = "bronze_" + path.rsplit("-", 1)[1]
+    bronze = raw_trips(spark, folder)
+    raw = {f"{s}_trips": service_bronze(bronze, s) for s in TIME_PREFIX}
+    sinks.publish(raw, database, path)
+    sinks.publish_views(spark, database, STAGING_VIEWS)
+    return spark.sql(
+        f"""
+        SELECT service_type, year(pickup_datetime) AS trip_year, payment_type,
+               count(*) AS num_trips, max(total_amount) AS dearest
+        FROM {database}.stg_all_trips
+        GROUP BY service_type, year(pickup_datetime), payment_type
+        """
+    )
+
+
 def append_existing(spark: SparkSession, folder: str) -> DataFrame:
     """Yellow trips make the table; green ones are cut to its columns and appended."""
     bronze = raw_trips(spark, folder)
@@ -1007,6 +1126,13 @@ QUERIES: dict[str, Query] = {
     "q3_from_states": q3_from_states,
     "q4_from_states": q4_from_states,
     "q5_from_states": q5_from_states,
+    "check_rows": check_rows,
+    "stored_failures": stored_failures,
+    "dedupe_across_loads": dedupe_across_loads,
+    "fare_speed_percentiles": fare_speed_percentiles,
+    "interleave_fact": interleave_fact,
+    "coverage_runs": coverage_runs,
+    "run_sql_view": run_sql_view,
     "load_counts": load_counts,
     "ingest_zones": ingest_zones,
     "conform_batch": conform_batch,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.functions import (
@@ -17,6 +17,7 @@ from tripmart.functions import (
     speed_mph,
 )
 from tripmart.operators.dedupe import keep_first_per_key
+from tripmart.operators.history import KeyHistory
 from tripmart.operators.row_id import assign_row_id
 from tripmart.session import Kept, small_side
 from tripmart.sources.tables import TIME_PREFIX
@@ -190,10 +191,18 @@ def clean_report(trips: DataFrame) -> DataFrame:
     return counts.unpivot([], [*rules, "kept"], "rule", "n_trips")
 
 
+TRIP_KEY = ("service_type", "pickup_datetime", "dropoff_datetime", "vendor_id")
+
+
+def trip_history(spark: SparkSession, **options) -> KeyHistory:
+    """Trips met in earlier loads, by month of pickup."""
+    at = F.col("pickup_datetime")
+    return KeyHistory(spark, TRIP_KEY, F.year(at) * 12 + F.month(at), **options)
+
+
 def dedupe_trips(trips: DataFrame, key: Sequence[str] = ()) -> DataFrame:
     """One trip per service, pickup, dropoff and vendor: the least by all other columns."""
-    key = key or ["service_type", "pickup_datetime", "dropoff_datetime", "vendor_id"]
-    return keep_first_per_key(trips, key)
+    return keep_first_per_key(trips, key or TRIP_KEY)
 
 
 def zone_conformance(

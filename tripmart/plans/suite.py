@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.operators import quality
-from tripmart.plans.gold import Star, dim_vendor
+from tripmart.operators import quality, row_checks
+from tripmart.plans.gold import PAYMENT_LABELS, RATECODE_LABELS, Star, dim_vendor
 
 
 def range_violation() -> Column:
@@ -88,3 +88,32 @@ def store_failures(fact: DataFrame, star: Star, folder: str) -> dict[str, str]:
         name: quality.store_failures(rows, folder, name)
         for name, rows in failing_rows(fact, star).items()
     }
+
+
+def fact_rules(star: Star) -> list[row_checks.Rule]:
+    """The declared checks of single rows of the fact, and the range check."""
+    parents = {
+        "pickup_date_sk": (star.dim_date, "date_sk"),
+        "dropoff_date_sk": (star.dim_date, "date_sk"),
+        "pickup_zone_sk": (star.dim_zone, "zone_sk"),
+        "dropoff_zone_sk": (star.dim_zone, "zone_sk"),
+        "payment_type_sk": (star.dim_payment_type, "payment_type_sk"),
+        "ratecode_sk": (star.dim_ratecode, "ratecode_sk"),
+    }
+    return [
+        *[row_checks.not_null(c) for c in FACT_NOT_NULL],
+        *[row_checks.related(c, *parent) for c, parent in parents.items()],
+        row_checks.in_range("trip", range_violation()),
+    ]
+
+
+def staged_rules(star: Star) -> list[row_checks.Rule]:
+    """Checks of staged trips: ids that the dimensions must know, and codes that are listed."""
+    zones = (star.dim_zone, "zone_sk")
+    return [
+        row_checks.related("pickup_location_id", *zones),
+        row_checks.related("dropoff_location_id", *zones),
+        row_checks.accepted("payment_type", list(PAYMENT_LABELS)),
+        row_checks.accepted("ratecode_id", list(RATECODE_LABELS)),
+        row_checks.not_null("passenger_count"),
+    ]

@@ -8,7 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -94,14 +94,10 @@ def named_months(files: DataFrame) -> list[Month]:
 
 def months_present(spark: SparkSession, source: str) -> list[Month]:
     """Months with a file below ``source``; lists the files without reading them."""
+    if not path_exists(spark, source):
+        return []
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    try:
-        files = listing.load(source)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return []
-        raise
-    return named_months(files.select("path"))
+    return named_months(listing.load(source).select("path"))
 
 
 def ingest_months(
@@ -338,6 +334,39 @@ def coverage_matrix(log: DataFrame) -> DataFrame:
     return latest_outcomes(log).select(*months, "FILE_EXISTS", "LOAD_STATUS").orderBy(*months)
 
 
+def coverage_runs(matrix: DataFrame) -> DataFrame:
+    """Runs of consecutive months that are loaded, or missing, per service.
+
+    A month that was never asked for ends a run. The windows run over months.
+    """
+    number = F.col("LOAD_YEAR") * 12 + F.col("LOAD_MONTH") - 1
+    loaded = F.coalesce(F.col("LOAD_STATUS") == "OK", F.lit(False))
+    alike = Window.partitionBy("LOAD_SERVICE_TYPE", "LOADED").orderBy("NUMBER")
+
+    def label(month: Column) -> Column:
+        year = F.floor(month / 12)
+        return F.format_string("%04d-%02d", year.cast("int"), (month - year * 12 + 1).cast("int"))
+
+    return (
+        matrix.select("LOAD_SERVICE_TYPE", loaded.alias("LOADED"), number.alias("NUMBER"))
+        .withColumn("RUN", F.col("NUMBER") - F.row_number().over(alike))
+        .groupBy("LOAD_SERVICE_TYPE", "LOADED", "RUN")
+        .agg(
+            F.min("NUMBER").alias("FIRST"),
+            F.max("NUMBER").alias("LAST"),
+            F.count(F.lit(1)).alias("N_MONTHS"),
+        )
+        .select(
+            "LOAD_SERVICE_TYPE",
+            "LOADED",
+            label(F.col("FIRST")).alias("FIRST_MONTH"),
+            label(F.col("LAST")).alias("LAST_MONTH"),
+            "N_MONTHS",
+        )
+        .orderBy("LOAD_SERVICE_TYPE", "FIRST_MONTH")
+    )
+
+
 def failed_months(spark: SparkSession, log: str) -> list[Month]:
     """Months with a file whose latest load failed; none without a log."""
     try:

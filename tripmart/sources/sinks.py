@@ -60,3 +60,12 @@ def publish(tables: Mapping[str, DataFrame], database: str, path: str) -> None:
         df.write.mode("overwrite").option("path", f"{path}/{name}").saveAsTable(
             f"{database}.{name}"
         )
+
+
+def publish_views(spark: SparkSession, database: str, views: Mapping[str, str]) -> None:
+    """Define views of ``database`` by SQL text, in this order; ``{db}`` in it names the database.
+
+    Nothing is computed: a query through a view is planned together with it.
+    """
+    for name, text in views.items():
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS {text.format(db=database)}")
