@@ -140,7 +140,11 @@ def test_medians_of_large_whole_numbers_and_decimals(spark):
     assert str(max(r.d for r in filled.collect())) == "12345678901234567890.12"
 
 
-def test_repeated_keys_only_are_compared(skewed):
+def test_deduplication_reads_once_and_shuffles_once(skewed):
+    """A hot key is reduced below the only shuffle."""
     df, _ = skewed
     plan = keep_first_per_key(df, ["g", "v"])._jdf.queryExecution().executedPlan().toString()
-    assert "LeftAnti" in plan
+    assert plan.count("FileScan") == plan.count("Exchange") == 1
+    above, below = plan.split("Exchange")
+    assert "functions=[min(" in above and "partial_min(" in below
+    assert "Window" not in plan and "Join" not in plan

@@ -3,43 +3,28 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.session import keep, small_side
-
 
 def keep_first_per_key(
     df: DataFrame, key: Sequence[str], order_by: Sequence[str] = ()
 ) -> DataFrame:
     """Keep, per ``key``, the row that is least by ``order_by`` and then by all other columns.
 
-    Keys are counted by a hash aggregate over the key columns alone. Rows of a key that occurs
-    once pass untouched; only the others are compared, by an aggregate and not a window, so a key
-    that holds many rows shrinks to one row per task before the shuffle. Rows equal in everything
-    are interchangeable, so the result is deterministic. NULL keys form one group, as in GROUP BY;
-    NULLs sort first.
+    One aggregate, no window: the input is read once, and a key that holds many rows shrinks to
+    one row per task before the only shuffle. Rows equal in everything are interchangeable, so the
+    result is deterministic. NULL keys form one group, as in GROUP BY; NULLs sort first.
     """
     key = list(key)
     first = [c for c in order_by if c not in key]
     rest = [c for c in df.columns if c not in key and c not in first]
     if not first and not rest:
         return df.distinct()
-    counted = df.groupBy(*key).agg(F.count(F.lit(1)).alias("__rows")).where("__rows > 1")
-    names = {c: f"__key{i}" for i, c in enumerate(key)}
-    repeated = small_side(
-        keep(counted.select(*[F.col(c).alias(n) for c, n in names.items()]), "repeated-keys")
-    )
-    same = reduce(
-        lambda a, b: a & b, [df[c].eqNullSafe(repeated[n]) for c, n in names.items()]
-    )
     least = F.min(F.struct(*first, *rest)).alias("__least")
-    chosen = (
-        df.join(repeated, same, "left_semi")
-        .groupBy(*key)
+    return (
+        df.groupBy(*key)
         .agg(least)
         .select(*[c if c in key else F.col("__least")[c].alias(c) for c in df.columns])
     )
-    return df.join(repeated, same, "left_anti").unionByName(chosen)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,30 +23,32 @@ def _common(kind: T.DataType) -> str:
 def upper_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, Any]:
     """``sorted(non-null values)[floor(n / 2)]`` of each numeric column.
 
-    Exact, and no task sees a whole column: equal values are counted first, the counts are
-    range-sorted, and a running sum is taken only in the one partition per column that holds
-    the middle row. Integral, decimal and floating columns go apart, so that no value passes
+    Exact, and no task sees a whole column: equal values are counted first, in one scan for all
+    columns, the counts are range-sorted, and a running sum is taken only in the one partition per
+    column that holds the middle row. Every type has a field of its own, so that no value passes
     through a type that cannot hold it. A column without values is left out.
     """
-    kinds: dict[str, list[str]] = {}
-    for column in columns:
-        kinds.setdefault(_common(df.schema[column].dataType), []).append(column)
-    found: dict[str, Any] = {}
-    for kind, members in kinds.items():
-        found |= _medians(df, members, kind)
-    return found
+    if not columns:
+        return {}
+    kinds = {c: _common(df.schema[c].dataType) for c in columns}
+    fields = {kind: f"value{i}" for i, kind in enumerate(dict.fromkeys(kinds.values()))}
 
+    def cell(column: str) -> Column:
+        own = kinds[column]
+        values = [
+            (F.col(column) if kind == own else F.lit(None)).cast(kind).alias(name)
+            for kind, name in fields.items()
+        ]
+        return F.when(F.col(column).isNotNull(), F.struct(F.lit(column).alias("column"), *values))
 
-def _medians(df: DataFrame, columns: list[str], kind: str) -> dict[str, Any]:
+    names = list(fields.values())
     counts = (
-        df.select(*[F.col(c).cast(kind).alias(c) for c in columns])
-        .unpivot([], columns, "column", "value")
-        .where(F.col("value").isNotNull())
-        .groupBy("column", "value")
+        df.select(F.inline(F.array_compact(F.array(*[cell(c) for c in columns]))))
+        .groupBy("column", *names)
         .agg(F.count(F.lit(1)).alias("n"))
     )
     # The counts come out of a shuffle, so they are written before positions are taken.
-    placed = keep(range_sorted(keep(counts, "value-counts").df, ["column", "value"]), "values").df
+    placed = keep(range_sorted(keep(counts, "value-counts").df, ["column", *names]), "values").df
 
     whole = Window.partitionBy("column")
     upto = whole.orderBy(PART).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -58,16 +60,16 @@ def _medians(df: DataFrame, columns: list[str], kind: str) -> dict[str, Any]:
         .where((F.col("end") - F.col("n") <= F.col("middle")) & (F.col("middle") < F.col("end")))
         .select("column", PART, (F.col("middle") - (F.col("end") - F.col("n"))).alias("rank"))
     )
-    running = Window.partitionBy("column").orderBy("value").rowsBetween(
+    running = Window.partitionBy("column").orderBy(*names).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     found = (
         placed.join(F.broadcast(parts), ["column", PART])  # one row per column
         .withColumn("end", F.sum("n").over(running))
         .where((F.col("end") - F.col("n") <= F.col("rank")) & (F.col("rank") < F.col("end")))
-        .select("column", "value")
+        .select("column", *names)
     )
-    return {row["column"]: row["value"] for row in found.collect()}  # one row per column
+    return {r["column"]: r[fields[kinds[r["column"]]]] for r in found.collect()}  # one row a column
 
 
 def impute_upper_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
