@@ -334,15 +334,16 @@ def phrases(text):
 
 
 def labels(text):
-    """All labels and the score, by comparing every line with every template."""
+    """All labels and the score, by comparing every block with every template."""
     base = phrases(text)[4]
     found, score = set(filter(None, base.split(","))), 1.0 if base else 0.0
-    for line in (text or "").split("\n"):
-        have = set(plain_words(line))
-        for label, template in licenses.TEMPLATES:
-            words_ = set(template.split())
+    w = plain_words(text)
+    for label, template, naming in licenses.TEMPLATES:
+        words_, m = set(template.split()), len(template.split())
+        for start in range(0, len(w), m):
+            have = set(w[start : start + 2 * m])
             both = len(have & words_)
-            if 100 * both >= 80 * len(words_):
+            if 100 * both >= 80 * len(words_) and have >= set(naming):
                 found.add(label)
                 score = max(score, both / len(words_))
     return ",".join(sorted(found)), score
@@ -364,6 +365,39 @@ def test_license_scan(spark, folder):
     assert len({r[6] for r in got}) > 5
 
 
+NOTICE = (
+    "Permission is hereby granted, free of charge, to any person\n * obtaining a copy of this "
+    "software and associated\n * documentation files"
+)
+
+
+@pytest.mark.parametrize(
+    ("text", "label"),
+    [
+        (NOTICE, "mit"),
+        ("before " * 500 + NOTICE + " after" * 500, "mit"),
+        ("Released under the GPL license", ""),
+        ("Released under the\nMIT\nlicense.", "mit"),
+        ("Licensed under CC BY 4.0.", "cc-by"),
+        ("Licensed under CC BY-NC 4.0.", "cc-by,cc-by-nc"),
+        ("Licensed under the Apache\n   License, Version 2.0", "apache"),
+        ("released and under " + "filler " * 40 + "mit license the", ""),
+        (NOTICE + "\n" + "x " * 300 + "GNU General Public License", "gpl,mit"),
+    ],
+)
+def test_notices_are_found_over_line_ends_and_named(spark, text, label):
+    df = spark.createDataFrame([(1, text, "t", 3)], "doc_id int, text string, flat string, n int")
+    assert licenses.scan(df).first()["labels"] == label
+
+
+def test_license_scan_equals_its_twin(spark, folder):
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS FROM '{folder}/documents.parquet'")
+    want = sorted(connection.execute(queries.ORACLE["op10_license_scan"]).fetchall())
+    got = queries.QUERIES["op10_license_scan"](spark, folder)
+    assert sorted(tuple(r) for r in got.collect()) == want
+
+
 def test_license_scan_of_nothing(spark, none):
     assert licenses.scan(none).collect() == []
 

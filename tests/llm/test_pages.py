@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+import time
 
 import duckdb
 import pytest
@@ -33,6 +34,21 @@ def test_text_of_all_pages(spark):
     assert all(r.n_chars == len(r.text) for r in got)
 
 
+def test_text_of_all_pages_without_a_marked_article():
+    """The distribution finds the same text where nothing marks it."""
+    for _, _, page in pages("/root/testdata/sf0.01"):
+        plain = page.replace("<article>", "<div>").replace("</article>", "</div>")
+        assert html_text.main_text(plain) == article(page)
+
+
+@pytest.mark.parametrize("name", ["nav", "div class=ad", "li", "p"])
+def test_unclosed_elements_cost_one_pass(name):
+    page = f"<{name}>x" * 20_000
+    start = time.process_time()
+    html_text.main_text(page)
+    assert time.process_time() - start < 5
+
+
 LONG = "many words of the story " * 8
 
 

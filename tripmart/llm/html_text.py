@@ -111,17 +111,22 @@ def _name(names: set[str], words: set[str]) -> bool:
     return False
 
 
-def _end_of(tags: list[Tag], at: int) -> int | None:
-    """The tag that closes the element opened by tag ``at``."""
-    depth, name = 0, tags[at].name
-    for k in range(at, len(tags)):
-        if tags[k].name == name:
-            depth += -1 if tags[k].close else 1
-            if not depth:
-                return k
-            if depth > 1 and name in ("p", "li"):  # their end tags may be left out
-                return k - 1
-    return None
+def _ends(tags: list[Tag]) -> list[int | None]:
+    """For each opening tag, the tag at which its element ends, in one pass over all tags."""
+    ends: list[int | None] = [None] * len(tags)
+    opened: dict[str, list[int]] = {}
+    for k, tag in enumerate(tags):
+        waiting = opened.setdefault(tag.name, [])
+        if tag.name in ("p", "li"):  # their end tags may be left out
+            if waiting:
+                ends[waiting.pop()] = k if tag.close else k - 1
+            if not tag.close:
+                waiting.append(k)
+        elif not tag.close:
+            waiting.append(k)
+        elif waiting:
+            ends[waiting.pop()] = k
+    return ends
 
 
 def lines_of(page: str) -> tuple[list[Line], bool]:
@@ -143,6 +148,7 @@ def _lines(page: str, tags: list[Tag], spared: tuple[str, ...]) -> list[Line]:
         x: [k for k, t in enumerate(tags) if t.name == x and not t.close]
         for x in ("main", "article")
     }
+    ends = _ends(tags)
     out: list[Line] = []
     held: list[str] = []
     linked, links, article, at, k = 0, 0, 0, 0, 0
@@ -173,7 +179,7 @@ def _lines(page: str, tags: list[Tag], spared: tuple[str, ...]) -> list[Line]:
             top = tag.name == "header" or _name(names, PAGE_TOP)
             drop = tag.name in DROPPED and tag.name != "header" or _name(names, BOILERPLATE)
             if drop and tag.name not in ("html", "body") or top and not article:
-                stop = _end_of(tags, k - 1)
+                stop = ends[k - 1]
                 hold = ("main", "article") if tag.name == "form" else spared
                 around = tag.name in AROUND or tag.name not in DROPPED
                 if around and stop is not None and any(
@@ -192,11 +198,15 @@ def _lines(page: str, tags: list[Tag], spared: tuple[str, ...]) -> list[Line]:
 
 
 def main_text(page: str) -> str:
-    """Text between the surges and dives, blocks joined by a space."""
+    """Text between the surges and dives, blocks joined by a space.
+
+    A marked article bounds the lines that are looked at, and its links are text like any other;
+    where its text surges and dives is found in the same way.
+    """
     lines, marked = lines_of(page)
     if marked:
-        return " ".join(x.text for x in lines if x.inside and x.text)
-    size = [len(x.text) if 2 * x.linked <= len(x.text) else 0 for x in lines]
+        lines = [x for x in lines if x.inside]
+    size = [len(x.text) if marked or 2 * x.linked <= len(x.text) else 0 for x in lines]
     sums = [sum(size[i : i + GAP]) for i in range(len(size))]
     most = max(sums, default=0)
     if not most:  # nothing but links

@@ -140,6 +140,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 #: does not express; tests hold them against brute force.
 ORACLE: dict[str, str] = {
     "op5_line_dedup": line_dedup.ORACLE_SQL,
+    "op10_license_scan": licenses.oracle_sql(),
     "op12_feistel_sharding": sharding.oracle_sql(),
     "op13_sharded_lloyd": lloyd.oracle_sql(),
 }
