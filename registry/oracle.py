@@ -829,6 +829,12 @@ runs AS (
 SELECT load_service_type, loaded, printf('%04d-%02d', min(m) // 12, min(m) % 12 + 1) AS first_month,
   printf('%04d-%02d', max(m) // 12, max(m) % 12 + 1) AS last_month, count(*) AS n_months
 FROM runs GROUP BY load_service_type, loaded, run""",
+    "append_table": f"""WITH {BASE} SELECT load_service_type, load_year, load_month, payment_type,
+  total_amount FROM bronze""",
+    "replace_table": f"""WITH {BASE} SELECT load_service_type, load_year, load_month, payment_type,
+  total_amount FROM bronze WHERE load_service_type = 'green'""",
+    "stream_first_trips": f"""WITH {SILVER} SELECT DISTINCT service_type, vendor_id, pickup_datetime,
+  dropoff_datetime FROM silver""",
     "run_sql_view": f"""WITH {SILVER} SELECT service_type, CAST(year(pickup_datetime) AS INT) AS trip_year,
   payment_type, count(*) AS num_trips, max(total_amount) AS dearest
 FROM silver GROUP BY ALL""",

@@ -33,6 +33,7 @@ from tripmart.sources.tables import (
     read_table,
     service_bronze,
 )
+from tripmart.streaming import trips as trips_stream
 from tripmart.streaming.months import stream_backfill
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -767,6 +768,27 @@ def stream_months(spark: SparkSession, folder: str) -> DataFrame:
     return lower_names(spark.read.schema(RAW_LAYER_SCHEMA).parquet(target))
 
 
+def stream_first_trips(spark: SparkSession, folder: str) -> DataFrame:
+    """Trips arrive year by year, each year with a copy of the year before; one of each stays."""
+    keys = _trips(spark, folder, silver.VENDOR).select(
+        "service_type", "vendor_id", "load_year",
+        F.col("dropoff_datetime").cast("string").alias("dropoff"),
+        F.col("pickup_datetime").cast("timestamp").alias("pickup_at"),
+    )
+    source, target = new_path(spark, "trip-files"), new_path(spark, "first-trips")
+    for year in sorted(r[0] for r in keys.select("load_year").distinct().collect()):
+        arrived = keys.where(F.col("load_year").between(year - 1, year)).drop("load_year")
+        arrived.write.mode("append").parquet(source)
+    schema = keys.drop("load_year").schema
+    rows = trips_stream.stream_files(spark, source, schema, 8)
+    first = trips_stream.first_rows(rows, rows.columns, "pickup_at", "800 days")
+    trips_stream.write_first_rows(first, target, new_path(spark, "stream")).awaitTermination()
+    return spark.read.schema(schema).parquet(target).select(
+        "service_type", "vendor_id", F.col("pickup_at").cast("timestamp_ntz").alias("pickup_datetime"),
+        F.col("dropoff").cast("timestamp_ntz").alias("dropoff_datetime"),
+    )
+
+
 def load_counts(spark: SparkSession, folder: str) -> DataFrame:
     return marts.load_counts(raw_trips(spark, folder))
 
@@ -1047,6 +1069,34 @@ def append_existing(spark: SparkSession, folder: str) -> DataFrame:
     return spark.table(f"{database}.trips")
 
 
+def _created_database(spark: SparkSession, name: str) -> str:
+    path = new_path(spark, name)
+    database = f"{name}_" + path.rsplit("-", 1)[1]
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{path}'")
+    return database
+
+
+LOADED_COLUMNS = ("load_service_type", "load_year", "load_month", "payment_type", "total_amount")
+
+
+def append_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The first service's load creates the table, the second one's adds to it."""
+    table = f"{_created_database(spark, 'appended')}.trips"
+    for service in TIME_PREFIX:
+        own = service_bronze(raw_trips(spark, folder), service)
+        sinks.append_table(own.select(*LOADED_COLUMNS), table)
+    return spark.table(table)
+
+
+def replace_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Each service's load replaces the table, so the last one is left."""
+    table = f"{_created_database(spark, 'replaced')}.trips"
+    for service in TIME_PREFIX:
+        own = service_bronze(raw_trips(spark, folder), service)
+        sinks.replace_table(own.select(*LOADED_COLUMNS), table)
+    return spark.table(table)
+
+
 def write_chunked(spark: SparkSession, folder: str) -> DataFrame:
     path = new_path(spark, "chunks")
     sinks.write_chunked(raw_trips(spark, folder), path)
@@ -1133,6 +1183,7 @@ QUERIES: dict[str, Query] = {
     "interleave_fact": interleave_fact,
     "coverage_runs": coverage_runs,
     "run_sql_view": run_sql_view,
+    "stream_first_trips": stream_first_trips,
     "load_counts": load_counts,
     "ingest_zones": ingest_zones,
     "conform_batch": conform_batch,
@@ -1141,5 +1192,7 @@ QUERIES: dict[str, Query] = {
     "run_sql": run_sql_zone_year,
     "run_sql_weekday": run_sql_weekday,
     "append_existing": append_existing,
+    "append_table": append_table,
+    "replace_table": replace_table,
     "write_chunked": write_chunked,
 }
