@@ -25,7 +25,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripmart.llm import words
@@ -41,8 +41,11 @@ HIDDEN = 24
 STEPS, LANES = 32, 256
 #: Rows of the output layer worked on at once.
 CACHED = 1 << 10
-#: Bytes of text in the lanes at once.
-LANE_BYTES = 16 << 20
+#: Bytes of text made into tokens at once, and in the lanes at once: many, so that the longest
+#: document does not run alone for long.
+TEXT_BYTES, LANE_BYTES = 4 << 20, 32 << 20
+#: Bits of a hash by which the known words are found.
+SLOT_BITS = 20
 RATE = 0.1
 #: Weight of plain word shares in the model's probability, for texts unlike all in training.
 SHARES = 0.1
@@ -58,6 +61,7 @@ class Vocabulary(NamedTuple):
     """Counts of the commonest words and what the symbols stand for."""
 
     hashes: np.ndarray  # sorted
+    slots: np.ndarray  # leading bits of a hash -> where such hashes begin
     counts: np.ndarray
     symbols: np.ndarray  # -1: shares its bucket's
     of_bucket: np.ndarray  # symbol of each bucket
@@ -110,7 +114,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of each training word of a batch."""
     for batch in batches:
         held = _held(batch)
-        for row, texts in words.slices(words.texts_of(batch.column("text")), LANE_BYTES):
+        for row, texts in words.slices(words.texts_of(batch.column("text")), TEXT_BYTES):
             found = tokens_of(texts)
             learn = np.repeat(~held[row : row + len(texts)], np.diff(found.first))
             hashes, which, count = np.unique(
@@ -132,9 +136,29 @@ def count_words(docs: DataFrame) -> DataFrame:
     return found.groupBy("hash", "bucket").agg(F.sum("n").alias("n"))
 
 
+def commonest(counts: DataFrame, most: int) -> DataFrame:
+    """The ``most`` commonest words of ``counts``, the smaller hash first among equals.
+
+    Counts are counted first: only words above the cut-off count, and of those at it the ones with
+    hashes small enough, are put in order, so no task reads more than about ``most`` rows.
+    """
+    kinds = counts.groupBy("n").agg(F.count("*").alias("words"))
+    above = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("words").over(above), F.lit(0))
+    edge = kinds.withColumn("before", before).where(F.col("before") < most).orderBy("n").first()
+    if edge is None:
+        return counts.limit(0)
+    at_edge = F.col("n") == edge.n
+    if edge.before + edge.words > most:  # twice as many as wanted and a few, in the order of hashes
+        share = min(1.0, (2 * (most - edge.before) + 1000) / edge.words)
+        at_edge &= F.col("hash") <= int(-(2**63) + share * (2**64 - 2**12))
+    chosen = counts.where((F.col("n") > edge.n) | at_edge)
+    return chosen.orderBy(F.desc("n"), "hash").limit(most)
+
+
 def vocabulary(counts: DataFrame) -> Vocabulary:
     """The commonest words, and what is left for the buckets."""
-    top = counts.orderBy(F.desc("n"), "hash").limit(KNOWN).toArrow()
+    top = commonest(counts, KNOWN).toArrow()
     hashes, bucket, n = (top[c].to_numpy() for c in ("hash", "bucket", "n"))
     hashes = hashes.view(np.uint64)
     whole = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
@@ -158,6 +182,7 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     order = np.argsort(hashes)
     return Vocabulary(
         hashes[order],
+        slots_of(hashes[order]),
         n[order],
         symbols[order],
         rank[int(own.sum()) : int(own.sum()) + BUCKETS],
@@ -168,17 +193,29 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     )
 
 
+def slots_of(hashes: np.ndarray) -> np.ndarray:
+    """Where the sorted ``hashes`` with each of the possible leading bits begin, and their end."""
+    leading = (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+    return np.searchsorted(leading, np.arange((1 << SLOT_BITS) + 1))
+
+
 def look_up(known: Vocabulary, found: Tokens) -> tuple[np.ndarray, np.ndarray]:
     """Symbol of each token, and its training count, or -1 where a task does not know it."""
-    if not len(known.hashes):
-        count = np.full(len(found.hashes), -1, dtype=np.int64)
-        return known.of_bucket[np.maximum(found.buckets, 0)], count
-    at = np.searchsorted(known.hashes, found.hashes)
-    at[at == len(known.hashes)] = 0
-    hit = known.hashes[at] == found.hashes
-    symbol = np.where(hit, known.symbols[at], -1)
-    symbol = np.where(symbol < 0, known.of_bucket[np.maximum(found.buckets, 0)], symbol)
-    return symbol, np.where(hit, known.counts[at], -1)
+    slot = (found.hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+    at, stop = known.slots[slot], known.slots[slot + 1]
+    symbol = known.of_bucket[np.maximum(found.buckets, 0)]
+    count = np.full(len(at), -1, dtype=np.int64)
+    left = np.flatnonzero(at < stop)
+    while len(left):  # as often as the fullest slot has words
+        same = known.hashes[at[left]] == found.hashes[left]
+        hit = left[same]
+        own = known.symbols[at[hit]]
+        symbol[hit] = np.where(own < 0, symbol[hit], own)
+        count[hit] = known.counts[at[hit]]
+        left = left[~same]
+        at[left] += 1
+        left = left[at[left] < stop[left]]
+    return symbol.astype(np.uint16), count
 
 
 # The network. Symbol s is number s % PER_CLASS of class s // PER_CLASS.
@@ -216,58 +253,79 @@ class Network:
 
     def step(self, symbols: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
         """New state, and what a gradient needs: gates, candidate and its recurrent part."""
-        x, u = self.x[symbols], h @ self.u
-        gates = 1 / (1 + np.exp(-(x[:, : 2 * HIDDEN] + u[:, : 2 * HIDDEN])))
+        return self.move(self.x[symbols], h)
+
+    def move(self, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
+        """A step by the rows of the symbols."""
+        u = h @ self.u
+        gates = x[:, : 2 * HIDDEN] + u[:, : 2 * HIDDEN]
+        np.negative(gates, out=gates)
+        np.exp(gates, out=gates)
+        gates += 1
+        np.reciprocal(gates, out=gates)
         z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
         un = u[:, 2 * HIDDEN :]
-        n = np.tanh(x[:, 2 * HIDDEN :] + r * un)
-        return n + z * (h - n), z, r, n, un
+        n = r * un
+        n += x[:, 2 * HIDDEN :]
+        np.tanh(n, out=n)
+        new = h - n
+        new *= z
+        new += n
+        return new, z, r, n, un
 
     def outputs(self, h: np.ndarray, target: np.ndarray, grads: Network | None = None):
         """Log-probability of each target; with ``grads``, also the gradient of their negative
-        sum by the states, while those of the weights are added to ``grads``."""
+        sum by the states, while those of the weights are added to ``grads``.
+
+        Rows are put in the order of their class, so that a class is a slice of them.
+        """
+        order = np.argsort((target // PER_CLASS).astype(np.uint8), kind="stable")
+        h, target = h[order], target[order]
         cls, place = target // PER_CLASS, target % PER_CLASS
-        out = np.empty(len(h), dtype=np.float32)
-        dh = None if grads is None else np.empty_like(h)
-        for k in range(0, len(h), CACHED):  # so many rows as stay in the cache
-            some, goal = h[k : k + CACHED], cls[k : k + CACHED]
-            rows = np.arange(len(some))
-            p = some @ self.wc
-            p += self.bc
-            p -= p.max(axis=1, keepdims=True)
-            value = p[rows, goal]
-            np.exp(p, out=p)
-            total = p.sum(axis=1)
-            out[k : k + CACHED] = value - np.log(total)
-            if grads is not None:
-                p *= (1 / total)[:, None]
-                p[rows, goal] -= 1
-                grads.wc += some.T @ p
-                grads.bc += p.sum(axis=0)
-                dh[k : k + CACHED] = p @ self.wc.T
-        order = np.argsort(cls, kind="stable")
-        ends = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-        for c in range(CLASSES):
-            own = order[ends[c] : ends[c + 1]]
-            if not len(own):
-                continue
-            here, k = h[own], np.arange(len(own))
-            q = here @ self.ww[c]
-            q += self.bw[c]
-            q -= q.max(axis=1, keepdims=True)
-            value = q[k, place[own]].copy()
-            np.exp(q, out=q)
-            total = q.sum(axis=1)
-            out[own] += value - np.log(total)
-            if grads is not None:
-                q *= (1 / total)[:, None]
-                q[k, place[own]] -= 1
-                grads.ww[c] += here.T @ q
-                grads.bw[c] += q.sum(axis=0)
-                dh[own] += q @ self.ww[c].T
+        ends = np.searchsorted(cls, np.arange(CLASSES + 1)).tolist()
+        held = [(c, slice(ends[c], ends[c + 1])) for c in range(CLASSES) if ends[c] < ends[c + 1]]
+        p = self.wc.T @ h.T  # a row for each class, a column for each row of h
+        p += self.bc[:, None]
+        q = np.empty_like(p)
+        for c, own in held:
+            np.matmul(self.ww[c].T, h[own].T, out=q[:, own])
+            q[:, own] += self.bw[c][:, None]
+        likely = _log_softmax(p, cls, grads is not None)
+        likely += _log_softmax(q, place, grads is not None)
+        out = np.empty_like(likely)
+        out[order] = likely
+        if grads is None:
+            return out, None
+        grads.wc += h.T @ p.T
+        grads.bc += p.sum(axis=1)
+        by_row = p.T @ self.wc.T
+        for c, own in held:
+            grads.ww[c] += h[own].T @ q[:, own].T
+            grads.bw[c] += q[:, own].sum(axis=1)
+            by_row[own] += q[:, own].T @ self.ww[c].T
+        dh = np.empty_like(by_row)
+        dh[order] = by_row
         return out, dh
 
 
+def _log_softmax(scores: np.ndarray, goal: np.ndarray, gradient: bool) -> np.ndarray:
+    """Log-probability of each column's goal. ``scores`` is used up: with ``gradient``, it becomes
+    the gradient of their negative sum."""
+    out = np.empty(scores.shape[1], dtype=scores.dtype)
+    for k in range(0, len(out), CACHED):  # so many columns as stay in the cache
+        some, to = scores[:, k : k + CACHED], goal[k : k + CACHED]
+        column = np.arange(len(to))
+        some -= some.max(axis=0)
+        value = some[to, column]
+        np.exp(some, out=some)
+        total = some.sum(axis=0)
+        out[k : k + CACHED] = value - np.log(total)
+        if gradient:
+            some *= 1 / total
+            some[to, column] -= 1
+    return out
+
+
 class Lanes(NamedTuple):
     """Tokens of some documents, dealt out to lanes; longest lane first."""
 
@@ -313,30 +371,46 @@ def _windows(lanes: Lanes, steps: int) -> Iterator[np.ndarray]:
 
 def score_tokens(net: Network, symbols: np.ndarray, first: np.ndarray, end: int) -> np.ndarray:
     """Log-probability of each symbol, given all before it in its document."""
-    out = np.zeros(len(symbols), dtype=np.float64)
+    out = np.zeros(len(symbols), dtype=np.float32)
     if not len(symbols):
         return out
     lanes = lanes_of(first)
-    before = np.append(end, symbols[:-1])
+    before = np.roll(symbols, 1)
     before[lanes.begins] = end
     h = np.zeros((len(lanes.place), HIDDEN), dtype=np.float32)
     for window in _windows(lanes, STEPS):
-        h = h[: window.shape[1]]
+        h, real = h[: window.shape[1]], window >= 0
         states = np.empty((*window.shape, HIDDEN), dtype=np.float32)
-        for t, at in enumerate(window):
-            h = np.where(lanes.begins[at][:, None], np.float32(0), h)
-            h = net.step(before[at], h)[0]
-            states[t] = h
-        real = window >= 0
+        stays, inputs = _stays(lanes, window), net.x[before[window]]
+        for t in range(len(window)):
+            states[t] = h = net.move(inputs[t], h * stays[t])[0]
         out[window[real]] = net.outputs(states[real], symbols[window[real]])[0]
     return out
 
 
-def _add_rows(out: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
-    """Add each of ``values`` to its row of ``out``; rows may repeat."""
-    order = np.argsort(rows, kind="stable")
-    starts = np.flatnonzero(np.append(True, np.diff(rows[order]) > 0))
-    out[rows[order][starts]] += np.add.reduceat(values[order], starts, axis=0)
+def _stays(lanes: Lanes, window: np.ndarray) -> np.ndarray:
+    """1, or 0 where a document begins and the state before it must go."""
+    return (~lanes.begins[window]).astype(np.float32)[:, :, None]
+
+
+def _sums_of_rows(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ones of ``rows`` and the sum of the values of each."""
+    rows, values = rows.reshape(-1), values.reshape(-1, values.shape[-1])
+    order = np.argsort(rows.astype(np.uint16), kind="stable")
+    rows = rows[order]
+    starts = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
+    return rows[starts], np.add.reduceat(values[order], starts, axis=0)
+
+
+def _adagrad(weights: np.ndarray, sums: np.ndarray, grad: np.ndarray, rows=slice(None)) -> None:
+    """One step of ``rows``; a row without a gradient would not move, and is best left out."""
+    seen = sums[rows] + grad * grad
+    sums[rows] = seen
+    seen += np.float32(1e-6)
+    np.sqrt(seen, out=seen)
+    np.divide(grad, seen, out=seen)
+    seen *= np.float32(RATE)
+    weights[rows] -= seen
 
 
 def train_tokens(
@@ -351,40 +425,52 @@ def train_tokens(
     if not len(symbols):
         return
     lanes = lanes_of(first, most)
-    before = np.append(end, symbols[:-1])
+    before = np.roll(symbols, 1)
     before[lanes.begins] = end
     h = np.zeros((len(lanes.place), HIDDEN), dtype=np.float32)
+    grads, squares = Network(np.zeros(Network.SIZE, dtype=np.float32)), Network(sums)
     for window in _windows(lanes, STEPS):
         h, real = h[: window.shape[1]], window >= 0
-        grads = Network(np.zeros(Network.SIZE, dtype=np.float32))
-        kept = []
-        states = np.empty((*window.shape, HIDDEN), dtype=np.float32)
-        for t, at in enumerate(window):
-            reset = lanes.begins[at][:, None]
-            h = np.where(reset, np.float32(0), h)
-            new, z, r, n, un = net.step(before[at], h)
-            kept.append((reset, h, z, r, n, un))
-            states[t] = h = new
-        _, dh = net.outputs(states[real], symbols[window[real]], grads)
+        for name in ("u", "wc", "bc", "ww", "bw"):
+            getattr(grads, name).fill(0)
+        shape, stays = (*window.shape, HIDDEN), _stays(lanes, window)
+        states, old, z, r, n, un = (np.empty(shape, dtype=np.float32) for _ in range(6))
+        inputs = net.x[before[window]]
+        for t in range(len(window)):
+            old[t] = h = h * stays[t]
+            states[t], z[t], r[t], n[t], un[t] = net.move(inputs[t], h)
+            h = states[t]
         by_state = np.zeros_like(states)
-        by_state[real] = dh
+        _, by_state[real] = net.outputs(states[real], symbols[window[real]], grads)
+        # What a state's gradient is times, on its way to the candidate and the gates.
+        to_n = (1 - z) * (1 - n * n)
+        to_z = (old - n) * z * (1 - z)
+        to_r = un * r * (1 - r)
         by_input = np.empty((*window.shape, 3 * HIDDEN), dtype=np.float32)
-        back = np.zeros_like(h)
-        for t in range(len(window) - 1, -1, -1):
-            reset, old, z, r, n, un = kept[t]
-            d = (back + by_state[t]) * real[t][:, None]
-            dn = d * (1 - z) * (1 - n * n)
-            dz = d * (old - n) * z * (1 - z)
-            dr = dn * un * r * (1 - r)
-            by_u = np.concatenate([dz, dr, dn * r], axis=1)
-            grads.u += old.T @ by_u
-            by_input[t, :, : 2 * HIDDEN] = by_u[:, : 2 * HIDDEN]
-            by_input[t, :, 2 * HIDDEN :] = dn
-            back = np.where(reset, np.float32(0), d * z + by_u @ net.u.T)
-        _add_rows(grads.x, before[window[real]], by_input[real])
-        grad = grads.flat / np.float32(real.sum() ** 0.5)
-        sums += grad * grad
-        net.flat -= np.float32(RATE) * grad / np.sqrt(sums + np.float32(1e-6))
+        by_u, back = np.empty_like(by_input), np.zeros_like(h)
+        for t in range(len(window) - 1, -1, -1):  # past a lane's end, all is 0
+            d = by_state[t]
+            d += back
+            dn = np.multiply(d, to_n[t], out=by_input[t, :, 2 * HIDDEN :])
+            np.multiply(d, to_z[t], out=by_u[t, :, :HIDDEN])
+            np.multiply(dn, to_r[t], out=by_u[t, :, HIDDEN : 2 * HIDDEN])
+            np.multiply(dn, r[t], out=by_u[t, :, 2 * HIDDEN :])
+            d *= z[t]
+            back = by_u[t] @ net.u.T
+            back += d
+            back *= stays[t]
+        by_input[:, :, : 2 * HIDDEN] = by_u[:, :, : 2 * HIDDEN]
+        grads.u += old.reshape(-1, HIDDEN).T @ by_u.reshape(-1, 3 * HIDDEN)
+        scale = np.float32(real.sum() ** -0.5)
+        rows, by_row = _sums_of_rows(before[window], by_input)
+        by_row *= scale
+        _adagrad(net.x, squares.x, by_row, rows)
+        for name in ("u", "wc", "bc"):
+            _adagrad(getattr(net, name), getattr(squares, name), getattr(grads, name) * scale)
+        held = np.flatnonzero(np.bincount(symbols[window[real]] // PER_CLASS, minlength=CLASSES))
+        for name in ("ww", "bw"):
+            grad = getattr(grads, name)[held] * scale
+            _adagrad(getattr(net, name), getattr(squares, name), grad, held)
 
 
 # On Spark
@@ -408,9 +494,13 @@ def _parts(task: int, tokens: int, flat: np.ndarray) -> pa.RecordBatch:
 def _training(batch: pa.RecordBatch, known: Vocabulary) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Symbols and document bounds of the training documents of a batch, some at a time."""
     batch = batch.filter(pa.array(~_held(batch)))
-    for _, texts in words.slices(words.texts_of(batch.column("text")), LANE_BYTES):
-        found = tokens_of(texts)
-        yield look_up(known, found)[0], found.first
+    for _, some in words.slices(words.texts_of(batch.column("text")), LANE_BYTES):
+        symbols, sizes = [], [np.zeros(1, dtype=np.int64)]
+        for _, texts in words.slices(some, TEXT_BYTES):
+            found = tokens_of(texts)
+            symbols.append(look_up(known, found)[0])
+            sizes.append(np.diff(found.first))
+        yield np.concatenate(symbols), np.cumsum(np.concatenate(sizes))
 
 
 def _end_symbol(known: Vocabulary) -> int:
@@ -494,6 +584,9 @@ SCORE_SCHEMA = (
     "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, "
     "base double, model double, hash bigint, times bigint"
 )
+NAMES = [x.split()[0] for x in SCORE_SCHEMA.split(", ")]
+_ARROW = {"bigint": pa.int64(), "boolean": pa.bool_(), "double": pa.float64()}
+TYPES = [_ARROW[x.split()[1]] for x in SCORE_SCHEMA.split(", ")]
 
 
 def _scorer(shared):
@@ -503,58 +596,70 @@ def _scorer(shared):
         known, flat = shared.value
         net, end = Network(flat), _end_symbol(known)
         row = TaskContext.get().partitionId() << 40
-        whole = known.total + 0.5 * (known.distinct + 1)
-        names = [x.split()[0] for x in SCORE_SCHEMA.split(", ")]
         for batch in batches:
-            held = _held(batch)
-            for start, texts in words.slices(words.texts_of(batch.column("text")), LANE_BYTES):
-                found = tokens_of(texts)
-                symbol, count = look_up(known, found)
-                sure = count >= 0
-                likely = np.exp(score_tokens(net, symbol, found.first, end))
-                own = (known.of_bucket[np.maximum(found.buckets, 0)] == symbol) & (found.buckets >= 0)
-                # In a bucket, and by shares alone, a word weighs its count and a half.
-                weight = np.log10(count + 0.5, where=sure, out=np.zeros(len(count)))
-                likely /= np.where(own, known.bucket_total[np.maximum(found.buckets, 0)], 1)
-                by_share = np.where(own, 1, count + 0.5) / whole
-                model = np.log10((1 - SHARES) * likely + SHARES * by_share)
-                model += np.where(own & sure, weight, 0)
-                base = np.where(sure, weight - np.log10(whole), 0)
-                doc = np.repeat(np.arange(len(texts)), np.diff(found.first))
-                size = len(texts)
-                ids = row + np.arange(size)
-                row += size
-                none = pa.nulls(size, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(ids),
-                        batch.column("doc_id").slice(start, size),
-                        pa.array(held[start : start + size]),
-                        pa.array(np.diff(found.first)),
-                        pa.array(np.bincount(doc, count > 0, size).astype(np.int64)),
-                        pa.array(np.bincount(doc, base, size)),
-                        pa.array(np.bincount(doc, model, size)),
-                        *[none] * 2,
-                    ],
-                    names=names,
-                )
-                rare = np.flatnonzero(~sure)
-                if len(rare):
-                    pairs = np.stack([doc[rare].astype(np.uint64), found.hashes[rare]])
-                    _, which, times = np.unique(pairs, axis=1, return_index=True, return_counts=True)
-                    at = rare[which]
-                    size = len(at)
-                    blank = [pa.nulls(size, t) for t in
-                             (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(ids[doc[at]]),
-                            *blank,
-                            pa.array(found.hashes[at].view(np.int64)),
-                            pa.array(times),
-                        ],
-                        names=names,
+            held, done = _held(batch), 0
+            for _, some in words.slices(words.texts_of(batch.column("text")), LANE_BYTES):
+                parts, flat_symbols, sizes = [], [], [np.zeros(1, dtype=np.int64)]
+                for _, texts in words.slices(some, TEXT_BYTES):
+                    found = tokens_of(texts)
+                    symbol, count = look_up(known, found)
+                    size = np.diff(found.first)
+                    rare = np.flatnonzero(count < 0)
+                    if len(rare):
+                        doc = np.searchsorted(found.first, rare, "right") - 1
+                        yield rare_words(row + doc, found.hashes[rare])
+                    own = (known.of_bucket[np.maximum(found.buckets, 0)] == symbol) & (
+                        found.buckets >= 0
                     )
+                    parts.append((row, size, count, np.where(own, found.buckets, -1).astype(np.int8)))
+                    flat_symbols.append(symbol)
+                    sizes.append(size)
+                    row += len(size)
+                first = np.cumsum(np.concatenate(sizes))
+                logs, at = score_tokens(net, np.concatenate(flat_symbols), first, end), 0
+                for ids, size, count, bucket in parts:
+                    here = logs[at : at + len(count)].astype(np.float64)
+                    at += len(count)
+                    ends = pa.array(ids + np.arange(len(size)))
+                    name = batch.column("doc_id").slice(done, len(size))
+                    held_here = held[done : done + len(size)]
+                    done += len(size)
+                    yield documents(ends, name, held_here, size, here, count, bucket)
+
+    def rare_words(rows: np.ndarray, hashes: np.ndarray) -> pa.RecordBatch:
+        pairs = np.stack([rows.astype(np.uint64), hashes])
+        (rows, hashes), times = np.unique(pairs, axis=1, return_counts=True)
+        columns = [pa.nulls(len(rows), t) for t in TYPES]
+        columns[0] = pa.array(rows.view(np.int64))
+        columns[-2:] = pa.array(hashes.view(np.int64)), pa.array(times)
+        return pa.RecordBatch.from_arrays(columns, names=NAMES)
+
+    def documents(rows, names, held, size, logs, count, bucket) -> pa.RecordBatch:
+        known = shared.value[0]
+        whole = known.total + 0.5 * (known.distinct + 1)
+        sure, own = count >= 0, bucket >= 0
+        likely = np.exp(logs)
+        # In a bucket, and by shares alone, a word weighs its count and a half.
+        weight = np.log10(count + 0.5, where=sure, out=np.zeros(len(count)))
+        likely /= np.where(own, known.bucket_total[np.maximum(bucket, 0)], 1)
+        by_share = np.where(own, 1, count + 0.5) / whole
+        model = np.log10((1 - SHARES) * likely + SHARES * by_share)
+        model += np.where(own & sure, weight, 0)
+        base = np.where(sure, weight - np.log10(whole), 0)
+        doc = np.repeat(np.arange(len(size)), size)
+        return pa.RecordBatch.from_arrays(
+            [
+                rows,
+                names,
+                pa.array(held),
+                pa.array(size),
+                pa.array(np.bincount(doc, count > 0, len(size)).astype(np.int64)),
+                pa.array(np.bincount(doc, base, len(size))),
+                pa.array(np.bincount(doc, model, len(size))),
+                *[pa.nulls(len(size), t) for t in TYPES[-2:]],
+            ],
+            names=NAMES,
+        )
 
     return run
 
@@ -565,7 +670,8 @@ def score_documents(docs: DataFrame) -> DataFrame:
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score (smoothed word shares) and
     score (the model), both log10 over the whole text and its end. Null, empty and wordless texts
     are an end alone. Ids may be null (then in training) or repeated: each row is scored. Other
-    columns are ignored. If no document is in training, all tokens are unknown to both.
+    columns are ignored. If no document is in training, all tokens are unknown to both. ``score``
+    depends on how rows are dealt to tasks, as each task trains a replica.
     """
     spark: SparkSession = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint"), "text")
