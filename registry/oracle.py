@@ -833,6 +833,24 @@ FROM runs GROUP BY load_service_type, loaded, run""",
   total_amount FROM bronze""",
     "replace_table": f"""WITH {BASE} SELECT load_service_type, load_year, load_month, payment_type,
   total_amount FROM bronze WHERE load_service_type = 'green'""",
+    "ingest_latest_month": f"""WITH {BASE} SELECT load_service_type, load_year, load_month,
+  payment_type, total_amount FROM bronze
+QUALIFY rank() OVER (PARTITION BY load_service_type ORDER BY load_year DESC, load_month DESC) = 1""",
+    "drop_blank_names": """SELECT event_id, event_type AS kind, "value" FROM events""",
+    "starter_models": """WITH first_model AS (
+  SELECT CAST(nullif(s_nationkey, 0) AS INT) AS id FROM supplier),
+second_model AS (SELECT id FROM first_model WHERE id = 1),
+both_models AS (SELECT 'first_model' AS "table", id FROM first_model
+  UNION ALL SELECT 'second_model', id FROM second_model),
+per_id AS (SELECT "table", id, count(*) AS n FROM both_models GROUP BY ALL),
+counted AS (
+  SELECT 'not_null' AS "check", "table", count(*) FILTER (id IS NULL) AS n_failing
+  FROM both_models GROUP BY ALL
+  UNION ALL SELECT 'unique', "table", count(*) FILTER (id IS NOT NULL AND n > 1)
+  FROM per_id GROUP BY ALL)
+SELECT "check", "table", 'id' AS "column", n_failing,
+  CASE WHEN n_failing = 0 THEN 'pass' ELSE 'fail' END AS status
+FROM counted""",
     "stream_first_trips": f"""WITH {SILVER} SELECT DISTINCT service_type, vendor_id, pickup_datetime,
   dropoff_datetime FROM silver""",
     "run_sql_view": f"""WITH {SILVER} SELECT service_type, CAST(year(pickup_datetime) AS INT) AS trip_year,

@@ -639,6 +639,22 @@ def ingest_months(spark: SparkSession, folder: str) -> DataFrame:
     return lower_names(out)
 
 
+LATEST_COLUMNS = ("load_service_type", "load_year", "load_month", "payment_type", "total_amount")
+
+
+def ingest_latest_month(spark: SparkSession, folder: str) -> DataFrame:
+    """The file of each service's newest month, loaded by itself."""
+    source = month_files(spark, folder)
+    present = ingest.months_present(spark, source)
+    out = None
+    for service in TIME_PREFIX:
+        newest = max(m for m in present if m.service == service)
+        batch = ingest.ingest_month(spark, source, newest, template=FOLDER_PER_MONTH)
+        batch = lower_names(batch).select(*LATEST_COLUMNS)
+        out = batch if out is None else out.unionByName(batch)
+    return out
+
+
 def backfilled(
     spark: SparkSession, source: str, months: list[ingest.Month]
 ) -> tuple[DataFrame, list[ingest.Outcome]]:
@@ -838,6 +854,32 @@ def coerce_datetime_columns(spark: SparkSession, folder: str) -> DataFrame:
     return conform.coerce_datetime_columns(events)
 
 
+def drop_blank_names(spark: SparkSession, folder: str) -> DataFrame:
+    """Columns without a name go; of names that become equal the first one stays."""
+    events = read_table(spark, folder, "events").select(
+        "event_id", "user_id", "event_type", F.col("value").alias("second"), "value"
+    )
+    return lower_names(conform.normalise_columns(events.toDF("event id", "", "kind", "KIND", "Value")))
+
+
+def starter_models(spark: SparkSession, folder: str) -> DataFrame:
+    """A first model whose key may be NULL and so fails its check, and a second one of its id 1."""
+    nation = F.col("s_nationkey")
+    first = read_table(spark, folder, "supplier").select(
+        F.when(nation != 0, nation).cast("int").alias("id")
+    )
+    second = first.where("id = 1")
+    results = [
+        check
+        for name, model in (("first_model", first), ("second_model", second))
+        for check in (
+            quality.check_not_null(model, name, ["id"]),
+            quality.check_unique(model, name, ["id"]),
+        )
+    ]
+    return quality.union_results(results)
+
+
 def backfill_control_columns(spark: SparkSession, folder: str) -> DataFrame:
     """Load columns present on some rows only; the rest are filled."""
     known = F.col("user_id") % 3 != 0
@@ -1186,7 +1228,10 @@ QUERIES: dict[str, Query] = {
     "stream_first_trips": stream_first_trips,
     "load_counts": load_counts,
     "ingest_zones": ingest_zones,
+    "ingest_latest_month": ingest_latest_month,
     "conform_batch": conform_batch,
+    "drop_blank_names": drop_blank_names,
+    "starter_models": starter_models,
     "coerce_datetime_columns": coerce_datetime_columns,
     "backfill_control_columns": backfill_control_columns,
     "run_sql": run_sql_zone_year,
