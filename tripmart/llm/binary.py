@@ -3,7 +3,8 @@
 Every id takes the bits that the largest id of the vocabulary needs. 64 ids fill ``bits`` words of
 64 bits, so a block of any size is packed and unpacked by at most 128 array operations. A block
 row holds its documents' ids and lengths, and its place among the ids of its part, so a reader
-finds any document, or any range of token positions, without unpacking what lies before it.
+finds any document without unpacking what lies before it. It also holds its smallest and largest
+document id (null if all are), whose statistics let a reader skip files, row groups and pages.
 Blocks are Parquet rows: Spark commits them, and any store that Spark reaches can hold them.
 
 Documents are in ascending id order (nulls first; equal ids in the order of their texts' hashes).
@@ -30,8 +31,8 @@ BLOCK_IDS = 1 << 18
 TEXT_BYTES = 4 << 20
 
 BLOCK_SCHEMA = (
-    "part int, block int, start long, n_ids long, bits int, doc_ids array<bigint>, "
-    "lengths array<bigint>, payload binary"
+    "part int, block int, start long, n_ids long, bits int, low long, high long, "
+    "doc_ids array<bigint>, lengths array<bigint>, payload binary"
 )
 READ_SCHEMA = "doc_id bigint, part int, local_start long, n_tokens long, ids_crc32 long"
 
@@ -83,13 +84,15 @@ def _blocks(name: str, spaces: bool, end_id: int):
         ids: list[np.ndarray] = []
 
         def block() -> pa.RecordBatch:
-            flat = np.concatenate(ids)
+            flat, known = np.concatenate(ids), [x for x in docs if x is not None]
             row = {
                 "part": part,
                 "block": state["block"],
                 "start": state["start"],
                 "n_ids": len(flat),
                 "bits": bits,
+                "low": min(known, default=None),
+                "high": max(known, default=None),
                 "doc_ids": list(docs),
                 "lengths": np.concatenate(lengths).tolist(),
                 "payload": pack(flat, bits),
@@ -131,6 +134,8 @@ ARROW = pa.schema(
         ("start", pa.int64()),
         ("n_ids", pa.int64()),
         ("bits", pa.int32()),
+        ("low", pa.int64()),
+        ("high", pa.int64()),
         ("doc_ids", pa.list_(pa.int64())),
         ("lengths", pa.list_(pa.int64())),
         ("payload", pa.binary()),
@@ -200,11 +205,17 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def blocks_of(spark: SparkSession, path: str, doc_id: int) -> DataFrame:
+    """The blocks that hold a document of that id; others are skipped by their bounds."""
+    blocks = spark.read.schema(BLOCK_SCHEMA).parquet(path)
+    inside = (F.col("low") <= doc_id) & (F.col("high") >= doc_id)
+    return blocks.where(inside & F.array_contains("doc_ids", doc_id))
+
+
 def document_ids(spark: SparkSession, path: str, doc_id: int) -> list[np.ndarray]:
     """Random access: the ids of each document of that id, unpacking only their groups."""
-    blocks = spark.read.schema(BLOCK_SCHEMA).parquet(path)
     found = []
-    for row in blocks.where(F.array_contains("doc_ids", doc_id)).orderBy("part", "block").collect():
+    for row in blocks_of(spark, path, doc_id).orderBy("part", "block").collect():
         start = np.concatenate([[0], np.cumsum(row.lengths)])
         for k, one in enumerate(row.doc_ids):
             if one == doc_id:
