@@ -107,12 +107,13 @@ def build_index(names: list[int | None], texts: list[str | None]) -> Index:
         low[(flat & np.uint64(0xFFFF)).astype(np.int64)] = True
         tokens[size] = (flat[order], item[order], low)
     masks = _masks(BLOCK_BITS, RADIUS // BLOCKS)
+    number = np.int16 if len(rows) < 1 << 15 else np.int32
     first, near = [np.zeros(1, np.int64)], []
     for block in range(BLOCKS):
         value = (prints >> np.uint64(block * BLOCK_BITS)).astype(np.int64) & 0xFFFF
         close = (value[:, None] ^ masks).reshape(-1)
         order = np.argsort(close, kind="stable")
-        near.append(np.repeat(np.arange(len(rows), dtype=np.int16), len(masks))[order])
+        near.append(np.repeat(np.arange(len(rows), dtype=number), len(masks))[order])
         ends = np.searchsorted(close[order], np.arange(1 << BLOCK_BITS), "right")
         first.append(ends + first[-1][-1])
     return Index(
