@@ -114,14 +114,17 @@ def test_files_hold_all_ids_in_order(spark, odd):
     for doc in (1, 6, 10):
         own = [i for d, i in want if d == doc]
         assert [x.tolist() for x in binary.document_ids(spark, path, doc)] == own
-    plan = binary.blocks_of(spark, path, 6)._jdf.queryExecution().toString()
+    execution = binary.blocks_of(spark, path, 6)._jdf.queryExecution()
+    plan = spark._jvm.PythonSQLUtils.explainString(execution, "formatted")
     assert "LessThanOrEqual(low,6)" in plan and "GreaterThanOrEqual(high,6)" in plan
 
 
-def test_random_access_reads_few_blocks(spark):
+def test_random_access_reads_few_blocks(spark, monkeypatch):
     """By the bounds alone, a document is in one block of many."""
     docs = spark.createDataFrame([(i, f"word{i} and more") for i in range(400)], "doc_id bigint, text string")
     path = new_path(spark, "test-binary")
+    monkeypatch.setattr(binary, "BLOCK_IDS", 50)  # these two go to the tasks by value
+    monkeypatch.setattr(binary, "TEXT_BYTES", 100)
     binary.write_tokens(docs, path, "word_bpe_49k.json", False, 1)
     blocks = spark.read.parquet(path)
     inside = blocks.where("low <= 123 AND high >= 123")
