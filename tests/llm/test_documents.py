@@ -236,10 +236,28 @@ def test_cascade_verdict_is_independent_of_order(folder):
         whole &= ~rule.rejects(quality.Context(texts))
     for seed in range(5):
         some = random.Random(seed).sample(quality.RULES, len(quality.RULES))
-        assert (quality.cascade(tuple(some), texts) == whole).all()
+        assert (quality.cascade(tuple(some), quality.Context(texts)) == whole).all()
     assert sorted(quality.ordered(quality.RULES, texts)) == sorted(quality.RULES)
 
 
+def test_what_is_handed_on_equals_what_is_worked_out_anew(folder):
+    texts = words.texts_of(pa.array([t for _, t in table(folder, "documents", "doc_id, text")] * 2))
+    names = ("n_words", "n_repeat_words", "n_lines", "n_dup_lines", "n_stutters", "n_upper")
+    for known in ((), ("words",), ("n_lines",), names):
+        context = quality.Context(texts)
+        for name in known:
+            getattr(context, name)
+        for seed in range(3):
+            chosen = np.random.default_rng(seed).random(len(context)) < 0.6
+            context = context.rows(chosen)
+            fresh = quality.Context(context.texts)
+            for name in names:
+                assert (getattr(context.fork(), name) == getattr(fresh, name)).all()
+            found, anew = context.fork().words, fresh.words
+            assert all((a == b).all() for a, b in zip(found, anew, strict=True))
+    assert len(context.rows(np.zeros(len(context), dtype=bool))) == 0
+
+
 def test_quality_agrees_with_labels(spark, folder):
     labels = {d: q for d, q in table("/root/testdata/sf0.01", "labels", "doc_id, quality")}
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")

@@ -1,12 +1,12 @@
 """Quality rules in a short-circuit cascade.
 
-A rule looks at some texts and says which it rejects. On a sample, each rule's cost (seconds a
-text) and rejection rate are measured; rules run in the order of rejections per cost, and each
-sees only the texts that the rules before it have left. A text is kept if no rule rejects it, so
-the order, and with it the sample and the clock, moves work but never a verdict.
+A rule looks at some texts and says which it rejects. On a sample, the next rule is each time the
+one with most rejections per second, given what the rules before it have left and worked out; in
+that order they run, and each sees only the texts that are left. A text is kept if no rule rejects
+it, so the order, and with it the sample and the clock, moves work but never a verdict.
 
 Words are ``[^\\x20\\x09-\\x0D]+``. Work that rules share (words, letters, lines) is done once a
-batch of texts, when the first rule asks for it.
+batch of texts, when the first rule asks for it, and handed on with the texts that are left.
 """
 
 from __future__ import annotations
@@ -48,14 +48,22 @@ class Context:
     def __init__(self, texts: words.Texts):
         self.texts = texts
 
+    def __len__(self) -> int:
+        return len(self.texts)
+
+    def has_words(self) -> bool:
+        """Whether the words of these texts, or of more, are known."""
+        return "words" in self.__dict__
+
+    def fork(self) -> Context:
+        """The same texts and results; what is worked out on it does not come back."""
+        out = Context.__new__(type(self))
+        out.__dict__.update(self.__dict__)
+        return out
+
     def rows(self, chosen: np.ndarray) -> Context:
-        """Only those texts."""
-        if chosen.all():
-            return self
-        at, size = self.texts.offsets[:-1][chosen], np.diff(self.texts.offsets)[chosen]
-        first = np.cumsum(np.append(0, size))
-        place = np.repeat(at - first[:-1], size) + np.arange(first[-1])
-        return Context(words.Texts(self.texts.data[place], first))
+        """Only those texts, with what is known of them."""
+        return self if chosen.all() else _Rest(self, chosen)
 
     def _per_text(self, table: np.ndarray) -> np.ndarray:
         """Sum of a table's values over the bytes of each text."""
@@ -144,6 +152,53 @@ class Context:
         return inside[first[1:]] - inside[first[:-1]]
 
 
+class _Rest(Context):
+    """The texts of a context that are left; bytes and words are copied when a rule asks for them."""
+
+    def __init__(self, whole: Context, chosen: np.ndarray):
+        for name, known in whole.__dict__.items():
+            if name == "_lines":
+                self.__dict__[name] = tuple(x[chosen] for x in known)
+            elif name != "chosen" and isinstance(known, np.ndarray):
+                self.__dict__[name] = known[chosen]
+        if isinstance(whole, _Rest) and not {"texts", "words"} & set(whole.__dict__):
+            among = whole.chosen.copy()  # nothing was copied there, so copy from where it came from
+            among[among] = chosen
+            whole, chosen = whole.whole, among
+        self.whole, self.chosen = whole, chosen
+
+    def __len__(self) -> int:
+        return int(self.chosen.sum())
+
+    def has_words(self) -> bool:
+        return super().has_words() or self.whole.has_words()
+
+    @cached_property
+    def texts(self) -> words.Texts:
+        size = np.diff(self.whole.texts.offsets)
+        return words.Texts(
+            self.whole.texts.data[np.repeat(self.chosen, size)],
+            np.append(0, np.cumsum(size[self.chosen])),
+        )
+
+    @cached_property
+    def words(self) -> words.Words:
+        if not self.whole.has_words():
+            return words.words_of(self.texts, lower=False)
+        known = self.whole.words
+        size = np.diff(known.first)
+        left = np.repeat(self.chosen, size)
+        size = size[self.chosen]
+        moved = self.texts.offsets[:-1] - self.whole.texts.offsets[:-1][self.chosen]
+        moved = np.repeat(moved, size)
+        return words.Words(
+            known.starts[left] + moved,
+            known.ends[left] + moved,
+            known.hashes[left],
+            np.append(0, np.cumsum(size)),
+        )
+
+
 class Rule(NamedTuple):
     """``rejects`` returns a boolean for each text of a context."""
 
@@ -201,34 +256,44 @@ RULES = (
 
 
 def ordered(rules: tuple[Rule, ...], texts: words.Texts) -> tuple[Rule, ...]:
-    """Rules by rejections per second on these texts, the best first; each is timed alone."""
-    worth = {}
-    for rule in rules:
-        start = time.perf_counter()
-        rejected = int(rule.rejects(Context(texts)).sum())
-        worth[rule.name] = rejected / max(time.perf_counter() - start, 1e-9)
-    return tuple(sorted(rules, key=lambda r: (-worth[r.name], r.name)))
+    """Rules by rejections per second on these texts, the best first.
 
-
-def cascade(rules: tuple[Rule, ...], texts: words.Texts) -> np.ndarray:
+    Each place goes to the rule that is best on the texts left there; work that an earlier rule has
+    done already costs it nothing.
+    """
+    chain, left, context = [], list(rules), Context(texts)
+    while left:
+        worth = {}
+        for rule in left:
+            start = time.perf_counter()
+            rejected = int(rule.rejects(context.fork()).sum())
+            worth[rule.name] = rejected / max(time.perf_counter() - start, 1e-9)
+        best = min(left, key=lambda r: (-worth[r.name], r.name))
+        left.remove(best)
+        chain.append(best)
+        context = context.rows(~best.rejects(context))
+    return tuple(chain)
+
+
+def cascade(rules: tuple[Rule, ...], context: Context) -> np.ndarray:
     """Which texts no rule rejects; each rule sees only what those before it have left."""
-    left = np.arange(len(texts))
-    context = Context(texts)
+    kept = np.zeros(len(context), dtype=bool)
+    left = np.arange(len(context))
     for rule in rules:
         if not len(left):
             break
         fine = ~rule.rejects(context)
         left = left[fine]
         context = context.rows(fine)
-    kept = np.zeros(len(texts), dtype=bool)
     kept[left] = True
     return kept
 
 
 def plan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, rows: int = SAMPLE_ROWS) -> tuple:
-    """The rules, ordered by what they do on a sample of at most ``rows`` rows.
+    """The rules, ordered by what they do on a sample of about ``rows`` rows, twice that at most.
 
-    The measuring runs in one task; only the rules' names come back to the driver.
+    Rows are taken by a hash of id and text, so only the sample is moved. The measuring runs in one
+    task; only the rules' names come back to the driver.
     """
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,8 +301,10 @@ def plan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, rows: int = SAMPLE_RO
         found = ordered(rules, words.texts_of(pa.array(texts, pa.string())))
         yield pa.RecordBatch.from_pydict({"name": [r.name for r in found]})
 
-    sample = docs.select("text").limit(rows).mapInArrow(measure, "name string")
-    names = [r.name for r in sample.collect()]
+    share = min(rows / max(docs.count(), 1), 1.0)
+    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40))
+    sample = docs.where(place < int(share * (1 << 40))).select("text").limit(2 * rows)
+    names = [r.name for r in sample.mapInArrow(measure, "name string").collect()]
     return tuple(sorted(rules, key=lambda r: names.index(r.name))) if names else rules
 
 
@@ -251,6 +318,8 @@ def verdicts(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Measures and verdict of each row of ``docs`` (doc_id, text); other columns are ignored.
 
     A null text has no words, and so is rejected as too short. Null and repeated ids are carried.
+    The measures belong to the result, so they cover all texts; the rules take them from there and
+    work out the rest only for the texts left. ``rules`` must hold those of ``BASE``.
     """
     chain = plan(docs, rules)
 
@@ -258,13 +327,14 @@ def verdicts(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         for batch in batches:
             for row, texts in words.slices(words.texts_of(batch.column("text")), TEXT_BYTES):
                 whole = Context(texts)
+                measured = [pa.array(getattr(whole, m), pa.int64()) for m in MEASURES]
                 failed = too_short(whole) | repetitive(whole)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(row, len(texts)),
-                        *(pa.array(getattr(whole, m), pa.int64()) for m in MEASURES),
+                        *measured,
                         pa.array(failed),
-                        pa.array(cascade(chain, texts) & ~failed),
+                        pa.array(cascade(chain, whole)),
                     ],
                     names=["doc_id", *MEASURES, "base_failed", "kept"],
                 )
@@ -279,8 +349,54 @@ def accepted(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column(batch.schema.names.index("text"))
-            kept = [cascade(chain, t) for _, t in words.slices(words.texts_of(column), TEXT_BYTES)]
+            kept = [cascade(chain, Context(t)) for _, t in words.slices(words.texts_of(column), TEXT_BYTES)]
             yield batch.filter(pa.array(np.concatenate([np.empty(0, bool), *kept])))
 
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in docs.schema])
     return docs.mapInArrow(run, schema)
+
+
+#: The measures and all rules, for DuckDB; ids must not be repeated.
+ORACLE_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS found,
+         list_filter(string_split(coalesce(text, ''), chr(10)),
+                     lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents),
+words AS (
+  SELECT doc_id, len(found) AS n, unnest(found) AS word, generate_subscripts(found, 1) AS place
+  FROM texts),
+windows AS (
+  SELECT doc_id, n, word, place, lag(word) OVER own = word AS same,
+         string_agg(word, ' ') OVER (own ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING) AS span
+  FROM words WINDOW own AS (PARTITION BY doc_id ORDER BY place)),
+counted AS (
+  SELECT *, place + 7 <= n
+            AND count(*) FILTER (place + 7 <= n) OVER (PARTITION BY doc_id, span) > 1 AS again
+  FROM windows),
+covered AS (
+  SELECT *, bool_or(again) OVER (
+              PARTITION BY doc_id ORDER BY place ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS inside
+  FROM counted),
+sums AS (
+  SELECT doc_id, sum(length(word)) AS word_chars, count(*) FILTER (inside) AS n_repeat_words,
+         count(*) FILTER (same) AS n_stutters
+  FROM covered GROUP BY doc_id),
+measured AS (
+  SELECT doc_id, len(found) AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars,
+         length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+         coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_stutters, 0) AS n_stutters,
+         length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper,
+         length(regexp_replace(text, '[^a-z]', '', 'g')) AS n_lower,
+         length(regexp_replace(text, '[^0-9]', '', 'g')) AS n_digits
+  FROM texts LEFT JOIN sums USING (doc_id)),
+judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM measured)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR 10 * n_symbols > 3 * n_words
+            OR (n_lines >= 10 AND 2 * n_dup_lines > n_lines) OR 2 * n_stutters > n_words
+            OR word_chars < 2 * n_words OR word_chars > 20 * n_words
+            OR n_upper > n_lower OR 2 * n_digits > word_chars) AS kept
+FROM judged
+"""

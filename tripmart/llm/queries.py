@@ -139,6 +139,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 #: Twins in DuckDB SQL. The other operators need token ids, models or similarity search, which SQL
 #: does not express; tests hold them against brute force.
 ORACLE: dict[str, str] = {
+    "op4_quality_rules": quality.ORACLE_SQL,
     "op5_line_dedup": line_dedup.ORACLE_SQL,
     "op10_license_scan": licenses.oracle_sql(),
     "op12_feistel_sharding": sharding.oracle_sql(),
