@@ -73,7 +73,12 @@ def linked(documents):
 
 @pytest.mark.parametrize(
     "options",
-    [{}, {"frequent_from": 3, "pairs_up_to": 60, "block_nodes": 3}, {"frequent_from": 2, "pairs_up_to": 9}],
+    [
+        {},
+        {"frequent_from": 3, "pairs_up_to": 60, "block_nodes": 3},
+        {"frequent_from": 2, "pairs_up_to": 9},
+        {"frequent_from": 10**9, "group_nodes": 2},
+    ],
 )
 def test_components_of_near_copies(spark, folder, options):
     random.seed(11)
@@ -92,6 +97,18 @@ def test_components_of_near_copies(spark, folder, options):
     assert rows(jaccard.similar_documents(df, **options)) == want
 
 
+def test_no_rare_token_pairs_up_a_large_group(spark):
+    """Token 1 is in 300 sets, once each; token 2 in 500 copies of two sets; token 3 in three sets."""
+    entries = [(1, n, 50, 40) for n in range(300)]
+    entries += [(2, n % 2, 50, 40) for n in range(500)] + [(3, n, 50, 40) for n in range(3)]
+    rare = spark.createDataFrame(entries, jaccard.RARE_SCHEMA).repartition(40)
+    paired, starred = jaccard._split_rare(rare, 64)
+    assert rows(paired) == sorted(
+        [(2, 0, 50, 40), (2, 1, 50, 40)] + [(3, n, 50, 40) for n in range(3)], key=repr
+    )
+    assert rows(starred) == sorted([(1, n) for n in range(300)], key=repr)
+
+
 def test_components_of_odd_rows(spark, odd, none):
     got = rows(jaccard.similar_documents(odd))
     want = linked([(d, t) for d, t in ODD])
