@@ -529,3 +529,16 @@ def test_gradients():
 
 def test_language_model_of_nothing(spark, none):
     assert gated_lm.score_documents(none).collect() == []
+
+
+def test_indexes_are_bounded_by_rows_and_text(spark):
+    """Long items share no index; one beyond the bound has its own, and all are found."""
+    random.seed(5)
+    texts = [" ".join(f"w{random.randrange(10**6)}" for _ in range(n)) for n in (30, 40, 300, 30, 35)]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id bigint, text string")
+    for most, chars, least in ((1000, 1 << 24, 1), (2, 1 << 24, 3), (1000, 600, 3)):
+        sent = [x.value for x in decontaminate._indexes(items, most, chars)]
+        assert len(sent) >= least
+        assert sorted(int(n) for x in sent for n in x.names) == list(range(5))
+        assert all(len(x.names) <= most for x in sent)
+    assert decontaminate._indexes(items.limit(0), 10) == []

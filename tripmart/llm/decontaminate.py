@@ -12,8 +12,8 @@ weighted Jaccard similarity of the shingle counts is computed exactly and must r
 ``SIMILARITY``. At a similarity of 0.8, a bit differs with a probability of 0.15, so the radius of
 19 loses one window in some thousands at the very threshold and practically none above it.
 
-The item table is sent to the tasks in blocks of at most ``ITEMS`` rows, one pass over the
-documents for each. Documents are neither shuffled nor collected.
+The item table is sent to the tasks in blocks of at most ``ITEMS`` rows and ``ITEM_CHARS``
+characters, one pass over the documents for each. Documents are neither shuffled nor collected.
 """
 
 from __future__ import annotations
@@ -36,6 +36,8 @@ RADIUS = 19
 BLOCKS, BLOCK_BITS = 4, 16
 #: Items of one index.
 ITEMS = 1000
+#: Characters of their texts beyond which no further item goes into an index.
+ITEM_CHARS = 16 << 20
 #: Windows fingerprinted at once.
 WINDOWS = 1 << 15
 
@@ -215,20 +217,35 @@ def find_leaks(index: Index, column: pa.Array) -> list[Leak]:
     return [best[k] for k in sorted(best)]
 
 
-def _indexes(benchmark: DataFrame, most: int) -> list:
-    """Broadcast indexes of the distinct items, at most ``most`` each."""
+def _indexes(benchmark: DataFrame, most: int, chars: int = ITEM_CHARS) -> list:
+    """Broadcast indexes of the distinct items: at most ``most`` each, and ``chars`` of text.
+
+    Items come to the driver by hash, about one index at a time; an item longer than ``chars`` has an
+    index of its own.
+    """
     context = benchmark.sparkSession.sparkContext
     items = benchmark.select(F.col("item_id").cast("bigint"), "text").distinct()
-    blocks = -(-items.count() // most) * 2 - 1  # room for uneven hashes
+    size = F.coalesce(F.sum(F.length("text")), F.lit(0))
+    count, total = items.agg(F.count(F.lit(1)), size).first()
+    blocks = max(-(-count // most), -(-total // chars)) * 2 - 1  # room for uneven hashes
     out = []
+
+    def send(rows: list) -> None:
+        index = build_index([r.item_id for r in rows], [r.text for r in rows])
+        if len(index.length):
+            out.append(context.broadcast(index))
+
     for k in range(blocks):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
-        rows = own.orderBy("item_id", "text").collect()
-        for start in range(0, len(rows), most):
-            some = rows[start : start + most]
-            index = build_index([r.item_id for r in some], [r.text for r in some])
-            if len(index.length):
-                out.append(context.broadcast(index))
+        some, held = [], 0
+        for row in own.orderBy("item_id", "text").collect():
+            more = len(row.text or "")
+            if some and (len(some) == most or held + more > chars):
+                send(some)
+                some, held = [], 0
+            some.append(row)
+            held += more
+        send(some)
     return out
 
 
