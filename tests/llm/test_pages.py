@@ -187,22 +187,31 @@ def test_rules_and_model(spark):
         rule = ruled(r.host, r.path)
         assert r.rule == (rule.host + rule.path if rule else None)
         assert r.verdict == (rule.verdict if rule else "block" if r.score >= 0.9 else "allow")
-    free = {r.host: r.verdict for r in got if r.rule is None}
     bad = re.compile("adult|spam|pills|casino|bets|ads-")
-    assert {h for h, v in free.items() if v == "block"} == {h for h in free if bad.search(h)}
+    free = {r.host for r in got if r.rule is None and r.verdict == "block"}
+    assert all(bad.search(h) for h in free)  # invented names stay
     assert url_filter.judge(df.limit(0), queries.URL_RULES, model).collect() == []
 
 
+def test_labels_hold_no_word_of_the_given_hosts(spark):
+    words = {r.word for r in url_filter.labelled(spark).select("word").collect()}
+    hosts = {host_and_path(u)[0] for _, u, _ in pages("/root/testdata/sf0.01")}
+    assert not [(w, h) for w in words for h in hosts if w in h]
+
+
 def test_model_on_words_it_has_not_seen(spark):
-    """Left-out urls: each fold is judged by a model of the others."""
+    """Each fold of words is judged by a model of the others: few wrong, a part found."""
     table = url_filter.labelled(spark).collect()
-    hits = 0
-    for fold in range(2):
-        known = [r for i, r in enumerate(table) if i % 2 != fold]
+    by_label = [sorted({r.word for r in table if r.label == label}) for label in (0, 1)]
+    fold_of = {w: i % 4 for found in by_label for i, w in enumerate(found)}
+    found = wrong = 0
+    for fold in range(4):
+        known = [(r.url, r.label) for r in table if fold_of[r.word] != fold]
         model = url_filter.train(spark.createDataFrame(known, "url string, label int"))
-        rest = spark.createDataFrame(
-            [(r.label, r.url) for i, r in enumerate(table) if i % 2 == fold], "page_id int, url string"
-        )
-        for r in url_filter.judge(rest, (), model).collect():
-            hits += (r.score >= 0.5) == bool(r.page_id)
-    assert hits >= 0.9 * len(table)
+        rest = [(r.label, r.url) for r in table if fold_of[r.word] == fold]
+        rest = spark.createDataFrame(rest, "page_id int, url string")
+        blocked = url_filter.judge(rest, (), model).where("verdict = 'block'").collect()
+        found += sum(r.page_id for r in blocked)
+        wrong += sum(1 - r.page_id for r in blocked)
+    assert wrong <= 0.05 * (found + wrong)
+    assert found >= 0.3 * sum(r.label for r in table)
