@@ -842,12 +842,13 @@ QUALIFY rank() OVER (PARTITION BY load_service_type ORDER BY load_year DESC, loa
 second_model AS (SELECT id FROM first_model WHERE id = 1),
 both_models AS (SELECT 'first_model' AS "table", id FROM first_model
   UNION ALL SELECT 'second_model', id FROM second_model),
+names AS (FROM (VALUES ('first_model'), ('second_model')) v("table")),
 per_id AS (SELECT "table", id, count(*) AS n FROM both_models GROUP BY ALL),
 counted AS (
-  SELECT 'not_null' AS "check", "table", count(*) FILTER (id IS NULL) AS n_failing
-  FROM both_models GROUP BY ALL
+  SELECT 'not_null' AS "check", "table", count(*) FILTER (n IS NOT NULL AND id IS NULL) AS n_failing
+  FROM names LEFT JOIN (SELECT *, 1 AS n FROM both_models) USING ("table") GROUP BY ALL
   UNION ALL SELECT 'unique', "table", count(*) FILTER (id IS NOT NULL AND n > 1)
-  FROM per_id GROUP BY ALL)
+  FROM names LEFT JOIN per_id USING ("table") GROUP BY ALL)
 SELECT "check", "table", 'id' AS "column", n_failing,
   CASE WHEN n_failing = 0 THEN 'pass' ELSE 'fail' END AS status
 FROM counted""",
