@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from tripmart.operators.conform import align_to_schema, keep_known_columns
+from tripmart.session import open_files
 
 # Fixed value: rows per written chunk.
 CHUNK_ROWS = 100_000
@@ -40,9 +41,10 @@ def replace_table(df: DataFrame, table: str) -> None:
 def write_chunked(
     df: DataFrame, path: str, rows: int = CHUNK_ROWS, partition_by: Sequence[str] = ()
 ) -> None:
-    """Replace a dataset by files of at most ``rows`` rows, written in parallel."""
+    """Replace a dataset by files of at most ``rows`` rows, written in parallel without a sort."""
     writer = df.write.mode("overwrite").option("maxRecordsPerFile", rows)
-    writer.partitionBy(*partition_by).parquet(path)
+    with open_files(df.sparkSession):
+        writer.partitionBy(*partition_by).parquet(path)
 
 
 def export_csv(df: DataFrame, path: str) -> None:
