@@ -80,3 +80,16 @@ def test_chunked_partitions_are_written_unsorted(spark, writes):
     assert writes == [(path, session.OPEN_FILES)]
     sizes = spark.read.parquet(path).groupBy("part", F.input_file_name()).count().collect()
     assert max(r["count"] for r in sizes) <= 60 and sum(r["count"] for r in sizes) == 1000
+
+
+def test_months_are_loaded_unsorted(spark, writes):
+    source, target = new_path(spark, "source"), new_path(spark, "bronze")
+    months = [Month("yellow", 2020, m) for m in (1, 2, 3)]
+    for month in months:
+        data = spark.range(month.month).select(F.col("id").cast("int").alias("VendorID"))
+        data.write.parquet(ingest.month_path(source, month))
+    writes.clear()
+    outcomes = ingest.backfill_months(spark, source, months, target)
+    assert [o.rows for o in outcomes] == [1, 2, 3]
+    assert [n for path, n in writes if path == target] == [24]
+    assert ingest.read_raw(spark, target).count() == 6

@@ -20,7 +20,7 @@ from tripmart.operators.conform import (
     normalise_columns,
     united_schema,
 )
-from tripmart.session import path_exists, remove_path
+from tripmart.session import open_files, path_exists, remove_path
 
 # Fixed value: name of a month's file below the source folder.
 MONTH_FILE = "{service}_tripdata_{year}-{month:02d}.parquet"
@@ -235,7 +235,7 @@ def backfill_months(
 
     Months of one service whose files have the same schema share a job, up to ``per_job`` of
     them. If a job fails, each half of its months is loaded again, down to the broken file, which
-    spoils only its own month. Rows go from the file to their partition without a shuffle.
+    spoils only its own month. Rows go from the file to their partition without a shuffle or a sort.
     """
     months = sorted(set(months))
     present = set(months_present(spark, source))
@@ -269,7 +269,7 @@ def backfill_months(
             half = len(members) // 2
             return load_job((kind, members[:half])) + load_job((kind, members[half:]))
 
-    with ThreadPoolExecutor(at_once) as pool:
+    with open_files(spark, per_job), ThreadPoolExecutor(at_once) as pool:
         outcomes = [Outcome(m, False, "ERROR", "no file") for m in months if m not in present]
         groups: dict[tuple[str, str], tuple[T.StructType, list[Month]]] = {}
         for month, kind in pool.map(shape, [m for m in months if m in present]):
