@@ -93,3 +93,13 @@ def test_months_are_loaded_unsorted(spark, writes):
     assert [o.rows for o in outcomes] == [1, 2, 3]
     assert [n for path, n in writes if path == target] == [24]
     assert ingest.read_raw(spark, target).count() == 6
+
+
+def test_failing_rows_are_stored_unsorted(spark, writes):
+    path = new_path(spark, "failures")
+    rules = [row_checks.not_null("part"), row_checks.in_range("id", F.col("id") < 10)]
+    got = row_checks.check_rows(spread(spark), "t", rules, path).collect()
+    assert [r.n_failing for r in got] == [200, 10]
+    assert writes == [(path, session.OPEN_FILES)]
+    stored = row_checks.stored_failures(spread(spark), path).groupBy(row_checks.CHECK).count()
+    assert sorted(r["count"] for r in stored.collect()) == [10, 200]

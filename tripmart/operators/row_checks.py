@@ -13,7 +13,7 @@ from typing import Any, NamedTuple
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tripmart.session import Kept, small_side
+from tripmart.session import Kept, open_files, small_side
 
 CHECK = "check_name"
 _MASK = "__broken"
@@ -84,16 +84,15 @@ def check_rows(df: DataFrame, table: str, rules: Sequence[Rule], folder: str) ->
     names = F.array_compact(
         F.array(*[F.when(h, F.lit(rule.name)) for h, rule in zip(hit, rules, strict=True)])
     )
-    (
+    failing = (
         marked(df, rules)
         .observe(seen, *[F.count_if(h).alias(rule.name) for h, rule in zip(hit, rules, strict=True)])
         .where(F.col(_MASK) != 0)
         .withColumn(CHECK, F.explode(names))
         .select(*df.columns, CHECK)
-        .write.mode("overwrite")
-        .partitionBy(CHECK)
-        .parquet(folder)
     )
+    with open_files(df.sparkSession):
+        failing.write.mode("overwrite").partitionBy(CHECK).parquet(folder)
     counts = seen.get
     rows = [
         (r.check, table, r.column, counts[r.name], "fail" if counts[r.name] else "pass")
