@@ -24,7 +24,7 @@ from tripmart.operators.selection import exact_percentiles
 from tripmart.operators.top_n import top_n_per_group
 from tripmart.plans import gold, increments, marts, silver, states
 from tripmart.plans.suite import declared_checks, fact_rules, range_violation, staged_rules
-from tripmart.session import Kept, file_states, keep, new_path
+from tripmart.session import Kept, file_states, keep, new_path, open_files
 from tripmart.sources import ingest, sinks
 from tripmart.sources.tables import (
     TIME_PREFIX,
@@ -165,9 +165,17 @@ def dedupe_trips(spark: SparkSession, folder: str) -> DataFrame:
     return plain(silver.dedupe_trips(trips.unionByName(copies)))
 
 
+def by_year(trips: DataFrame) -> DataFrame:
+    """Staged trips as a written table of one folder a load year, so that a year reads its own files."""
+    spark, path = trips.sparkSession, new_path(trips.sparkSession, "yearly-trips")
+    with open_files(spark):
+        trips.write.partitionBy("load_year").parquet(path)
+    return spark.read.schema(trips.schema).parquet(path).select(*trips.columns)
+
+
 def dedupe_across_loads(spark: SparkSession, folder: str) -> DataFrame:
     """Each year's load brings the trips of the year before once more, dearer by one."""
-    trips = _trips(spark, folder, silver.VENDOR)
+    trips = by_year(_trips(spark, folder, silver.VENDOR))
     years = sorted(r[0] for r in trips.select("load_year").distinct().collect())
     history = silver.trip_history(spark)
     kept = None

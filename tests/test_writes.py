@@ -103,3 +103,14 @@ def test_failing_rows_are_stored_unsorted(spark, writes):
     assert writes == [(path, session.OPEN_FILES)]
     stored = row_checks.stored_failures(spread(spark), path).groupBy(row_checks.CHECK).count()
     assert sorted(r["count"] for r in stored.collect()) == [10, 200]
+
+
+def test_a_year_reads_its_own_files(spark):
+    trips = q._trips(spark, FOLDER, "vendor_id")
+    yearly = q.by_year(trips)
+    assert yearly.schema.names == trips.schema.names
+    assert yearly.exceptAll(trips).isEmpty() and trips.exceptAll(yearly).isEmpty()
+    files = yearly.where("load_year = 2018").select(F.input_file_name()).distinct().collect()
+    assert files and all("load_year=2018" in r[0] for r in files)
+    plan = yearly.where("load_year = 2018")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(load_year" in plan
