@@ -114,3 +114,13 @@ def test_a_year_reads_its_own_files(spark):
     assert files and all("load_year=2018" in r[0] for r in files)
     plan = yearly.where("load_year = 2018")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(load_year" in plan
+
+
+def test_a_refresh_writes_the_numbered_trips_once(spark, writes):
+    grown = q._changing_months(spark, FOLDER)
+    writes.clear()
+    increments.refresh_gold(spark, grown.raw, q.bronze_zones(spark, FOLDER), grown.gold)
+    names = [path.rsplit("/", 1)[1].rsplit("-", 1)[0] for path, _ in writes]
+    assert names.count("place") == 1 and "numbered" not in names
+    schemas = [spark.read.parquet(path).columns for path, _ in writes if "/tripmart/month-counts" in path]
+    assert schemas == [[*increments.MONTH, "n"]]

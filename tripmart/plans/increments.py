@@ -264,8 +264,10 @@ def refresh_gold(
         star = _star(spark, folder, trips, zones, build, source)
         implied = {*MONTH, "load_service_type", "pickup_date", "dropoff_date", silver.DURATION}
         order = [c for c in trips.columns if c not in {*implied, *silver.MINUTES}]
-        numbered = keep(assign_row_id(trips, "place", order, within=MONTH), "numbered").df
-        counts = numbered.groupBy(*MONTH).agg(F.max("place").alias("n"))
+        # The numbering is written once, by its own step; here it is only read again.
+        numbered = assign_row_id(trips, "place", order, within=MONTH)
+        places = numbered.groupBy(*MONTH).agg(F.max("place").alias("n"))
+        counts = keep(places, "month-counts").df
     next_ledger = keep(
         _next_ledger(
             ledger,
