@@ -527,6 +527,72 @@ def test_gradients():
         assert abs(abs(loss(up) - loss(down)) / 0.04 - grad[at]) < 0.05 * grad[at] + 0.01
 
 
+@pytest.mark.parametrize("spread", [0.3, 60])  # the larger weights leave the range of exponentials
+def test_outputs_against_plain_softmax(spread):
+    """Log-probabilities and gradients, over more rows than a block holds."""
+    rng = np.random.default_rng(3)
+    net = gated_lm.Network(rng.normal(0, spread, gated_lm.Network.SIZE).astype(np.float32))
+    grads = gated_lm.Network(np.zeros_like(net.flat))
+    count, per = 2 * gated_lm.CACHED + 77, gated_lm.PER_CLASS
+    h = rng.uniform(-1, 1, (count, gated_lm.HIDDEN)).astype(np.float32)
+    target = np.minimum(rng.geometric(0.002, count), gated_lm.SYMBOLS) - 1
+    got, by_state = net.outputs(h, target, grads)
+    states = np.column_stack([h, np.ones(count)]).astype(np.float64)
+    want, by, rows = np.zeros(count), 0, np.arange(count)
+    for weights, goal in ((net.wc[None], target // per), (net.ww[target // per], target % per)):
+        scores = np.einsum("ki,kij->kj", states, np.broadcast_to(weights, (count, *weights.shape[1:])))
+        scores -= scores.max(axis=1, keepdims=True)
+        logs = scores - np.log(np.exp(scores).sum(axis=1, keepdims=True))
+        want += logs[rows, goal]
+        p = np.exp(logs)
+        p[rows, goal] -= 1
+        by = by + np.einsum("kj,kij->ki", p, np.broadcast_to(weights, (count, *weights.shape[1:])))
+        if len(weights) == 1:
+            assert np.allclose(grads.wc, states.T @ p, atol=0.01)
+    assert np.allclose(got, want, rtol=1e-4, atol=1e-3)
+    assert np.allclose(by_state, by[:, :-1], rtol=1e-3, atol=1e-3 * spread)
+    assert np.allclose(net.outputs(h, target)[0], got)
+
+
+def test_scoring_takes_few_steps(monkeypatch):
+    """Where nothing is learnt, more lanes than in training share each step's fixed cost."""
+    steps, move = [], gated_lm.Network.move
+    monkeypatch.setattr(gated_lm.Network, "move", lambda *a: (steps.append(1), move(*a))[1])
+    net = gated_lm.Network.fresh(np.full(gated_lm.SYMBOLS, 1 / gated_lm.SYMBOLS))
+    first = np.arange(0, 1024 * 32 + 1, 32)
+    symbols = np.random.default_rng(4).integers(0, gated_lm.SYMBOLS, first[-1])
+    gated_lm.score_tokens(net, symbols, first, 3)
+    assert len(steps) <= 64  # 256 lanes took 128
+
+
+def test_known_words_are_found(monkeypatch):
+    """Also several in a slot; others, and all where none is known, have their bucket's symbol."""
+    rng = np.random.default_rng(5)
+    hashes = np.unique(rng.integers(0, 2**44, 300, dtype=np.uint64) | np.uint64(5 << 50))
+    buckets = rng.integers(-1, gated_lm.BUCKETS, 600).astype(np.int8)
+    asked = np.concatenate([hashes[::2], rng.integers(0, 2**63, 450, dtype=np.uint64)])[:600]
+    found = gated_lm.Tokens(asked, buckets[: len(asked)], np.array([0, len(asked)]))
+    for some in (hashes, hashes[:0]):
+        symbols = np.where(np.arange(len(some)) % 3 == 0, -1, np.arange(len(some)))
+        known = gated_lm.Vocabulary(
+            some, gated_lm.slots_of(some), np.arange(len(some)) + 7, symbols,
+            np.arange(gated_lm.BUCKETS) + 1000, None, None, 0, 0,
+        )
+        symbol, count = gated_lm.look_up(known, found)
+        place = {h: k for k, h in enumerate(some.tolist())}
+        at = [place.get(h, -1) for h in asked.tolist()]
+        assert count.tolist() == [k + 7 if k >= 0 else -1 for k in at]
+        own = [max(b, 0) + 1000 for b in found.buckets.tolist()]
+        assert symbol.tolist() == [
+            k if k >= 0 and symbols[k] >= 0 else b for k, b in zip(at, own, strict=True)
+        ]
+
+
+def test_bytes_are_told_apart_by_arithmetic_as_by_tables():
+    every = np.arange(256, dtype=np.uint8)
+    assert (words.white(every) == words.WHITE).all() and (words.lowered(every) == words.LOWER).all()
+
+
 def test_language_model_of_nothing(spark, none):
     assert gated_lm.score_documents(none).collect() == []
 

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import pairwise
 from typing import NamedTuple
 
 import numpy as np
@@ -39,11 +40,16 @@ KNOWN = 1 << 19
 HIDDEN = 24
 #: Steps of a window, after which gradients are cut, and lanes side by side.
 STEPS, LANES = 32, 256
+#: The same where nothing is learnt and only speed depends on them: as many tokens in a window.
+SCORE_STEPS, SCORE_LANES = 16, 512
 #: Rows of the output layer worked on at once.
 CACHED = 1 << 10
-#: Bytes of text made into tokens at once, and in the lanes at once: many, so that the longest
-#: document does not run alone for long.
-TEXT_BYTES, LANE_BYTES = 4 << 20, 32 << 20
+#: A score is no larger than the weights behind it together, as states are within -1 and 1; beyond
+#: this sum, exponentials of scores could leave the range of a float.
+STEEP = 60.0
+#: Bytes of text made into tokens at once, few enough for the cache; counted at once, and in the
+#: lanes at once: many, so that the longest document does not run alone for long.
+TEXT_BYTES, COUNT_BYTES, LANE_BYTES = 1 << 18, 4 << 20, 32 << 20
 #: Bits of a hash by which the known words are found.
 SLOT_BITS = 20
 RATE = 0.1
@@ -56,6 +62,9 @@ CHUNK, FAN_IN = 1 << 14, 64
 
 END = 1  # the end token's hash
 
+#: Bucket of a word by its last letter and, as the higher byte, the one before.
+BUCKET_OF = (words.mix(np.arange(1 << 16, dtype=np.uint64)) % np.uint64(BUCKETS)).astype(np.int8)
+
 
 class Vocabulary(NamedTuple):
     """Counts of the commonest words and what the symbols stand for."""
@@ -81,21 +90,21 @@ class Tokens(NamedTuple):
 
 def tokens_of(texts: words.Texts) -> Tokens:
     found = words.words_of(texts)
-    data, ends = words.LOWER[texts.data], found.ends
-    last = ends - 1
-    point = words.PUNCTUATION[data[last]] & (last > found.starts)
-    last = last - point
-    before = np.where(last > found.starts, data[np.maximum(last - 1, 0)], 0).astype(np.uint64)
-    letters = data[last].astype(np.uint64) | (before << np.uint64(8))
-    bucket = (words.mix(letters) % np.uint64(BUCKETS)).astype(np.int64)
+    last = found.ends - 1
+    point = words.PUNCTUATION[texts.data[last]] & (last > found.starts)
+    last -= point
+    letters = words.LOWER[texts.data[last]].astype(np.uint16)
+    before = words.LOWER[texts.data[np.maximum(last - 1, 0)]].astype(np.uint16)
+    letters |= np.where(last > found.starts, before << np.uint16(8), np.uint16(0))
     rows = len(texts)
-    total = len(found.hashes) + rows
-    at = np.arange(len(found.hashes)) + np.repeat(np.arange(rows), np.diff(found.first))
-    hashes = np.full(total, END, dtype=np.uint64)
-    hashes[at] = found.hashes
-    buckets = np.full(total, -1, dtype=np.int64)
-    buckets[at] = bucket
-    return Tokens(hashes, buckets, found.first + np.arange(rows + 1))
+    first = found.first + np.arange(rows + 1)
+    word = np.ones(len(found.hashes) + rows, dtype=bool)
+    word[first[1:] - 1] = False
+    hashes = np.full(len(word), END, dtype=np.uint64)
+    hashes[word] = found.hashes
+    buckets = np.full(len(word), -1, dtype=np.int8)
+    buckets[word] = BUCKET_OF[letters]
+    return Tokens(hashes, buckets, first)
 
 
 def is_held_out(doc_id: int | None) -> bool:
@@ -114,17 +123,18 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of each training word of a batch."""
     for batch in batches:
         held = _held(batch)
-        for row, texts in words.slices(words.texts_of(batch.column("text")), TEXT_BYTES):
+        for row, texts in words.slices(words.texts_of(batch.column("text")), COUNT_BYTES):
             found = tokens_of(texts)
             learn = np.repeat(~held[row : row + len(texts)], np.diff(found.first))
-            hashes, which, count = np.unique(
-                found.hashes[learn], return_index=True, return_counts=True
-            )
+            hashes, buckets = found.hashes[learn], found.buckets[learn]
+            order = np.argsort(hashes)  # as np.unique, but need not be stable: a word has one bucket
+            hashes = hashes[order]
+            starts = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])[: len(hashes)])
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(hashes.view(np.int64)),
-                    pa.array(found.buckets[learn][which]),
-                    pa.array(count),
+                    pa.array(hashes[starts].view(np.int64)),
+                    pa.array(buckets[order[starts]].astype(np.int64)),
+                    pa.array(np.diff(starts, append=len(hashes))),
                 ],
                 names=["hash", "bucket", "n"],
             )
@@ -201,36 +211,40 @@ def slots_of(hashes: np.ndarray) -> np.ndarray:
 
 def look_up(known: Vocabulary, found: Tokens) -> tuple[np.ndarray, np.ndarray]:
     """Symbol of each token, and its training count, or -1 where a task does not know it."""
+    symbol = known.of_bucket.take(np.maximum(found.buckets, 0))
+    if not len(known.hashes):
+        return symbol.astype(np.uint16), np.full(len(symbol), -1, dtype=np.int64)
     slot = (found.hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-    at, stop = known.slots[slot], known.slots[slot + 1]
-    symbol = known.of_bucket[np.maximum(found.buckets, 0)]
-    count = np.full(len(at), -1, dtype=np.int64)
-    left = np.flatnonzero(at < stop)
+    at = known.slots.take(slot)
+    hit = known.hashes.take(at, mode="clip") == found.hashes
+    left = np.flatnonzero(~hit)
     while len(left):  # as often as the fullest slot has words
+        at[left] += 1
+        left = left[at[left] < known.slots[slot[left] + 1]]
         same = known.hashes[at[left]] == found.hashes[left]
-        hit = left[same]
-        own = known.symbols[at[hit]]
-        symbol[hit] = np.where(own < 0, symbol[hit], own)
-        count[hit] = known.counts[at[hit]]
+        hit[left[same]] = True
         left = left[~same]
-        at[left] += 1
-        left = left[at[left] < stop[left]]
-    return symbol.astype(np.uint16), count
+    own = known.symbols.take(at, mode="clip")
+    symbol = np.where(hit & (own >= 0), own, symbol)
+    return symbol.astype(np.uint16), np.where(hit, known.counts.take(at, mode="clip"), -1)
 
 
 # The network. Symbol s is number s % PER_CLASS of class s // PER_CLASS.
 
 
 class Network:
-    """Gated recurrent unit: update and reset gates and a candidate state, all of ``HIDDEN``."""
+    """Gated recurrent unit: update and reset gates and a candidate state, all of ``HIDDEN``.
+
+    ``x`` has planes for candidate, update and reset, ``u`` for update, reset and candidate: so the
+    gradients of the gates stand between those of a step's input and of its state. The last row
+    of ``wc`` and of each class's ``ww`` is the bias.
+    """
 
     SHAPES = (
-        ("x", (SYMBOLS, 3 * HIDDEN)),
-        ("u", (HIDDEN, 3 * HIDDEN)),
-        ("wc", (HIDDEN, CLASSES)),
-        ("bc", (CLASSES,)),
-        ("ww", (CLASSES, HIDDEN, PER_CLASS)),
-        ("bw", (CLASSES, PER_CLASS)),
+        ("x", (3, SYMBOLS, HIDDEN)),
+        ("u", (3, HIDDEN, HIDDEN)),
+        ("wc", (HIDDEN + 1, CLASSES)),
+        ("ww", (CLASSES, HIDDEN + 1, PER_CLASS)),
     )
     SIZE = sum(int(np.prod(s)) for _, s in SHAPES)
 
@@ -244,86 +258,96 @@ class Network:
     @classmethod
     def fresh(cls, share: np.ndarray) -> Network:
         """Small random weights; the output begins at the symbols' shares."""
-        flat = np.random.default_rng(7).normal(0, 0.1, cls.SIZE).astype(np.float32)
-        net = cls(flat)
+        rng = np.random.default_rng(7)
+        net = cls(np.empty(cls.SIZE, dtype=np.float32))
+        by_gate = rng.normal(0, 0.1, (SYMBOLS + HIDDEN, 3, HIDDEN)).transpose(1, 0, 2)
+        net.x[:], net.u[:] = by_gate[[2, 0, 1], :SYMBOLS], by_gate[:, SYMBOLS:]
+        net.wc[:] = rng.normal(0, 0.1, net.wc.shape)
+        net.ww[:, :HIDDEN] = rng.normal(0, 0.1, (CLASSES, HIDDEN, PER_CLASS))
         by_class = share.reshape(CLASSES, PER_CLASS)
-        net.bc[:] = np.log(by_class.sum(axis=1))
-        net.bw[:] = np.log(by_class / by_class.sum(axis=1, keepdims=True))
+        net.wc[HIDDEN] = np.log(by_class.sum(axis=1))
+        net.ww[:, HIDDEN] = np.log(by_class / by_class.sum(axis=1, keepdims=True))
         return net
 
     def step(self, symbols: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
-        """New state, and what a gradient needs: gates, candidate and its recurrent part."""
-        return self.move(self.x[symbols], h)
-
-    def move(self, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
-        """A step by the rows of the symbols."""
-        u = h @ self.u
-        gates = x[:, : 2 * HIDDEN] + u[:, : 2 * HIDDEN]
+        """New state, and what a gradient needs: gates with the candidate's recurrent part, and
+        the candidate."""
+        out = np.empty((3, *h.shape), np.float32), np.empty_like(h), np.empty_like(h)
+        self.move(self.x[:, symbols], h, *out)
+        return out[::-1]
+
+    def move(self, x: np.ndarray, h: np.ndarray, part: np.ndarray, n: np.ndarray, new: np.ndarray):
+        """A step by the planes of the symbols: fills update, reset and recurrent part, candidate
+        and new state."""
+        np.matmul(h, self.u, out=part)
+        gates = part[:2]
+        gates += x[1:]
         np.negative(gates, out=gates)
         np.exp(gates, out=gates)
         gates += 1
         np.reciprocal(gates, out=gates)
-        z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
-        un = u[:, 2 * HIDDEN :]
-        n = r * un
-        n += x[:, 2 * HIDDEN :]
+        np.multiply(part[1], part[2], out=n)
+        n += x[0]
         np.tanh(n, out=n)
-        new = h - n
-        new *= z
+        np.subtract(h, n, out=new)
+        new *= part[0]
         new += n
-        return new, z, r, n, un
 
     def outputs(self, h: np.ndarray, target: np.ndarray, grads: Network | None = None):
         """Log-probability of each target; with ``grads``, also the gradient of their negative
-        sum by the states, while those of the weights are added to ``grads``.
+        sum by the states, while those of the output weights are added to ``grads``.
 
-        Rows are put in the order of their class, so that a class is a slice of them.
+        Rows are put in the order of their class, so that a class is a slice of them, and worked
+        on in blocks that stay in the cache.
         """
         order = np.argsort((target // PER_CLASS).astype(np.uint8), kind="stable")
-        h, target = h[order], target[order]
+        target = target.take(order).astype(np.int64)
         cls, place = target // PER_CLASS, target % PER_CLASS
-        ends = np.searchsorted(cls, np.arange(CLASSES + 1)).tolist()
-        held = [(c, slice(ends[c], ends[c + 1])) for c in range(CLASSES) if ends[c] < ends[c + 1]]
-        p = self.wc.T @ h.T  # a row for each class, a column for each row of h
-        p += self.bc[:, None]
-        q = np.empty_like(p)
-        for c, own in held:
-            np.matmul(self.ww[c].T, h[own].T, out=q[:, own])
-            q[:, own] += self.bw[c][:, None]
-        likely = _log_softmax(p, cls, grads is not None)
-        likely += _log_softmax(q, place, grads is not None)
-        out = np.empty_like(likely)
+        states = np.ones((len(h), HIDDEN + 1), dtype=np.float32)
+        states[:, :HIDDEN] = h.take(order, axis=0)
+        steep = [np.abs(w).sum(axis=-2).max() > STEEP for w in (self.wc, self.ww)]
+        likely, by_row = np.empty(len(h), dtype=np.float32), np.empty_like(h)
+        for k in range(0, len(h), CACHED):
+            rows = slice(k, k + CACHED)
+            some, dh = states[rows], by_row[rows]
+            ends = np.searchsorted(cls[rows], np.arange(CLASSES + 1)).tolist()
+            held = [(c, slice(*x)) for c, x in enumerate(pairwise(ends)) if x[0] < x[1]]
+            p = some @ self.wc
+            q = np.empty_like(p)
+            for c, own in held:
+                np.matmul(some[own], self.ww[c], out=q[own])
+            likely[rows] = _log_softmax(p, cls[rows], steep[0], grads is not None)
+            likely[rows] += _log_softmax(q, place[rows], steep[1], grads is not None)
+            if grads is None:
+                continue
+            grads.wc += some.T @ p
+            np.matmul(p, self.wc[:HIDDEN].T, out=dh)
+            for c, own in held:
+                grads.ww[c] += some[own].T @ q[own]
+                dh[own] += q[own] @ self.ww[c, :HIDDEN].T
+        out, dh = np.empty_like(likely), np.empty_like(by_row)
         out[order] = likely
         if grads is None:
             return out, None
-        grads.wc += h.T @ p.T
-        grads.bc += p.sum(axis=1)
-        by_row = p.T @ self.wc.T
-        for c, own in held:
-            grads.ww[c] += h[own].T @ q[:, own].T
-            grads.bw[c] += q[:, own].sum(axis=1)
-            by_row[own] += q[:, own].T @ self.ww[c].T
-        dh = np.empty_like(by_row)
         dh[order] = by_row
         return out, dh
 
 
-def _log_softmax(scores: np.ndarray, goal: np.ndarray, gradient: bool) -> np.ndarray:
-    """Log-probability of each column's goal. ``scores`` is used up: with ``gradient``, it becomes
-    the gradient of their negative sum."""
-    out = np.empty(scores.shape[1], dtype=scores.dtype)
-    for k in range(0, len(out), CACHED):  # so many columns as stay in the cache
-        some, to = scores[:, k : k + CACHED], goal[k : k + CACHED]
-        column = np.arange(len(to))
-        some -= some.max(axis=0)
-        value = some[to, column]
-        np.exp(some, out=some)
-        total = some.sum(axis=0)
-        out[k : k + CACHED] = value - np.log(total)
-        if gradient:
-            some *= 1 / total
-            some[to, column] -= 1
-    return out
+def _log_softmax(scores: np.ndarray, goal: np.ndarray, steep: bool, gradient: bool) -> np.ndarray:
+    """Log-probability of each row's goal. ``scores`` is used up: with ``gradient``, it becomes
+    the gradient of their negative sum. If ``steep``, exponentials are taken below a row's largest.
+    """
+    width = scores.shape[1]
+    if steep:
+        scores -= scores.max(axis=1, keepdims=True)
+    at, flat = np.arange(0, scores.size, width) + goal, scores.reshape(-1)
+    value = flat.take(at)
+    np.exp(scores, out=scores)
+    total = scores @ np.ones(width, dtype=scores.dtype)
+    if gradient:
+        scores *= (1 / total)[:, None]
+        flat[at] -= 1
+    return value - np.log(total)
 
 
 class Lanes(NamedTuple):
@@ -374,43 +398,55 @@ def score_tokens(net: Network, symbols: np.ndarray, first: np.ndarray, end: int)
     out = np.zeros(len(symbols), dtype=np.float32)
     if not len(symbols):
         return out
-    lanes = lanes_of(first)
+    lanes = lanes_of(first, SCORE_LANES)
     before = np.roll(symbols, 1)
     before[lanes.begins] = end
     h = np.zeros((len(lanes.place), HIDDEN), dtype=np.float32)
-    for window in _windows(lanes, STEPS):
-        h, real = h[: window.shape[1]], window >= 0
+    for window in _windows(lanes, SCORE_STEPS):
+        h, real = h[: window.shape[1]], _real(window)
         states = np.empty((*window.shape, HIDDEN), dtype=np.float32)
-        stays, inputs = _stays(lanes, window), net.x[before[window]]
+        starts, prior = _starts(lanes, window), before[window]
+        part, n = np.empty((3, *h.shape), dtype=np.float32), np.empty_like(h)
         for t in range(len(window)):
-            states[t] = h = net.move(inputs[t], h * stays[t])[0]
-        out[window[real]] = net.outputs(states[real], symbols[window[real]])[0]
+            h[starts[t]] = 0
+            net.move(net.x.take(prior[t], axis=1), h, part, n, states[t])
+            h = states[t].copy()
+        places = window.reshape(-1)[real]
+        out[places] = net.outputs(states.reshape(-1, HIDDEN)[real], symbols[places])[0]
     return out
 
 
-def _stays(lanes: Lanes, window: np.ndarray) -> np.ndarray:
-    """1, or 0 where a document begins and the state before it must go."""
-    return (~lanes.begins[window]).astype(np.float32)[:, :, None]
+def _real(window: np.ndarray) -> slice | np.ndarray:
+    """Where a window's places are of tokens: all, if its last and shortest lane has one at the end."""
+    return slice(None) if window[-1, -1] >= 0 else np.flatnonzero(window.reshape(-1) >= 0)
+
+
+def _starts(lanes: Lanes, window: np.ndarray) -> list[np.ndarray]:
+    """For each step, the lanes where a document begins and the state before it must go."""
+    begins = lanes.begins[window]
+    return [np.flatnonzero(row) for row in begins]
 
 
 def _sums_of_rows(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct ones of ``rows`` and the sum of the values of each."""
-    rows, values = rows.reshape(-1), values.reshape(-1, values.shape[-1])
+    """The distinct ones of ``rows`` and, in each plane, the sum of the values of each."""
     order = np.argsort(rows.astype(np.uint16), kind="stable")
     rows = rows[order]
     starts = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
-    return rows[starts], np.add.reduceat(values[order], starts, axis=0)
+    pairs = values.take(order, axis=1).view(np.complex64)  # two numbers are added at once
+    return rows[starts], np.add.reduceat(pairs, starts, axis=1).view(np.float32)
 
 
 def _adagrad(weights: np.ndarray, sums: np.ndarray, grad: np.ndarray, rows=slice(None)) -> None:
     """One step of ``rows``; a row without a gradient would not move, and is best left out."""
-    seen = sums[rows] + grad * grad
+    whole = isinstance(rows, slice)
+    seen = grad * grad
+    seen += sums if whole else sums.take(rows, axis=0)
     sums[rows] = seen
     seen += np.float32(1e-6)
     np.sqrt(seen, out=seen)
     np.divide(grad, seen, out=seen)
     seen *= np.float32(RATE)
-    weights[rows] -= seen
+    weights[rows] = np.subtract(weights if whole else weights.take(rows, axis=0), seen, out=seen)
 
 
 def train_tokens(
@@ -430,47 +466,56 @@ def train_tokens(
     h = np.zeros((len(lanes.place), HIDDEN), dtype=np.float32)
     grads, squares = Network(np.zeros(Network.SIZE, dtype=np.float32)), Network(sums)
     for window in _windows(lanes, STEPS):
-        h, real = h[: window.shape[1]], window >= 0
-        for name in ("u", "wc", "bc", "ww", "bw"):
+        h, real = h[: window.shape[1]], _real(window)
+        for name in ("wc", "ww"):
             getattr(grads, name).fill(0)
-        shape, stays = (*window.shape, HIDDEN), _stays(lanes, window)
-        states, old, z, r, n, un = (np.empty(shape, dtype=np.float32) for _ in range(6))
-        inputs = net.x[before[window]]
+        shape, starts, prior = (*window.shape, HIDDEN), _starts(lanes, window), before[window]
+        states, old, n = (np.empty(shape, dtype=np.float32) for _ in range(3))
+        parts = np.empty((len(window), 3, *h.shape), dtype=np.float32)
         for t in range(len(window)):
-            old[t] = h = h * stays[t]
-            states[t], z[t], r[t], n[t], un[t] = net.move(inputs[t], h)
+            old[t] = h
+            old[t, starts[t]] = 0
+            net.move(net.x.take(prior[t], axis=1), old[t], parts[t], n[t], states[t])
             h = states[t]
-        by_state = np.zeros_like(states)
-        _, by_state[real] = net.outputs(states[real], symbols[window[real]], grads)
-        # What a state's gradient is times, on its way to the candidate and the gates.
-        to_n = (1 - z) * (1 - n * n)
-        to_z = (old - n) * z * (1 - z)
-        to_r = un * r * (1 - r)
-        by_input = np.empty((*window.shape, 3 * HIDDEN), dtype=np.float32)
-        by_u, back = np.empty_like(by_input), np.zeros_like(h)
+        targets, by_state = symbols[window.reshape(-1)[real]], np.zeros_like(states)
+        _, by_row = net.outputs(states.reshape(-1, HIDDEN)[real], targets, grads)
+        by_state.reshape(-1, HIDDEN)[real] = by_row
+        # Gradients by the candidate's input, the two gates and the candidate's recurrent part.
+        by_part = np.empty((4, *shape), dtype=np.float32)
+        back, some, by_h = np.zeros_like(h), np.empty_like(h), np.empty((3, *h.shape), np.float32)
+        across = net.u.transpose(0, 2, 1)
         for t in range(len(window) - 1, -1, -1):  # past a lane's end, all is 0
-            d = by_state[t]
+            (z, r, un), (dn, dz, dr, du), d = parts[t], by_part[:, t], by_state[t]
             d += back
-            dn = np.multiply(d, to_n[t], out=by_input[t, :, 2 * HIDDEN :])
-            np.multiply(d, to_z[t], out=by_u[t, :, :HIDDEN])
-            np.multiply(dn, to_r[t], out=by_u[t, :, HIDDEN : 2 * HIDDEN])
-            np.multiply(dn, r[t], out=by_u[t, :, 2 * HIDDEN :])
-            d *= z[t]
-            back = by_u[t] @ net.u.T
-            back += d
-            back *= stays[t]
-        by_input[:, :, : 2 * HIDDEN] = by_u[:, :, : 2 * HIDDEN]
-        grads.u += old.reshape(-1, HIDDEN).T @ by_u.reshape(-1, 3 * HIDDEN)
-        scale = np.float32(real.sum() ** -0.5)
-        rows, by_row = _sums_of_rows(before[window], by_input)
+            np.subtract(1, z, out=some)
+            np.multiply(d, some, out=dn)
+            np.subtract(old[t], n[t], out=dz)
+            dz *= z
+            dz *= dn
+            np.multiply(n[t], n[t], out=some)
+            np.subtract(1, some, out=some)
+            dn *= some
+            np.multiply(dn, r, out=du)
+            np.subtract(1, r, out=dr)
+            dr *= un
+            dr *= du
+            np.matmul(by_part[1:, t], across, out=by_h)
+            np.multiply(d, z, out=back)
+            for plane in by_h:
+                back += plane
+            back[starts[t]] = 0
+        by_part = by_part.reshape(4, -1, HIDDEN)
+        np.matmul(old.reshape(-1, HIDDEN).T, by_part[1:], out=grads.u)
+        scale = np.float32(len(targets) ** -0.5)
+        rows, by_row = _sums_of_rows(prior.reshape(-1), by_part[:3])
         by_row *= scale
-        _adagrad(net.x, squares.x, by_row, rows)
-        for name in ("u", "wc", "bc"):
+        for plane in range(3):
+            _adagrad(net.x[plane], squares.x[plane], by_row[plane], rows)
+        for name in ("u", "wc"):
             _adagrad(getattr(net, name), getattr(squares, name), getattr(grads, name) * scale)
-        held = np.flatnonzero(np.bincount(symbols[window[real]] // PER_CLASS, minlength=CLASSES))
-        for name in ("ww", "bw"):
-            grad = getattr(grads, name)[held] * scale
-            _adagrad(getattr(net, name), getattr(squares, name), grad, held)
+        held = np.flatnonzero(np.bincount(targets // PER_CLASS, minlength=CLASSES))
+        rows = slice(None) if len(held) == CLASSES else held
+        _adagrad(net.ww, squares.ww, grads.ww[rows] * scale, rows)
 
 
 # On Spark
@@ -611,7 +656,7 @@ def _scorer(shared):
                     own = (known.of_bucket[np.maximum(found.buckets, 0)] == symbol) & (
                         found.buckets >= 0
                     )
-                    parts.append((row, size, count, np.where(own, found.buckets, -1).astype(np.int8)))
+                    parts.append((row, size, count, np.where(own, found.buckets, np.int8(-1))))
                     flat_symbols.append(symbol)
                     sizes.append(size)
                     row += len(size)
@@ -627,11 +672,16 @@ def _scorer(shared):
                     yield documents(ends, name, held_here, size, here, count, bucket)
 
     def rare_words(rows: np.ndarray, hashes: np.ndarray) -> pa.RecordBatch:
-        pairs = np.stack([rows.astype(np.uint64), hashes])
-        (rows, hashes), times = np.unique(pairs, axis=1, return_counts=True)
-        columns = [pa.nulls(len(rows), t) for t in TYPES]
-        columns[0] = pa.array(rows.view(np.int64))
-        columns[-2:] = pa.array(hashes.view(np.int64)), pa.array(times)
+        order = np.lexsort((hashes, rows))
+        rows, hashes = rows[order], hashes[order]
+        new = np.append(True, (rows[1:] != rows[:-1]) | (hashes[1:] != hashes[:-1]))
+        starts = np.flatnonzero(new)
+        columns = [pa.nulls(len(starts), t) for t in TYPES]
+        columns[0] = pa.array(rows[starts])
+        columns[-2:] = (
+            pa.array(hashes[starts].view(np.int64)),
+            pa.array(np.diff(starts, append=len(rows))),
+        )
         return pa.RecordBatch.from_arrays(columns, names=NAMES)
 
     def documents(rows, names, held, size, logs, count, bucket) -> pa.RecordBatch:
@@ -640,22 +690,22 @@ def _scorer(shared):
         sure, own = count >= 0, bucket >= 0
         likely = np.exp(logs)
         # In a bucket, and by shares alone, a word weighs its count and a half.
-        weight = np.log10(count + 0.5, where=sure, out=np.zeros(len(count)))
-        likely /= np.where(own, known.bucket_total[np.maximum(bucket, 0)], 1)
+        weight = np.where(sure, np.log10(np.maximum(count, 0) + 0.5), 0)
+        likely /= np.where(own, known.bucket_total.take(np.maximum(bucket, 0)), 1)
         by_share = np.where(own, 1, count + 0.5) / whole
         model = np.log10((1 - SHARES) * likely + SHARES * by_share)
         model += np.where(own & sure, weight, 0)
         base = np.where(sure, weight - np.log10(whole), 0)
-        doc = np.repeat(np.arange(len(size)), size)
+        starts = np.cumsum(size) - size  # of documents; each has an end at least
         return pa.RecordBatch.from_arrays(
             [
                 rows,
                 names,
                 pa.array(held),
                 pa.array(size),
-                pa.array(np.bincount(doc, count > 0, len(size)).astype(np.int64)),
-                pa.array(np.bincount(doc, base, len(size))),
-                pa.array(np.bincount(doc, model, len(size))),
+                pa.array(np.add.reduceat(count > 0, starts, dtype=np.int64)),
+                pa.array(np.add.reduceat(base, starts)),
+                pa.array(np.add.reduceat(model, starts)),
                 *[pa.nulls(len(size), t) for t in TYPES[-2:]],
             ],
             names=NAMES,
