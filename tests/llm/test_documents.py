@@ -540,13 +540,14 @@ def test_outputs_against_plain_softmax(spread):
     states = np.column_stack([h, np.ones(count)]).astype(np.float64)
     want, by, rows = np.zeros(count), 0, np.arange(count)
     for weights, goal in ((net.wc[None], target // per), (net.ww[target // per], target % per)):
-        scores = np.einsum("ki,kij->kj", states, np.broadcast_to(weights, (count, *weights.shape[1:])))
+        each = np.broadcast_to(weights, (count, *weights.shape[1:]))
+        scores = np.einsum("ki,kij->kj", states, each)
         scores -= scores.max(axis=1, keepdims=True)
         logs = scores - np.log(np.exp(scores).sum(axis=1, keepdims=True))
         want += logs[rows, goal]
         p = np.exp(logs)
         p[rows, goal] -= 1
-        by = by + np.einsum("kj,kij->ki", p, np.broadcast_to(weights, (count, *weights.shape[1:])))
+        by = by + np.einsum("kj,kij->ki", p, each)
         if len(weights) == 1:
             assert np.allclose(grads.wc, states.T @ p, atol=0.01)
     assert np.allclose(got, want, rtol=1e-4, atol=1e-3)

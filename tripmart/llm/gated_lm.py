@@ -127,7 +127,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found = tokens_of(texts)
             learn = np.repeat(~held[row : row + len(texts)], np.diff(found.first))
             hashes, buckets = found.hashes[learn], found.buckets[learn]
-            order = np.argsort(hashes)  # as np.unique, but need not be stable: a word has one bucket
+            order = np.argsort(hashes)  # need not be stable: a word has one bucket
             hashes = hashes[order]
             starts = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])[: len(hashes)])
             yield pa.RecordBatch.from_arrays(
@@ -417,7 +417,7 @@ def score_tokens(net: Network, symbols: np.ndarray, first: np.ndarray, end: int)
 
 
 def _real(window: np.ndarray) -> slice | np.ndarray:
-    """Where a window's places are of tokens: all, if its last and shortest lane has one at the end."""
+    """Where a window's places are of tokens: all, if its last, shortest lane has one at the end."""
     return slice(None) if window[-1, -1] >= 0 else np.flatnonzero(window.reshape(-1) >= 0)
 
 
