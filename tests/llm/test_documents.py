@@ -15,6 +15,7 @@ import pyarrow as pa
 import pytest
 from shared_rows import ODD, folder, lower, none, odd, split  # noqa: F401
 
+from tripmart import session
 from tripmart.llm import (
     decontaminate,
     gated_lm,
@@ -109,6 +110,30 @@ def test_no_rare_token_pairs_up_a_large_group(spark):
     assert rows(starred) == sorted([(1, n) for n in range(300)], key=repr)
 
 
+def test_only_rare_tokens_that_recur_become_rows(spark, monkeypatch):
+    """A set is written once however often its text comes, and its tokens only if another has them."""
+    written, deleted, keep, remove = {}, [], session.keep, session.remove_path
+
+    def kept(df, name, path=None):
+        out = keep(df, name, path)
+        written.setdefault(name, []).append(out)
+        return out
+
+    monkeypatch.setattr(session, "keep", kept)
+    monkeypatch.setattr(jaccard, "keep", kept)
+    monkeypatch.setattr(session, "remove_path", lambda s, path: deleted.append(path) or remove(s, path))
+    text = lambda name: " ".join(f"{name}w{i}" for i in range(60))
+    documents = [(100 * copy + k, text(k)) for copy in range(8) for k in range(40)]
+    documents += [(1_000, text(3) + " more"), (1_001, text(70)), (1_002, text(70) + " more")]
+    df = spark.createDataFrame(documents, "doc_id bigint, text string").repartition(8)
+    got = rows(jaccard.similar_documents(df))
+    assert got == linked(documents)
+    assert [t.rows for t in written["entries"]] == [43]
+    assert [22 <= t.rows <= 24 for t in written["recurring"]] == [True]  # prefixes of two pairs
+    assert written["rare"][0].rows == 2 * written["recurring"][0].rows
+    assert {written[n][0].path for n in ("entries", "recurring", "rare", "many", "signatures")} <= {*deleted}
+
+
 def test_components_of_odd_rows(spark, odd, none):
     got = rows(jaccard.similar_documents(odd))
     want = linked([(d, t) for d, t in ODD])
