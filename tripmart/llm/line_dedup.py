@@ -22,7 +22,7 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.session import keep, new_path
+from tripmart.session import freed_shuffles, new_path, remove_path, scratch
 
 MIN_CHARS = 10
 BATCHES = 4
@@ -71,15 +71,17 @@ class Runs:
     def __init__(self, spark, buckets: int, fan: int):
         self.spark, self.buckets, self.fan = spark, buckets, fan
         self.levels: list[list[str]] = [[]]
+        self.paths: dict[str, str] = {}
 
     def _write(self, keys: DataFrame) -> str:
         name = f"line_run_{uuid.uuid4().hex}"
+        self.paths[name] = new_path(self.spark, name)
         (
             keys.select("h1", "h2")
             .repartition(self.buckets, "h1", "h2")
             .write.bucketBy(self.buckets, "h1", "h2")
             .sortBy("h1", "h2")
-            .option("path", new_path(self.spark, name))
+            .option("path", self.paths[name])
             .saveAsTable(name)
         )
         return name
@@ -89,6 +91,12 @@ class Runs:
             for name in level:
                 yield self.spark.table(name)
 
+    def _drop(self, level: list[str]) -> None:
+        for name in level:
+            self.spark.sql(f"DROP TABLE {name}")
+            remove_path(self.spark, self.paths.pop(name))
+        level.clear()
+
     def add(self, keys: DataFrame) -> None:
         """One more run of keys that no run holds yet; full levels are compacted."""
         self.levels[0].append(self._write(keys))
@@ -101,15 +109,11 @@ class Runs:
             if depth + 1 == len(self.levels):
                 self.levels.append([])
             self.levels[depth + 1].append(self._write(merged))
-            for name in level:
-                self.spark.sql(f"DROP TABLE {name}")
-            level.clear()
+            self._drop(level)
 
     def drop(self) -> None:
         for level in self.levels:
-            for name in level:
-                self.spark.sql(f"DROP TABLE {name}")
-            level.clear()
+            self._drop(level)
 
 
 def _bounds(docs: DataFrame, batches: int) -> list[int]:
@@ -129,29 +133,32 @@ def repeated_lines(
     for bound in bounds:
         number = number + (F.col("id") > bound).cast("int")
     path = new_path(spark, "line-keys")
-    _keys(docs, min_chars).withColumn("batch", number).write.partitionBy("batch").parquet(path)
-    keys = spark.read.schema("h1 bigint, h2 bigint, id bigint, body bigint, place int, batch int")
-    keys = keys.parquet(path)
     drops_path = new_path(spark, "line-drops")
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     runs = Runs(spark, buckets, fan)
-    for k in range(len(bounds) + 1):
-        own = keys.where(F.col("batch") == k).drop("batch")
-        owners = own.groupBy("h1", "h2").agg(F.min("id").alias("owner"))
-        fresh = owners
-        for run in runs:
-            fresh = fresh.join(run.hint("merge"), ["h1", "h2"], "left_anti")
-        fresh = keep(fresh, "line-owners").df
-        (
-            own.join(fresh.hint("merge"), ["h1", "h2"], "left")
-            .where(F.col("owner").isNull() | (F.col("owner") < F.col("id")))
-            .select("id", "body", "place")
-            .write.mode("append")
-            .parquet(drops_path)
-        )
-        if k < len(bounds):
-            runs.add(fresh)
-    runs.drop()
+    with freed_shuffles(spark):
+        _keys(docs, min_chars).withColumn("batch", number).write.partitionBy("batch").parquet(path)
+        keys = spark.read.schema("h1 bigint, h2 bigint, id bigint, body bigint, place int, batch int")
+        keys = keys.parquet(path)
+        for k in range(len(bounds) + 1):
+            own = keys.where(F.col("batch") == k).drop("batch")
+            owners = own.groupBy("h1", "h2").agg(F.min("id").alias("owner"))
+            fresh = owners
+            for run in runs:
+                fresh = fresh.join(run.hint("merge"), ["h1", "h2"], "left_anti")
+            with scratch(spark) as kept:
+                fresh = kept(fresh, "line-owners").df
+                (
+                    own.join(fresh.hint("merge"), ["h1", "h2"], "left")
+                    .where(F.col("owner").isNull() | (F.col("owner") < F.col("id")))
+                    .select("id", "body", "place")
+                    .write.mode("append")
+                    .parquet(drops_path)
+                )
+                if k < len(bounds):
+                    runs.add(fresh)
+        runs.drop()
+        remove_path(spark, path)
     drops = spark.read.schema("id bigint, body bigint, place int").parquet(drops_path)
     return drops.groupBy("id", "body").agg(F.collect_set("place").alias("places"))
 
