@@ -794,12 +794,15 @@ def stream_months(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_first_trips(spark: SparkSession, folder: str) -> DataFrame:
     """Trips arrive year by year, each year with a copy of the year before; one of each stays."""
-    keys = _trips(spark, folder, silver.VENDOR).select(
+    trips = _trips(spark, folder, silver.VENDOR).select(
         "service_type", "vendor_id", "load_year",
-        F.col("dropoff_datetime").cast("string").alias("dropoff"),
+        F.col("dropoff_datetime").alias("dropoff"),
         F.col("pickup_datetime").cast("timestamp").alias("pickup_at"),
     )
-    source, target = new_path(spark, "trip-files"), new_path(spark, "first-trips")
+    staged, source, target = (new_path(spark, n) for n in ("trip-keys", "trip-files", "first-trips"))
+    with open_files(spark):  # a folder a year
+        trips.write.partitionBy("load_year").parquet(staged)
+    keys = spark.read.schema(trips.schema).parquet(staged)
     for year in sorted(r[0] for r in keys.select("load_year").distinct().collect()):
         arrived = keys.where(F.col("load_year").between(year - 1, year)).drop("load_year")
         arrived.write.mode("append").parquet(source)
@@ -809,7 +812,7 @@ def stream_first_trips(spark: SparkSession, folder: str) -> DataFrame:
     trips_stream.write_first_rows(first, target, new_path(spark, "stream")).awaitTermination()
     return spark.read.schema(schema).parquet(target).select(
         "service_type", "vendor_id", F.col("pickup_at").cast("timestamp_ntz").alias("pickup_datetime"),
-        F.col("dropoff").cast("timestamp_ntz").alias("dropoff_datetime"),
+        F.col("dropoff").alias("dropoff_datetime"),
     )
 
 

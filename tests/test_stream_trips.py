@@ -25,3 +25,16 @@ def test_repeated_and_late_rows_go(spark):
         trips_stream.write_first_rows(first, target, checkpoint).awaitTermination()
     got = rows(spark.read.schema(schema).parquet(target).select("k"))
     assert got == [("a",), ("b",), ("slow",), (None,)]
+
+
+def test_state_is_not_kept_on_the_heap(spark):
+    source, target, checkpoint = (new_path(spark, f"test-{n}") for n in ("in", "out", "check"))
+    spark.range(100).selectExpr("id % 40 AS k", "timestamp'2019-01-01' AS at").write.parquet(source)
+    before = {key: spark.conf.get(key, None) for key in trips_stream.STATE}
+    stream = trips_stream.stream_files(spark, source, spark.read.parquet(source).schema)
+    query = trips_stream.write_first_rows(trips_stream.first_rows(stream, ["k"], "at", "1 day"), target, checkpoint)
+    query.awaitTermination()
+    assert spark.read.parquet(target).count() == 40
+    state = query.recentProgress[0].stateOperators[0]
+    assert state.customMetrics["rocksdbGetCount"] >= 40
+    assert {key: spark.conf.get(key, None) for key in trips_stream.STATE} == before
